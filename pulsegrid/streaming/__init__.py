@@ -1,0 +1 @@
+"""Reserved. Every input of the workloads served here is a finite table, so no stream operators exist."""
