@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.columns import epoch_micros
+from pulsegrid.functions.columns import seconds_between
 from pulsegrid.operators.joins import micros, time_bin
 
 _BIN, _STRETCH, _TIME, _EDGE, _POINT = "__bin", "__stretch", "__time", "__edge", "__point"
@@ -63,6 +63,7 @@ def nearest_in_window(
         )
         .where(F.coalesce(*[F.col(n) for n in names]).isNotNull())
     )
+    types = stamped.schema
     asked = (
         points.where(F.col(point_time).isNotNull())
         .withColumns({_BIN: time_bin(point_time, bin_width), _TIME: F.col(point_time)})
@@ -71,7 +72,7 @@ def nearest_in_window(
             _BIN,
             _TIME,
             F.lit(True).alias(_POINT),
-            *[F.lit(None).cast(stamped.schema[n].dataType).alias(n) for n in names],
+            *[F.lit(None).cast(types[n].dataType).alias(n) for n in names],
         )
     )
     timeline = (
@@ -97,9 +98,9 @@ def nearest_in_window(
 
     def reach(side: str, name: str) -> Column:
         event = F.col(f"__{side}_{name}")
-        gap = epoch_micros(event[event_time]) - epoch_micros(_TIME)
+        gap = seconds_between(event[event_time], _TIME)
         return F.when(
-            gap.between(-micros(before), micros(after)),
+            gap.between(F.lit(-before.total_seconds()), F.lit(after.total_seconds())),
             F.struct(F.abs(gap).alias("distance"), event.alias("event")),
         )
 

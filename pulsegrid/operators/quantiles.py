@@ -5,6 +5,9 @@
    fraction ``ENCLOSURE`` of the rows per probability;
 3. the wanted ranks are read off running counts, one task per enclosure.
 
+The input is read three times (once more for bins): hand over a stored table, or ``sources.scratch.cut`` a
+computed one first.
+
 A rank that is not inside its enclosure fails the query instead of giving an approximate answer.
 """
 

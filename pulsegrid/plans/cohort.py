@@ -22,6 +22,17 @@ STAY_BEFORE = timedelta(hours=8)
 STAY_AFTER = timedelta(hours=24)
 
 
+def _labelled(labevents: DataFrame, d_labitems: DataFrame, items: Sequence[int]) -> DataFrame:
+    """Results of the wanted items with their label (NULL where the dimension lacks the item).
+
+    A handful of items covers all rows, so a shuffle by item would put everything in a few tasks. The
+    dimension is cut to the items asked for, one row each, and that is what gets broadcast.
+    """
+    wanted = F.col("itemid").isin(*items)
+    labels = d_labitems.where(wanted).dropDuplicates(["itemid"])
+    return labevents.where(wanted).join(F.broadcast(labels), "itemid", "left")
+
+
 def lab_pairs(
     records: DataFrame, labevents: DataFrame, d_labitems: DataFrame, items: Sequence[int] = LAB_ITEM_IDS
 ) -> DataFrame:
@@ -29,10 +40,10 @@ def lab_pairs(
 
     The extract itself. Label tables do not need it: see ``lab_labels``.
     """
-    wanted = labevents.where(F.col("itemid").isin(*items))
+    results = _labelled(labevents, d_labitems, items)
     windows = records.select("subject_id", "study_id", "ecg_time")
-    pairs = interval_join(wanted, windows, ["subject_id"], "charttime", "ecg_time", LAB_WINDOW, LAB_WINDOW)
-    return lookup(pairs, d_labitems, "itemid").withColumn("offset", offset("charttime", "ecg_time"))
+    pairs = interval_join(results, windows, ["subject_id"], "charttime", "ecg_time", LAB_WINDOW, LAB_WINDOW)
+    return pairs.withColumn("offset", offset("charttime", "ecg_time"))
 
 
 def nearest_labs(
@@ -43,7 +54,7 @@ def nearest_labs(
     items: Sequence[int] = LAB_ITEM_IDS,
 ) -> DataFrame:
     """Per recording and label two structs: ``<label>`` nearest result with a value, ``<label>_any`` nearest result."""
-    wanted = lookup(labevents.where(F.col("itemid").isin(*items)), d_labitems, "itemid")
+    results = _labelled(labevents, d_labitems, items)
     conditions = {}
     for name in labels:
         of_label = F.lower("label") == name
@@ -51,7 +62,7 @@ def nearest_labs(
         conditions[f"{name}_any"] = of_label
     return nearest_in_window(
         records.select("subject_id", "study_id", "ecg_time"),
-        wanted,
+        results,
         ["subject_id"],
         "ecg_time",
         "charttime",

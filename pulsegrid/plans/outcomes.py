@@ -11,6 +11,7 @@ from pulsegrid.operators.joins import keep_keys, lookup
 from pulsegrid.operators.quantiles import quantile_bin
 from pulsegrid.operators.sampling import sample_groups
 from pulsegrid.plans.cohort import first_recordings, stay_recordings
+from pulsegrid.sources.scratch import cut
 
 
 def first_with_delta(records: DataFrame, stays: DataFrame, scores: DataFrame, below: float = 90.0) -> DataFrame:
@@ -24,8 +25,13 @@ def first_with_delta(records: DataFrame, stays: DataFrame, scores: DataFrame, be
 def mortality_by_bin(
     scored: DataFrame, q: int = 10, exact: bool = True, decimals: int | None = None
 ) -> DataFrame:
-    """Death rates per quantile bin of ``age_delta``; rows without a prediction have no bin and drop out."""
+    """Death rates per quantile bin of ``age_delta``; rows without a prediction have no bin and drop out.
+
+    Exact quantiles read their input three times, so the three narrow columns are written once instead of
+    repeating the joins behind them.
+    """
     narrow = scored.select("age_delta", "hospital_expire_flag", "icu_mort")
+    narrow = cut(narrow, "age-delta") if exact else narrow
     binned = quantile_bin(narrow, "age_delta", q, exact, decimals).where(F.col("bin").isNotNull())
     return rates_by(binned, ["bin", "bin_lo", "bin_hi"], ["hospital_expire_flag", "icu_mort"])
 

@@ -65,7 +65,9 @@ class Proxies:
 
     @cached_property
     def d_labitems(self) -> DataFrame:
-        return self.spark.createDataFrame(list(LAB_ITEMS), "itemid int, label string")
+        # An inline table has a known size, so Spark broadcasts it by its own size check.
+        rows = ", ".join(f"({item}, '{label}')" for item, label in LAB_ITEMS)
+        return self.spark.sql(f"select * from values {rows} as v(itemid, label)")
 
     @cached_property
     def stays(self) -> DataFrame:

@@ -19,7 +19,7 @@ from pulsegrid.plans import cohort, features, history, outcomes, quality
 from pulsegrid.registry.proxies import HISTORY_MODELS, LEADS, SAMPLES, Proxies
 from pulsegrid.sources import scores as score_store
 from pulsegrid.sources import shards, tables
-from pulsegrid.sources.scratch import scratch_path
+from pulsegrid.sources.scratch import cut, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -402,13 +402,13 @@ def describe_outcomes(t: Proxies) -> DataFrame:
         "ecg_offset", C.offset("ecg_time", "icu_intime")
     )
     cols = ["admission_age", "hospital_expire_flag", "ecg_offset"]
-    table = A.describe(rows, cols, [0.2, 0.4, 0.6, 0.8, 0.9, 0.95, 0.98, 0.99])
+    table = A.describe(cut(rows.select(*cols)), cols, [0.2, 0.4, 0.6, 0.8, 0.9, 0.95, 0.98, 0.99])
     return _round(table, EXACT_DIGITS, mean=6, std=6)
 
 
 @_query
 def visits_per_subject(t: Proxies) -> DataFrame:
-    return _round(A.rows_per_key(cohort.stay_recordings(t.records, t.stays), "subject_id"))
+    return _round(A.rows_per_key(cut(cohort.stay_recordings(t.records, t.stays).select("subject_id")), "subject_id"))
 
 
 @_query
@@ -464,7 +464,8 @@ def age_hexbin(t: Proxies) -> DataFrame:
 @_query
 def error_density(t: Proxies) -> DataFrame:
     rows = _scored(t).where("age_pred is not null").withColumn("delta_age", C.age_delta())
-    binned = quantiles.quantile_bin(rows, "admission_age", 5, name="age_bin")
+    rows = cut(rows.select("admission_age", "delta_age"))
+    binned = cut(quantiles.quantile_bin(rows, "admission_age", 5, name="age_bin").select("age_bin", "delta_age"))
     return _round(bins.density(binned, "delta_age", ["age_bin"]))
 
 
@@ -495,13 +496,14 @@ def first_ecg_per_stay(t: Proxies) -> DataFrame:
 
 @_query
 def age_delta_deciles(t: Proxies) -> DataFrame:
-    binned = quantiles.quantile_bin(_delta(t), "age_delta", 10, decimals=9)
+    rows = cut(_delta(t).select("stay_id", "study_id", "age_delta"))
+    binned = quantiles.quantile_bin(rows, "age_delta", 10, decimals=9)
     return _round(binned.select("stay_id", "study_id", "age_delta", "bin", "bin_lo", "bin_hi"))
 
 
 @_query
 def age_quintiles(t: Proxies) -> DataFrame:
-    rows = cohort.stay_recordings(t.records, t.stays)
+    rows = cut(cohort.stay_recordings(t.records, t.stays).select("stay_id", "study_id", "admission_age"))
     binned = quantiles.quantile_bin(rows, "admission_age", 5, decimals=9)
     return _round(binned.select("stay_id", "study_id", "admission_age", "bin", "bin_lo", "bin_hi"))
 
@@ -638,7 +640,9 @@ def feature_rows(t: Proxies) -> DataFrame:
 
 @_query
 def task_views(t: Proxies) -> DataFrame:
-    rows = _features(t)
+    path = scratch_path(t.spark, "task-features")
+    shards.write_shards(_features(t), path)
+    rows = t.spark.read.parquet(path)
     views = {}
     for name in ("cnn-age", "cnn-gender", "cnn-potassium", "cnn-sodium", "tl-age-mort"):
         views[name] = features.task_view(rows, name).drop("signal")
