@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.columns import epoch_micros
@@ -22,9 +22,14 @@ def micros(width: timedelta) -> int:
     return width // timedelta(microseconds=1)
 
 
-def time_bin(time: str, width: timedelta):
-    """Number of the ``width``-long bin that holds ``time``."""
-    return F.floor(epoch_micros(time) / micros(width))
+def bin_of(at: Column, width: timedelta) -> Column:
+    """Number of the ``width``-long bin that holds ``at`` (microseconds); whole-number arithmetic only."""
+    size = F.lit(micros(width))
+    return F.floor((at - F.pmod(at, size)) / size)
+
+
+def time_bin(time: str, width: timedelta) -> Column:
+    return bin_of(epoch_micros(time), width)
 
 
 def interval_join(
@@ -48,8 +53,8 @@ def interval_join(
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     width = bin_width or before + after
-    first = F.floor((epoch_micros(window_time) - micros(before)) / micros(width))
-    last = F.floor((epoch_micros(window_time) + micros(after)) / micros(width))
+    first = bin_of(epoch_micros(window_time) - micros(before), width)
+    last = bin_of(epoch_micros(window_time) + micros(after), width)
     left = points.where(F.col(point_time).isNotNull()).withColumn(_BIN, time_bin(point_time, width))
     right = (
         windows.where(F.col(window_time).isNotNull())

@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.columns import seconds_between
-from pulsegrid.operators.joins import micros, time_bin
+from pulsegrid.functions.columns import epoch_micros
+from pulsegrid.operators.joins import bin_of, micros
 
-_BIN, _STRETCH, _TIME, _EDGE, _POINT = "__bin", "__stretch", "__time", "__edge", "__point"
+_AT, _BIN, _STRETCH, _EDGE, _POINT = "__at", "__bin", "__stretch", "__edge", "__point"
 
 
 def nearest_in_window(
@@ -41,7 +41,7 @@ def nearest_in_window(
     ties: Sequence[str] = (),
     bin_width: timedelta = timedelta(minutes=1),
 ) -> DataFrame:
-    """``points`` plus, per lookup, a struct (event time, ties, payload) of the nearest event or NULL.
+    """``points`` plus, per lookup, a struct (ties, event time, payload) of the nearest event or NULL.
 
     ``lookups`` maps an output column to the condition its events meet. An event is in reach when
     ``point_time - before <= event_time <= point_time + after``. Equal distances go to the earlier event,
@@ -49,65 +49,61 @@ def nearest_in_window(
     """
     on = list(on)
     names = list(lookups)
-    fields = [event_time, *ties, *payload]
+    event = F.struct(_AT, *ties, event_time, *payload)
 
+    # Times are microseconds (long) from here on.
     stamped = (
         events.where(F.col(event_time).isNotNull())
-        .withColumns({_BIN: time_bin(event_time, bin_width), _TIME: F.col(event_time)})
+        .withColumn(_AT, epoch_micros(event_time))
         .select(
             *on,
-            _BIN,
-            _TIME,
+            _AT,
             F.lit(False).alias(_POINT),
-            *[F.when(cond, F.struct(*fields)).alias(name) for name, cond in lookups.items()],
+            *[F.when(cond, event).alias(name) for name, cond in lookups.items()],
         )
-        .where(F.coalesce(*[F.col(n) for n in names]).isNotNull())
+        .where(F.coalesce(*names).isNotNull())
     )
+    keyed = points.withColumn(_AT, epoch_micros(point_time))
     types = stamped.schema
-    asked = (
-        points.where(F.col(point_time).isNotNull())
-        .withColumns({_BIN: time_bin(point_time, bin_width), _TIME: F.col(point_time)})
-        .select(
-            *on,
-            _BIN,
-            _TIME,
-            F.lit(True).alias(_POINT),
-            *[F.lit(None).cast(types[n].dataType).alias(n) for n in names],
-        )
+    asked = keyed.where(F.col(_AT).isNotNull()).select(
+        *on,
+        _AT,
+        F.lit(True).alias(_POINT),
+        *[F.lit(None).cast(types[n].dataType).alias(n) for n in names],
     )
     timeline = (
         stamped.unionByName(asked)
-        .groupBy(*on, _BIN, _TIME)
+        .groupBy(*on, bin_of(F.col(_AT), bin_width).alias(_BIN), _AT)
         .agg(F.max(_POINT).alias(_POINT), *[F.min(n).alias(n) for n in names])
     )
 
     carried = _carried(timeline, on, names, before, after, bin_width)
     rows = timeline.withColumn(_EDGE, F.lit(0)).unionByName(carried, allowMissingColumns=True)
     place = [*on, _BIN]
-    forward = W.partitionBy(*place).orderBy(_EDGE, _TIME)
-    backward = W.partitionBy(*place).orderBy(F.col(_EDGE).desc(), F.col(_TIME).desc())
+    forward = W.partitionBy(*place).orderBy(_EDGE, _AT)
+    backward = W.partitionBy(*place).orderBy(F.desc(_EDGE), F.desc(_AT))
     upto = forward.rowsBetween(W.unboundedPreceding, W.currentRow)
     beyond = backward.rowsBetween(W.unboundedPreceding, -1)
     neighbours = rows.select(
         *on,
-        _TIME,
+        _AT,
         _POINT,
         *[F.last(n, ignorenulls=True).over(upto).alias(f"__prev_{n}") for n in names],
         *[F.last(n, ignorenulls=True).over(beyond).alias(f"__next_{n}") for n in names],
-    ).where(F.col(_POINT))
+    ).where(_POINT)
 
     def reach(side: str, name: str) -> Column:
-        event = F.col(f"__{side}_{name}")
-        gap = seconds_between(event[event_time], _TIME)
-        return F.when(
-            gap.between(F.lit(-before.total_seconds()), F.lit(after.total_seconds())),
-            F.struct(F.abs(gap).alias("distance"), event.alias("event")),
-        )
+        found = F.col(f"__{side}_{name}")
+        gap = found[_AT] - F.col(_AT)
+        inside = gap.between(-micros(before), micros(after))
+        return F.when(inside, F.struct(F.abs(gap).alias("distance"), found.alias("event")))
 
     best = neighbours.select(
-        *on, _TIME, *[F.least(reach("prev", n), reach("next", n))["event"].alias(n) for n in names]
-    ).withColumnRenamed(_TIME, point_time)
-    return points.join(best, [*on, point_time], "left").select(*points.columns, *names)
+        *on,
+        _AT,
+        *[F.least(reach("prev", n), reach("next", n))["event"].dropFields(_AT).alias(n) for n in names],
+    )
+    return keyed.join(best, [*on, _AT], "left").select(*points.columns, *names)
 
 
 def _carried(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.columns import anchored_age, icu_expire_flag, offset
@@ -25,12 +25,12 @@ STAY_AFTER = timedelta(hours=24)
 def _labelled(labevents: DataFrame, d_labitems: DataFrame, items: Sequence[int]) -> DataFrame:
     """Results of the wanted items with their label (NULL where the dimension lacks the item).
 
-    A handful of items covers all rows, so a shuffle by item would put everything in a few tasks. The
-    dimension is cut to the items asked for, one row each, and that is what gets broadcast.
+    A handful of items covers all rows, so a shuffle by item would put everything in a few tasks. ``itemid``
+    is the key of the dimension: cut to the items asked for it has at most ``len(items)`` rows, and that is
+    what gets broadcast.
     """
     wanted = F.col("itemid").isin(*items)
-    labels = d_labitems.where(wanted).dropDuplicates(["itemid"])
-    return labevents.where(wanted).join(F.broadcast(labels), "itemid", "left")
+    return labevents.where(wanted).join(F.broadcast(d_labitems.where(wanted)), "itemid", "left")
 
 
 def lab_pairs(
@@ -50,19 +50,13 @@ def nearest_labs(
     records: DataFrame,
     labevents: DataFrame,
     d_labitems: DataFrame,
-    labels: Sequence[str] = LAB_LABELS,
+    conditions: Mapping[str, Column],
     items: Sequence[int] = LAB_ITEM_IDS,
 ) -> DataFrame:
-    """Per recording and label two structs: ``<label>`` nearest result with a value, ``<label>_any`` nearest result."""
-    results = _labelled(labevents, d_labitems, items)
-    conditions = {}
-    for name in labels:
-        of_label = F.lower("label") == name
-        conditions[name] = of_label & F.col("valuenum").isNotNull()
-        conditions[f"{name}_any"] = of_label
+    """Per recording and condition (on label and value) a struct with the nearest result within four hours."""
     return nearest_in_window(
         records.select("subject_id", "study_id", "ecg_time"),
-        results,
+        _labelled(labevents, d_labitems, items),
         ["subject_id"],
         "ecg_time",
         "charttime",
@@ -81,15 +75,26 @@ def lab_labels(
     labels: Sequence[str] = LAB_LABELS,
     coherent: bool = True,
 ) -> DataFrame:
-    """``study_id``, ``<label>``, ``<label>_offset`` (minutes) for recordings with any result in reach."""
-    near = nearest_labs(records, labevents, d_labitems, labels)
-    seen = F.coalesce(*[F.col(f"{n}_any") for n in labels]).isNotNull()
+    """``study_id``, ``<label>``, ``<label>_offset`` (minutes) for recordings with any labelled result in reach.
+
+    ``coherent`` as in ``nearest_value``: value and offset from one result, or each from its own nearest.
+    """
+    of_label = {name: F.lower("label") == name for name in labels}
+    valued = F.col("valuenum").isNotNull()
+    conditions = {name: of_label[name] & valued for name in labels}
+    if coherent:
+        seen = ["any"]
+        conditions["any"] = F.col("label").isNotNull()
+    else:
+        seen = [f"{name}_any" for name in labels]
+        conditions.update({f"{name}_any": of_label[name] for name in labels})
+    near = nearest_labs(records, labevents, d_labitems, conditions)
     columns = []
     for name in labels:
-        source = name if coherent else f"{name}_any"
+        timed = name if coherent else f"{name}_any"
         columns.append(F.col(name)["valuenum"].alias(name))
-        columns.append(offset(F.col(source)["charttime"], "ecg_time").alias(f"{name}_offset"))
-    return near.where(seen).select("study_id", *columns)
+        columns.append(offset(F.col(timed)["charttime"], "ecg_time").alias(f"{name}_offset"))
+    return near.where(F.coalesce(*seen).isNotNull()).select("study_id", *columns)
 
 
 def stay_recordings(records: DataFrame, stays: DataFrame) -> DataFrame:

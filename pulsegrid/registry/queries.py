@@ -326,10 +326,9 @@ def semi_join_multi_ecg(t: Proxies) -> DataFrame:
 
 @_query
 def nearest_lab(t: Proxies) -> DataFrame:
-    near = cohort.nearest_labs(t.records, t.labevents, t.d_labitems)
-    cells = F.array(
-        *[F.struct(F.lit(n).alias("label"), F.col(f"{n}_any").alias("hit")) for n in schemas.LAB_LABELS]
-    )
+    of_label = {name: F.lower("label") == name for name in schemas.LAB_LABELS}
+    near = cohort.nearest_labs(t.records, t.labevents, t.d_labitems, of_label)
+    cells = F.array(*[F.struct(F.lit(n).alias("label"), F.col(n).alias("hit")) for n in of_label])
     long = near.select("study_id", "ecg_time", F.explode(cells).alias("c")).where("c.hit is not null")
     return _round(
         long.select(
