@@ -97,43 +97,40 @@ def density(
     rows per group) meet the kernel.
     """
     by = list(by)
-    data = df.where(_present(col)).select(*by, F.col(col).cast("double").alias("x"))
-    bounds = data.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")))
-    step = F.nullif((F.col("b.hi") - F.col("b.lo")) / (grid - 1), F.lit(0.0))
-    at = F.coalesce((F.col("x") - F.col("b.lo")) / step, F.lit(0.0))
+    value = F.col(col).cast("double")
+    data = df.where(_present(col)).select(*by, value.alias("__x"))
+    bounds = data.agg(F.struct(F.min("__x").alias("lo"), F.max("__x").alias("hi")))
+    low = F.col("__range.lo")
+    step = F.nullif((F.col("__range.hi") - low) / (grid - 1), F.lit(0.0))
+    at = F.coalesce((F.col("__x") - low) / step, F.lit(0.0))
     cell = F.least(F.floor(at), F.lit(grid - 2).cast("long"))
     shared = (
-        data.withColumn("b", bounds.scalar())
-        .select(*by, "b", cell.alias("cell"), (at - cell).alias("part"))
-        .groupBy(*by, "b", "cell")
-        .agg(F.sum(1 - F.col("part")).alias("left"), F.sum("part").alias("right"))
+        data.withColumn("__range", bounds.scalar())
+        .select(*by, "__range", cell.alias("__cell"), (at - cell).alias("__part"))
+        .groupBy(*by, "__range", "__cell")
+        .agg(F.sum(1 - F.col("__part")).alias("__left"), F.sum("__part").alias("__right"))
+    )
+    halves = F.array(
+        F.struct(F.col("__cell").alias("cell"), F.col("__left").alias("weight")),
+        F.struct((F.col("__cell") + 1).alias("cell"), F.col("__right").alias("weight")),
     )
     weights = (
-        shared.select(
-            *by,
-            "b",
-            F.explode(
-                F.array(
-                    F.struct(F.col("cell").alias("c"), F.col("left").alias("w")),
-                    F.struct((F.col("cell") + 1).alias("c"), F.col("right").alias("w")),
-                )
-            ).alias("p"),
-        )
-        .groupBy(*by, "b", F.col("p.c").alias("c"))
-        .agg(F.sum("p.w").alias("w"))
+        shared.select(*by, "__range", F.explode(halves).alias("__half"))
+        .groupBy(*by, "__range", F.col("__half.cell").alias("__cell"))
+        .agg(F.sum("__half.weight").alias("__weight"))
     )
-    totals = weights.groupBy(*by).agg(F.sum("w").alias("total"))
+    totals = weights.groupBy(*by).agg(F.sum("__weight").alias("__total"))
     if bandwidth is None:
-        weights = weights.join(bandwidths(df, col, by), by)
+        weights = weights.join(bandwidths(df, col, by).withColumnRenamed("h", "__h"), by)
     else:
-        weights = weights.withColumn("h", F.lit(float(bandwidth)))
+        weights = weights.withColumn("__h", F.lit(float(bandwidth)))
     weights = weights.join(totals, by)
     width = F.coalesce(step, F.lit(0.0))
-    z = (F.col("g") - F.col("c")) * width / F.col("h")
-    kernel = F.exp(-z * z / 2) / (F.col("h") * math.sqrt(2 * math.pi))
+    z = (F.col("__grid") - F.col("__cell")) * width / F.col("__h")
+    kernel = F.exp(-z * z / 2) / (F.col("__h") * math.sqrt(2 * math.pi))
     return (
-        weights.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-        .groupBy(*by, "g", (F.col("b.lo") + F.col("g") * width).alias("x"))
-        .agg(F.sum(F.col("w") / F.col("total") * kernel).alias("density"))
-        .drop("g")
+        weights.withColumn("__grid", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+        .groupBy(*by, "__grid", (low + F.col("__grid") * width).alias("x"))
+        .agg(F.sum(F.col("__weight") / F.col("__total") * kernel).alias("density"))
+        .drop("__grid")
     )

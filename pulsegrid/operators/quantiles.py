@@ -40,56 +40,56 @@ def exact_quantiles(
     """
     by = list(by)
     probs = list(probs)
-    data = df.select(*by, F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    data = df.select(*by, F.col(col).cast("double").alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
 
     around = [q for p in probs for q in (max(p - ENCLOSURE, 0.0), min(p + ENCLOSURE, 1.0))]
     everything = F.array(*[F.lit(float("-inf")), F.lit(float("inf"))] * len(probs))
-    small = F.count("x") <= KEEP_ALL
-    sketch = F.percentile_approx("x", around, ACCURACY)
-    fences = data.groupBy(*by).agg(F.when(small, everything).otherwise(sketch).alias("f"))
+    small = F.count("__x") <= KEEP_ALL
+    sketch = F.percentile_approx("__x", around, ACCURACY)
+    fences = data.groupBy(*by).agg(F.when(small, everything).otherwise(sketch).alias("__f"))
     if not by:
-        fenced = data.withColumn("f", fences.scalar())
+        fenced = data.withColumn("__f", fences.scalar())
     else:
         fenced = data.join(F.broadcast(fences) if few_groups else fences, by)
 
-    fence = [F.get("f", F.lit(i)) for i in range(2 * len(probs))]
-    slot = sum((f < F.col("x")).cast("int") for f in fence)
+    fence = [F.get("__f", F.lit(i)) for i in range(2 * len(probs))]
+    slot = sum((f < F.col("__x")).cast("int") for f in fence)
     kept = F.lit(False)
     for lo, hi in zip(fence[::2], fence[1::2]):
-        kept = kept | F.col("x").between(lo, hi)
+        kept = kept | F.col("__x").between(lo, hi)
     # In a slot the uncounted values lie below the one kept value it may have, its upper fence.
     counts = (
-        fenced.select(*by, slot.alias("slot"), F.when(kept, F.col("x")).alias("v"))
-        .groupBy(*by, "slot", "v")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        fenced.select(*by, slot.alias("__slot"), F.when(kept, F.col("__x")).alias("__v"))
+        .groupBy(*by, "__slot", "__v")
+        .agg(F.count(F.lit(1)).alias("__rows"))
     )
 
     whole = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    per_slot = counts.groupBy(*by, "slot").agg(F.sum("rows").alias("total"))
+    per_slot = counts.groupBy(*by, "__slot").agg(F.sum("__rows").alias("__total"))
     slots = per_slot.select(
         *by,
-        "slot",
+        "__slot",
         F.coalesce(
-            F.sum("total").over(whole.orderBy("slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("base"),
-        F.sum("total").over(whole).alias("n"),
+            F.sum("__total").over(whole.orderBy("__slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+        ).alias("__base"),
+        F.sum("__total").over(whole).alias("n"),
     )
-    running = W.partitionBy(*by, "slot").orderBy(F.col("v").asc_nulls_first())
-    ranked = counts.join(slots, [*by, "slot"]).select(
-        *by, "v", "n", "rows", (F.col("base") + F.sum("rows").over(running)).alias("upto")
+    running = W.partitionBy(*by, "__slot").orderBy(F.col("__v").asc_nulls_first())
+    ranked = counts.join(slots, [*by, "__slot"]).select(
+        *by, "__v", "n", "__rows", (F.col("__base") + F.sum("__rows").over(running)).alias("__upto")
     )
 
     picks = []
     for i, p in enumerate(probs):
         below = F.floor(F.lit(float(p)) * (F.col("n") - 1))
-        for name, rank in ((f"lo{i}", below), (f"hi{i}", F.least(below + 1, F.col("n") - 1))):
-            holds = (F.col("upto") - F.col("rows") <= rank) & (rank < F.col("upto"))
-            picks.append(F.max(F.when(holds, F.col("v"))).alias(name))
+        for name, rank in ((f"__lo{i}", below), (f"__hi{i}", F.least(below + 1, F.col("n") - 1))):
+            holds = (F.col("__upto") - F.col("__rows") <= rank) & (rank < F.col("__upto"))
+            picks.append(F.max(F.when(holds, F.col("__v"))).alias(name))
     found = ranked.groupBy(*by).agg(F.max("n").alias("n"), *picks)
 
     def interpolated(i: int, p: float) -> Column:
         at = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
         value = lo + (hi - lo) * (at - F.floor(at))
         lost = F.raise_error(F.lit("quantile rank outside its enclosure")).cast("double")
         return F.when(F.col("n").isNull(), None).when(lo.isNull() | hi.isNull(), lost).otherwise(value)

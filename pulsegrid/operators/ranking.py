@@ -31,7 +31,8 @@ def rank_in_group(
     binned = df.withColumn(_BIN, time_bin(time, bin_width))
     earlier = W.partitionBy(*by).orderBy(_BIN).rowsBetween(W.unboundedPreceding, -1)
     base = (
-        binned.groupBy(*by, _BIN)
+        binned.where(F.col(_BIN).isNotNull())
+        .groupBy(*by, _BIN)
         .count()
         .select(*by, _BIN, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__base"))
     )
