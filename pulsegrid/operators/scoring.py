@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,20 +25,32 @@ class Model:
     batch_size: int = 512
 
 
-def score_column(model: Model, signal: str = "signal") -> Column:
-    """Score of one recording; the model sees lead-major float32 rows of ``n_values`` samples."""
+def score_columns(models: Mapping[str, Model], signal: str = "signal") -> Column:
+    """Struct with one score per model; the models see lead-major float32 rows of ``n_values`` samples.
+
+    All models sit in one function, so a recording goes to Python once however many models there are.
+    """
+    sizes = {m.n_values for m in models.values()}
+    if len(sizes) != 1:
+        raise ValueError(f"models differ in input size: {sorted(sizes)}")
+    makers = {name: m.make_predict for name, m in models.items()}
+
+    def make_predict():
+        predictors = {name: make() for name, make in makers.items()}
+        return lambda batch: {name: np.asarray(p(batch), dtype="float64") for name, p in predictors.items()}
+
     predict = predict_batch_udf(
-        model.make_predict,
-        return_type=T.DoubleType(),
-        batch_size=model.batch_size,
-        input_tensor_shapes=[[model.n_values]],
+        make_predict,
+        return_type=T.StructType([T.StructField(name, T.DoubleType()) for name in models]),
+        batch_size=min(m.batch_size for m in models.values()),
+        input_tensor_shapes=[[sizes.pop()]],
     )
     return predict(flatten_signal(signal).cast("array<float>"))
 
 
 def score(df: DataFrame, model: Model, signal: str = "signal", name: str = "score") -> DataFrame:
     """Adds ``name`` and drops the signal. Reject bad recordings first: all rows need ``n_values`` samples."""
-    return df.withColumn(name, score_column(model, signal)).drop(signal)
+    return df.withColumn(name, score_columns({"score": model}, signal)["score"]).drop(signal)
 
 
 def score_all(
@@ -53,17 +66,13 @@ def score_all(
         .groupBy(key)
         .agg(F.collect_set("model").alias("__todo"))
     )
-    scored = signals.select(key, signal).join(todo.hint("shuffle_hash"), key)
-    scored = scored.select(
-        key, "__todo", *[score_column(m, signal).alias(f"__score_{name}") for name, m in models.items()]
-    )
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("model"), F.lit(m.version).alias("version"), F.col(f"__score_{name}").alias("score")
-            )
-            for name, m in models.items()
-        ]
+    wanted = signals.select(key, signal).join(todo.hint("shuffle_hash"), key)
+    scored = wanted.select(key, "__todo", score_columns(models, signal).alias("__scores"))
+    scored = scored.select(key, "__todo", *[F.col("__scores")[name].alias(name) for name in models])
+    # Unpivoting keeps the scores below it evaluated once; exploding an array of them would infer a filter on
+    # the array and score every recording a second time.
+    rows = scored.unpivot([key, "__todo"], list(models), "model", "score")
+    versions = F.create_map(*[F.lit(text) for name, m in models.items() for text in (name, m.version)])
+    return rows.where(F.array_contains("__todo", F.col("model"))).select(
+        key, "model", versions[F.col("model")].alias("version"), "score"
     )
-    wanted = F.filter(cells, lambda c: F.array_contains("__todo", c["model"]))
-    return scored.select(key, F.explode(wanted).alias("cell")).select(key, "cell.*")
