@@ -79,17 +79,14 @@ def nearest_in_window(
 
     carried = _carried(timeline, on, names, before, after, bin_width)
     rows = timeline.withColumn(_EDGE, F.lit(0)).unionByName(carried, allowMissingColumns=True)
-    place = [*on, _BIN]
-    forward = W.partitionBy(*place).orderBy(_EDGE, _AT)
-    backward = W.partitionBy(*place).orderBy(F.desc(_EDGE), F.desc(_AT))
-    upto = forward.rowsBetween(W.unboundedPreceding, W.currentRow)
-    beyond = backward.rowsBetween(W.unboundedPreceding, -1)
+    order = W.partitionBy(*on, _BIN).orderBy(_EDGE, _AT)
+    upto = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     neighbours = rows.select(
         *on,
         _AT,
         _POINT,
         *[F.last(n, ignorenulls=True).over(upto).alias(f"__prev_{n}") for n in names],
-        *[F.last(n, ignorenulls=True).over(beyond).alias(f"__next_{n}") for n in names],
+        *[_following(n, [*on, _BIN], [_EDGE, _AT]).alias(f"__next_{n}") for n in names],
     ).where(_POINT)
 
     def reach(side: str, name: str) -> Column:
@@ -106,6 +103,16 @@ def nearest_in_window(
     return keyed.join(best, [*on, _AT], "left").select(*points.columns, *names)
 
 
+def _following(name: str, partition: Sequence[str], order: Sequence[str]) -> Column:
+    """The next non-null value after the current row, in the same sort order as the backward look.
+
+    The SQL form is used for IGNORE NULLS, which walks forward once; a frame that ends at the last row would
+    be read anew for each row.
+    """
+    part, by = (", ".join(f"`{c}`" for c in cols) for cols in (partition, order))
+    return F.expr(f"lead(`{name}`) ignore nulls over (partition by {part} order by {by})")
+
+
 def _carried(
     timeline: DataFrame,
     on: Sequence[str],
@@ -122,28 +129,24 @@ def _carried(
         *[F.min(n).alias(f"__first_{n}") for n in names],
         *[F.max(n).alias(f"__last_{n}") for n in names],
     )
-    # A bin is of use to later bins within `before` and to earlier bins within `after`: two stretches at most.
-    spread = summary.withColumn(
-        _STRETCH,
-        F.explode(
-            F.sequence(
-                F.floor((F.col(_BIN) - back) / length),
-                F.floor((F.col(_BIN) + ahead) / length),
-            )
-        ),
-    )
-    forward = W.partitionBy(*on, _STRETCH).orderBy(_BIN).rowsBetween(W.unboundedPreceding, -1)
-    backward = W.partitionBy(*on, _STRETCH).orderBy(F.col(_BIN).desc()).rowsBetween(W.unboundedPreceding, -1)
+    # A bin with events is of use to later bins within `before` and to earlier ones within `after`: two
+    # stretches at most. A bin with points only asks, in its own stretch.
+    home = F.floor(F.col(_BIN) / length)
+    reached = F.sequence(F.floor((F.col(_BIN) - back) / length), F.floor((F.col(_BIN) + ahead) / length))
+    useful = F.coalesce(*[F.col(f"__first_{n}") for n in names]).isNotNull()
+    spread = summary.withColumn(_STRETCH, F.explode(F.when(useful, reached).otherwise(F.array(home))))
+    place = [*on, _STRETCH]
+    upto = W.partitionBy(*place).orderBy(_BIN).rowsBetween(W.unboundedPreceding, -1)
     sides = (
         spread.select(
             *on,
             _BIN,
             _STRETCH,
             _POINT,
-            *[F.last(f"__last_{n}", ignorenulls=True).over(forward).alias(f"__prev_{n}") for n in names],
-            *[F.last(f"__first_{n}", ignorenulls=True).over(backward).alias(f"__next_{n}") for n in names],
+            *[F.last(f"__last_{n}", ignorenulls=True).over(upto).alias(f"__prev_{n}") for n in names],
+            *[_following(f"__first_{n}", place, [_BIN]).alias(f"__next_{n}") for n in names],
         )
-        .where(F.col(_POINT) & (F.col(_STRETCH) == F.floor(F.col(_BIN) / length)))
+        .where(F.col(_POINT) & (F.col(_STRETCH) == home))
         .select(
             *on,
             _BIN,

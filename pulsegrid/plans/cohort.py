@@ -12,7 +12,6 @@ from pulsegrid.functions.columns import anchored_age, icu_expire_flag, offset
 from pulsegrid.operators.aggregates import keep_unique
 from pulsegrid.operators.joins import interval_join, lookup
 from pulsegrid.operators.nearest import nearest_in_window
-from pulsegrid.operators.ranking import first_per_group
 from pulsegrid.operators.splitting import group_split
 from pulsegrid.schemas import LAB_ITEM_IDS, LAB_LABELS
 
@@ -104,8 +103,27 @@ def stay_recordings(records: DataFrame, stays: DataFrame) -> DataFrame:
 
 
 def first_recordings(records: DataFrame, stays: DataFrame) -> DataFrame:
-    """The first recording of each stay."""
-    return first_per_group(stay_recordings(records, stays), ["stay_id"], ["ecg_time", "study_id"])
+    """Stays with their first recording, for stays that have one.
+
+    Number one of a stay is the nearest recording at or after the start of its window, so it is looked up
+    without pairing stays and recordings.
+    """
+    started = stays.withColumn("__start", F.col("icu_intime") - F.lit(STAY_BEFORE))
+    found = nearest_in_window(
+        started,
+        records.select("subject_id", "study_id", "ecg_time"),
+        ["subject_id"],
+        "__start",
+        "ecg_time",
+        timedelta(0),
+        STAY_BEFORE + STAY_AFTER,
+        {"first": F.lit(True)},
+        payload=[],
+        ties=["study_id"],
+    )
+    return found.where(F.col("first").isNotNull()).select(
+        *stays.columns, F.col("first")["study_id"].alias("study_id"), F.col("first")["ecg_time"].alias("ecg_time")
+    )
 
 
 def hosp_labels(records: DataFrame, stays: DataFrame) -> DataFrame:

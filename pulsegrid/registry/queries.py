@@ -490,7 +490,8 @@ def ecg_order(t: Proxies) -> DataFrame:
 
 @_query
 def first_ecg_per_stay(t: Proxies) -> DataFrame:
-    return cohort.first_recordings(t.records, t.stays).select("stay_id", "study_id", "ecg_time")
+    rows = cohort.stay_recordings(t.records, t.stays).select("stay_id", "study_id", "ecg_time")
+    return ranking.first_per_group(rows, ["stay_id"], ["ecg_time", "study_id"])
 
 
 @_query

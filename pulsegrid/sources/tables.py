@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,9 @@ def read_many(
 ) -> DataFrame:
     """Files of one kind, with the path each row comes from in ``origin``.
 
-    Files share one layout by default. ``by_name=True`` is for unquoted files whose columns differ: each
-    line is joined to the header line of its own file, and a column the file lacks reads as NULL.
+    Files share one layout by default. ``by_name=True`` is for unquoted files whose columns differ: values
+    are matched to the header line of their own file, and a column the file lacks reads as NULL. The headers,
+    one per file, are looked up in a scalar subquery, so the lines themselves are not shuffled.
     """
     if not by_name:
         rows = read_table(spark, glob, schema)
@@ -46,14 +47,20 @@ def read_many(
     fields = F.split(F.trim("value"), r"\s*,\s*")
     lines = spark.read.text(glob).select(F.col("_metadata.file_path").alias(origin), fields.alias("fields"))
     is_header = F.get("fields", F.lit(0)).isin(*schema.names)
-    headers = lines.where(is_header).select(origin, F.col("fields").alias("header"))
-    # An empty field is a missing value; short lines are padded.
-    padded = F.transform("header", lambda _, i: F.nullif(F.get("fields", i), F.lit("")))
-    cells = F.map_from_arrays("header", padded)
-    named = lines.where(~is_header).join(headers, origin).select(origin, cells.alias("cells"))
-    return named.select(
-        *[F.element_at("cells", F.lit(f.name)).cast(f.dataType).alias(f.name) for f in schema], origin
+    headers = lines.where(is_header).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(origin), F.col("fields")))).alias("headers")
     )
+    rows = lines.where(~is_header).select(
+        origin, "fields", F.element_at(headers.scalar(), F.col(origin)).alias("header")
+    )
+
+    def value(field: T.StructField) -> Column:
+        """An empty field, a field missing at the end of a line and an absent column are all missing values."""
+        place = F.array_position("header", F.lit(field.name)).cast("int") - 1
+        text = F.when(place >= 0, F.get("fields", place))
+        return F.nullif(text, F.lit("")).cast(field.dataType).alias(field.name)
+
+    return rows.select(*[value(f) for f in schema], origin)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
