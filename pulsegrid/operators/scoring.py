@@ -58,15 +58,15 @@ def score_all(
 ) -> DataFrame:
     """Rows (key, model, version, score) for what ``done`` lacks, reading each signal once for all models.
 
-    The list of pending models per recording is narrow and is the hashed side of the join; the wide signal
-    rows stream past it and are not sorted.
+    Recordings with nothing pending are dropped by a join with the narrow list of pending models before
+    anything goes to Python.
     """
     todo = (
         pending(signals.select(key), done, {name: m.version for name, m in models.items()}, key)
         .groupBy(key)
         .agg(F.collect_set("model").alias("__todo"))
     )
-    wanted = signals.select(key, signal).join(todo.hint("shuffle_hash"), key)
+    wanted = signals.select(key, signal).join(todo, key)
     scored = wanted.select(key, "__todo", score_columns(models, signal).alias("__scores"))
     scored = scored.select(key, "__todo", *[F.col("__scores")[name].alias(name) for name in models])
     # Unpivoting keeps the scores below it evaluated once; exploding an array of them would infer a filter on

@@ -25,8 +25,9 @@ def build_features(
     """One row per sound recording: standardised signal, demographics, labels; absent labels are NULL.
 
     All narrow joins come first. The signal table, nearly all of the bytes, is rejected and scaled where it
-    is read and meets the narrow rows once, as the streamed side of a hash join: it is never sorted, and not
-    shuffled either when it is stored bucketed by ``file_name``.
+    is read and meets the narrow rows once. Under the settings of ``session`` that is a broadcast join while
+    the narrow rows are measured to be small, then a hash join that leaves signals unsorted; stored bucketed
+    by ``file_name`` they are not shuffled either.
     """
     narrow = attach_labels(recordings, labs, stays).select(
         "file_name",
@@ -40,7 +41,7 @@ def build_features(
         "ecg_offset",
     )
     scaled = zscore(reject_bad(signals.select("file_name", "signal")))
-    return scaled.join(narrow.hint("shuffle_hash"), "file_name")
+    return scaled.join(narrow, "file_name")
 
 
 @dataclass(frozen=True)

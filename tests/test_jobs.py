@@ -99,13 +99,29 @@ def test_task_views(feature_rows):
     assert set(features.TASKS) >= {"resnet-sodium", "transformer-age3", "tl-age-sex"}
 
 
-def test_signals_meet_labels_without_a_sort(feature_rows):
-    plan = plan_of(feature_rows)
-    top = plan[: plan.index("ShuffledHashJoin")]
-    assert "SortMergeJoin" not in top and "Sort [" not in top
+@pytest.fixture
+def nothing_is_small(spark):
+    """Rule out broadcasts, as with tables beyond the threshold."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, "-1")
+    yield
+    for key in keys:
+        spark.conf.unset(key)
 
 
-def test_bucketed_signals_are_not_shuffled(spark, tables):
+def signal_join(plan):
+    """The part of an executed plan from the join with the signals downwards."""
+    return plan[plan.index("ShuffledHashJoin [file_name"):]
+
+
+def test_signals_meet_labels_without_a_sort(feature_rows, nothing_is_small):
+    stream = signal_join(plan_of(feature_rows.select("*"), executed=True)).splitlines()
+    side = [line for line in stream[: next(i for i, line in enumerate(stream) if "Scan" in line)]]
+    assert not any("Sort" in line for line in side)
+
+
+def test_bucketed_signals_are_not_shuffled(spark, tables, nothing_is_small):
     signals = spark.createDataFrame([(k, 500, v) for k, v in SIGNALS.items()], "file_name long, fs int, signal array<array<double>>")
     shards.write_bucketed(signals, "bucketed_signals", "file_name", 4)
     try:
@@ -113,10 +129,10 @@ def test_bucketed_signals_are_not_shuffled(spark, tables):
         labs = spark.createDataFrame([(11, 4.5, 3.0)], "study_id long, potassium double, potassium_offset double")
         stays = cohort.hosp_labels(tables["records"], tables["stays"])
         out = features.build_features(recordings, spark.table("bucketed_signals"), labs, stays, labels=["potassium"])
-        plan = plan_of(out)
-        stream = plan[plan.index("ShuffledHashJoin"):]
-        first_scan = stream.index("FileScan")
-        assert "Exchange" not in stream[:first_scan] and "Bucketed: true" in stream[first_scan:first_scan + 400]
+        stream = signal_join(plan_of(out, executed=True))
+        side = stream[: stream.index("FileScan")]
+        assert "Exchange" not in side and "Sort" not in side
+        assert "Bucketed: true" in stream[len(side): len(side) + 400]
         assert rows(out, "file_name") == [(11,), (21,), (91,)]
     finally:
         spark.sql("drop table bucketed_signals")
