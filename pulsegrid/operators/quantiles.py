@@ -19,8 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.columns import as_column
-
 # The sketches of all tasks are merged by one, so they are kept near 0.2 MB: 10,000 tasks send it 2 GB. Each
 # enclosure then holds 4e-4 of the rows, ordered by one task per enclosure.
 ACCURACY = 20_000  # the sketch errs by at most n / ACCURACY ranks
@@ -45,7 +43,7 @@ def exact_quantiles(
     data = df.select(*by, F.col(col).cast("double").alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
 
     around = [q for p in probs for q in (max(p - ENCLOSURE, 0.0), min(p + ENCLOSURE, 1.0))]
-    everything = F.array(*[F.lit(float("-inf")), F.lit(float("inf"))] * len(probs))
+    everything = F.expr(f"flatten(array_repeat(array(double('-Infinity'), double('Infinity')), {len(probs)}))")
     small = F.count("__x") <= KEEP_ALL
     sketch = F.percentile_approx("__x", around, ACCURACY)
     fences = data.groupBy(*by).agg(F.when(small, everything).otherwise(sketch).alias("__f"))
@@ -54,14 +52,12 @@ def exact_quantiles(
     else:
         fenced = data.join(F.broadcast(fences) if few_groups else fences, by)
 
-    fence = [F.get("__f", F.lit(i)) for i in range(2 * len(probs))]
-    slot = sum((f < F.col("__x")).cast("int") for f in fence)
-    kept = F.lit(False)
-    for lo, hi in zip(fence[::2], fence[1::2]):
-        kept = kept | F.col("__x").between(lo, hi)
-    # In a slot the uncounted values lie below the one kept value it may have, its upper fence.
+    # Written out per fence, so that they compile to plain comparisons. In a slot the uncounted values lie
+    # below the one kept value it may have, its upper fence.
+    slot = " + ".join(f"int(__f[{i}] < __x)" for i in range(len(around)))
+    kept = " or ".join(f"__x between __f[{i}] and __f[{i + 1}]" for i in range(0, len(around), 2))
     counts = (
-        fenced.select(*by, slot.alias("__slot"), F.when(kept, F.col("__x")).alias("__v"))
+        fenced.select(*by, F.expr(slot).alias("__slot"), F.expr(f"if({kept}, __x, null)").alias("__v"))
         .groupBy(*by, "__slot", "__v")
         .agg(F.count(F.lit(1)).alias("__rows"))
     )
@@ -81,22 +77,22 @@ def exact_quantiles(
         *by, "__v", "n", "__rows", (F.col("__base") + F.sum("__rows").over(running)).alias("__upto")
     )
 
-    picks = []
+    def at_rank(rank: str, name: str) -> Column:
+        return F.expr(f"max(if(__upto - __rows <= {rank} and {rank} < __upto, __v, null))").alias(name)
+
+    picks, values = [], []
     for i, p in enumerate(probs):
-        below = F.floor(F.lit(float(p)) * (F.col("n") - 1))
-        for name, rank in ((f"__lo{i}", below), (f"__hi{i}", F.least(below + 1, F.col("n") - 1))):
-            holds = (F.col("__upto") - F.col("__rows") <= rank) & (rank < F.col("__upto"))
-            picks.append(F.max(F.when(holds, F.col("__v"))).alias(name))
+        place = f"{float(p)!r}D * (n - 1)"
+        picks.append(at_rank(f"floor({place})", f"__lo{i}"))
+        picks.append(at_rank(f"least(floor({place}) + 1, n - 1)", f"__hi{i}"))
+        values.append(
+            f"""case when n is null then null
+                when __lo{i} is null or __hi{i} is null
+                    then double(raise_error('quantile rank outside its enclosure'))
+                else __lo{i} + (__hi{i} - __lo{i}) * ({place} - floor({place})) end"""
+        )
     found = ranked.groupBy(*by).agg(F.max("n").alias("n"), *picks)
-
-    def interpolated(i: int, p: float) -> Column:
-        at = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        value = lo + (hi - lo) * (at - F.floor(at))
-        lost = F.raise_error(F.lit("quantile rank outside its enclosure")).cast("double")
-        return F.when(F.col("n").isNull(), None).when(lo.isNull() | hi.isNull(), lost).otherwise(value)
-
-    return found.select(*by, "n", F.array(*[interpolated(i, p) for i, p in enumerate(probs)]).alias("quantiles"))
+    return found.select(*by, "n", F.expr(f"array({', '.join(values)})").alias("quantiles"))
 
 
 def quantile_edges(
@@ -128,21 +124,16 @@ def quantile_bin(
     edges are a one-row scalar subquery; only the ``q + 1`` numbers travel.
     """
     edges = quantile_edges(df, col, q, exact, decimals)
-    x = as_column(col).cast("double")
+    x = F.col(col).cast("double")
     x = x if decimals is None else F.round(x, decimals)
-    x = F.when(~F.isnan(x), x)
-    edge = [F.get("__edges", F.lit(i)) for i in range(q + 1)]
-    above = sum(F.coalesce(e < x, F.lit(False)).cast("int") for e in edge)
-    last_bin = F.greatest(F.size("__edges") - 2, F.lit(0))
-    number = F.when(x.isNotNull(), F.least(F.greatest(above - 1, F.lit(0)), last_bin))
-    return (
-        df.withColumn("__edges", edges.scalar())
-        .withColumn(name, number)
-        .withColumns(
-            {
-                f"{name}_lo": F.get("__edges", F.col(name)),
-                f"{name}_hi": F.coalesce(F.get("__edges", F.col(name) + 1), F.get("__edges", F.col(name))),
-            }
-        )
-        .drop("__edges")
+    above = " + ".join(f"int(coalesce(get(__edges, {i}) < __x, false))" for i in range(q + 1))
+    number = f"if(isnan(__x), null, least(greatest({above} - 1, 0), greatest(size(__edges) - 2, 0)))"
+    placed = df.withColumns({"__edges": edges.scalar(), "__x": x}).withColumn(
+        name, F.expr(f"if(__x is null, null, {number})")
+    )
+    return placed.select(
+        *df.columns,
+        name,
+        F.expr(f"get(__edges, `{name}`)").alias(f"{name}_lo"),
+        F.expr(f"coalesce(get(__edges, `{name}` + 1), get(__edges, `{name}`))").alias(f"{name}_hi"),
     )
