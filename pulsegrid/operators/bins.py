@@ -77,10 +77,10 @@ def hexbin(df: DataFrame, x: str, y: str, bins: int = 30) -> DataFrame:
     )
 
 
-def bandwidths(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
+def bandwidths(df: DataFrame, col: str, by: Sequence[str], few_groups: bool = False) -> DataFrame:
     """Rule-of-thumb Gaussian bandwidth per group: 0.9 min(sd, IQR / 1.34) n^(-1/5)."""
     spread = df.where(_present(col)).groupBy(*by).agg(F.stddev_samp(F.col(col).cast("double")).alias("sd"))
-    quartiles = exact_quantiles(df, col, [0.25, 0.75], by=by)
+    quartiles = exact_quantiles(df, col, [0.25, 0.75], by=by, few_groups=few_groups)
     iqr = (F.get("quantiles", F.lit(1)) - F.get("quantiles", F.lit(0))) / 1.34
     width = F.coalesce(
         F.nullif(F.least("sd", iqr), F.lit(0.0)), F.nullif(F.nanvl("sd", F.lit(None)), F.lit(0.0)), F.lit(1.0)
@@ -89,12 +89,18 @@ def bandwidths(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
 
 
 def density(
-    df: DataFrame, col: str, by: Sequence[str], grid: int = 512, bandwidth: float | None = None
+    df: DataFrame,
+    col: str,
+    by: Sequence[str],
+    grid: int = 512,
+    bandwidth: float | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Gaussian kernel density per group on ``grid`` points over the common range: by, x, density.
 
     Each value is shared linearly between its two grid points and only these weights (at most ``grid``
-    rows per group) meet the kernel.
+    rows per group) meet the kernel. ``few_groups`` as in ``exact_quantiles``: say so for bins, whose number
+    is fixed by the call, and values are not shuffled by group.
     """
     by = list(by)
     value = F.col(col).cast("double")
@@ -121,7 +127,7 @@ def density(
     )
     totals = weights.groupBy(*by).agg(F.sum("__weight").alias("__total"))
     if bandwidth is None:
-        weights = weights.join(bandwidths(df, col, by).withColumnRenamed("h", "__h"), by)
+        weights = weights.join(bandwidths(df, col, by, few_groups).withColumnRenamed("h", "__h"), by)
     else:
         weights = weights.withColumn("__h", F.lit(float(bandwidth)))
     weights = weights.join(totals, by)

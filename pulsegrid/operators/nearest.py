@@ -49,6 +49,9 @@ def nearest_in_window(
     """
     on = list(on)
     names = list(lookups)
+    taken = set(names) & set(points.columns)
+    if taken:
+        raise ValueError(f"lookups named like columns of the points: {sorted(taken)}")
     event = F.struct(_AT, *ties, event_time, *payload)
 
     # Times are microseconds (long) from here on.

@@ -465,7 +465,7 @@ def error_density(t: Proxies) -> DataFrame:
     rows = _scored(t).where("age_pred is not null").withColumn("delta_age", C.age_delta())
     rows = cut(rows.select("admission_age", "delta_age"))
     binned = cut(quantiles.quantile_bin(rows, "admission_age", 5, name="age_bin").select("age_bin", "delta_age"))
-    return _round(bins.density(binned, "delta_age", ["age_bin"]))
+    return _round(bins.density(binned, "delta_age", ["age_bin"], few_groups=True))
 
 
 @_query

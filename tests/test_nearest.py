@@ -195,3 +195,10 @@ def test_nearest_forms_no_pairs(spark):
     plan = plan_of(out)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert plan.count("Join") == 1
+
+
+def test_lookup_names_must_be_new(spark):
+    points, events = spark.createDataFrame([], POINTS), spark.createDataFrame([], EVENTS)
+    day = timedelta(days=1)
+    with pytest.raises(ValueError, match="study_id"):
+        nearest_in_window(points, events, ["subject_id"], "ecg_time", "charttime", day, day, {"study_id": F.lit(True)}, [])
