@@ -33,19 +33,32 @@ def mean_of(values: Column) -> Column:
     return _total(values) / _count(values)
 
 
+def _centred(values: Column, mean: Column) -> Column:
+    return F.transform(values, lambda x: x - mean)
+
+
+def _root_mean_square(values: Column) -> Column:
+    return F.sqrt(F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x * x) / _count(values))
+
+
 def std_of(values: Column, mean: Column) -> Column:
-    """Population standard deviation around a bound mean."""
-    squares = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
-    return F.sqrt(squares / _count(values))
+    """Population standard deviation around a bound mean.
+
+    Centring first and squaring the bound result is measurably faster than squaring a difference inside the
+    running sum, since each step then evaluates fewer nodes.
+    """
+    return _let(_centred(values, mean), _root_mean_square)
 
 
 def has_nan(values: Column) -> Column:
-    return F.exists(values, lambda x: F.isnan(x))
+    """NaN sorts above every number, so one native pass for the maximum finds it."""
+    return F.coalesce(F.isnan(F.array_max(values)), F.lit(False))
 
 
 def is_flat(lead: Column) -> Column:
     """Constant lead; a lead with NaN is never flat (NaN equals nothing, itself included)."""
-    return ~has_nan(lead) & F.coalesce(F.array_min(lead) == F.array_max(lead), F.lit(False))
+    top = F.array_max(lead)
+    return F.coalesce(~F.isnan(top) & (F.array_min(lead) == top), F.lit(False))
 
 
 def lead_stats(signal: Column | str) -> Column:
@@ -85,18 +98,26 @@ def any_flat(signal: Column | str) -> Column:
     return F.exists(as_column(signal), is_flat)
 
 
+def is_sound(signal: Column | str) -> Column:
+    """No NaN and no constant lead, with two native passes per lead."""
+
+    def varies(lead: Column) -> Column:
+        return _let(F.array_max(lead), lambda top: F.coalesce(~F.isnan(top) & (F.array_min(lead) < top), F.lit(True)))
+
+    return F.forall(as_column(signal), varies)
+
+
 def zscore(signal: Column | str) -> Column:
     """Per lead (x - mean) / population sd; NULL samples for a flat lead, which has no scale."""
 
-    def scale(lead: Column) -> Column:
+    def by_its_sd(centred: Column) -> Column:
         return _let(
-            mean_of(lead),
-            lambda m: _let(
-                F.nullif(std_of(lead, m), F.lit(0.0)),
-                lambda s: F.transform(lead, lambda x: (x - m) / s),
-            ),
+            F.nullif(_root_mean_square(centred), F.lit(0.0)), lambda s: F.transform(centred, lambda x: x / s)
         )
 
+    def scale(lead: Column) -> Column:
+        return _let(mean_of(lead), lambda m: _let(_centred(lead, m), by_its_sd))
+
     return F.transform(as_column(signal), scale)
 
 

@@ -14,7 +14,7 @@ def flag_bad(df: DataFrame, signal: str = "signal") -> DataFrame:
 
 def reject_bad(df: DataFrame, signal: str = "signal") -> DataFrame:
     """Recordings without NaN and without constant lead."""
-    return df.where(~S.any_flat(signal) & ~S.any_nan(signal))
+    return df.where(S.is_sound(signal))
 
 
 def reject_counts(df: DataFrame, signal: str = "signal") -> DataFrame:
