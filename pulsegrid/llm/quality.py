@@ -14,7 +14,7 @@ of both classes every score is the share of label 1 (0.5 without any row).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,9 @@ PASSES = 20
 ALPHA = 1.0
 COST = 1.0
 
+#: Feature numbers of all texts, and each text's bounds among them.
+Features = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+
 #: Classes of bytes in a word's shape: letters 1, capitals 2, digits 3, other signs by themselves.
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[[*range(97, 123), *range(128, 256)]] = 1
@@ -46,6 +49,17 @@ def _grams(values: np.ndarray, text: np.ndarray, width: int, salt: int) -> tuple
     return h[inside], text[:n][inside]
 
 
+def distinct(found: list[tuple[np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Feature and text numbers as each text's features once, in order, and the bounds of the ``n`` texts."""
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
+    both = np.concatenate([t.astype(np.uint64) << np.uint64(BITS) | h for h, t in found])
+    both.sort()
+    both = both[np.r_[True, both[1:] != both[:-1]][: len(both)]]
+    where = np.searchsorted(both, np.arange(n + 1, dtype=np.uint64) << np.uint64(BITS))
+    return (both & np.uint64((1 << BITS) - 1)).astype(np.int64), where
+
+
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of all texts one after the other, each once per text in order, and each text's bounds."""
     found = []
@@ -66,13 +80,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         again = np.r_[False, (own[1:] == own[:-1]) & (text[1:] == text[:-1])]
         shape[again] = _AGAIN
         found = [_grams(own, text, 1, 1), _grams(own, text, 2, 2), _grams(shape, text, 1, 3), _grams(shape, text, 2, 4), _grams(shape, text, 3, 5)]
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
-    both = np.concatenate([t.astype(np.uint64) << np.uint64(BITS) | h for h, t in found])
-    both.sort()
-    both = both[np.r_[True, both[1:] != both[:-1]]]
-    where = np.searchsorted(both, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(BITS))
-    return (both & np.uint64((1 << BITS) - 1)).astype(np.int64), where
+    return distinct(found, len(texts))
 
 
 def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: np.ndarray, size: int, seed: int = 3) -> tuple[np.ndarray, float]:
@@ -143,34 +151,34 @@ def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(model)), pa.array([v.astype("<f8").tobytes() for v in model.values()], pa.binary())], names=["name", "numbers"])
 
 
-def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _own(batches: Iterator[pa.RecordBatch], of: Features) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = words.texts_of(batch, "text")
         for lo, hi in words.groups(texts):
-            found, where = features(texts[lo:hi])
+            found, where = of(texts[lo:hi])
             lists = pa.ListArray.from_arrays(pa.array(where.astype(np.int32)), pa.array(found.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([lists, batch.column("label")[lo:hi]], names=["own", "label"])
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, of: Features = features) -> dict[str, np.ndarray]:
     """The model of ``label_col``, from at most ``sample`` rows of ``labels``."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(F.max(label_col).cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
     # At most ``sample`` ids and labels.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("label_id")).select("text", "label")
-    own = cut(rows.mapInArrow(_own, "own array<int>, label int"), "features")
+    own = cut(rows.mapInArrow(lambda b: _own(b, of), "own array<int>, label int"), "features")
     model = own.coalesce(1).mapInArrow(_fit_rows, "name string, numbers binary").collect()
     return {r.name: np.frombuffer(r.numbers, "<f8") for r in model}
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: dict[str, np.ndarray], text_col: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+def _scored(batches: Iterator[pa.RecordBatch], model: dict[str, np.ndarray], text_col: str, of: Features) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     weight, ratio = model["weight"] * model["ratio"], model["ratio"] ** 2
     bias, slope, offset = model["tail"]
     for batch in batches:
         texts = words.texts_of(batch, text_col)
         made = [np.zeros(0)]
         for lo, hi in words.groups(texts):
-            found, where = features(texts[lo:hi])
+            found, where = of(texts[lo:hi])
             sums = [np.r_[0.0, np.cumsum(x[found])] for x in (weight, ratio)]
             dot, norm = (s[where[1:]] - s[where[:-1]] for s in sums)
             margin = dot / np.sqrt(np.maximum(norm, 1e-24)) + bias
@@ -178,14 +186,14 @@ def _scored(batches: Iterator[pa.RecordBatch], model: dict[str, np.ndarray], tex
         yield batch, np.concatenate(made)
 
 
-def score(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text", of: Features = features) -> DataFrame:
     """``id_col`` and ``score``, one row per row of ``docs``."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # three arrays of 2**BITS numbers at most
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, made in _scored(batches, held.value, "text"):
+        for batch, made in _scored(batches, held.value, "text", of):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made)], names=["id", "score"])
 
     return rows.mapInArrow(scores, f"id {id_type}, score double").withColumnRenamed("id", id_col)
@@ -196,7 +204,7 @@ def keep_good(docs: DataFrame, model: dict[str, np.ndarray], threshold: float, t
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, made in _scored(batches, held.value, text_col):
+        for batch, made in _scored(batches, held.value, text_col, features):
             yield batch.filter(pa.array(made >= threshold))
 
     return docs.mapInArrow(kept, docs.schema)
