@@ -22,17 +22,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import sketch, words
+from pulsegrid.sources.scratch import cut
 
 #: Bytes of one rolling hash, and positions among which the least hash is a trigger.
 GRAM, SPAN = 8, 100
 #: Bytes scanned at once; triggers found in a batch of this size are compared before any leaves it.
 SCAN_BYTES, BATCH_BYTES = 1 << 21, 24 << 20
-#: Rows of a part of the corpus order held at once; a larger part is compared through its strings' hashes.
+#: Rows of a part of the corpus order held at once; a larger part is compared through its strings' hashes, so many rows
+#: at a time, and equal hashes meet in a shuffle.
 PART_ROWS = 100_000
+STRING_ROWS = 10_000
 _NEAR = pa.schema([("part", pa.int64()), ("tag", pa.int32()), ("whole", pa.int64()), ("n", pa.int8()), ("key", pa.int64()), ("at", pa.int32()), ("left", pa.binary()), ("right", pa.binary()), ("far", pa.int16()), ("near", pa.int16())])
 _NEAR_SQL = "part long, tag int, whole long, n byte, key long, at int, left binary, right binary, far short, near short"
 #: Ranges lo to hi of starts to remove; or, with a hash, strings still to be compared (lo, hi: one start).
@@ -221,28 +225,36 @@ def _result(key: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int8()), pa.array(key), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], schema=_OUT)
 
 
-def _strings(rows: pa.Table, whole: np.ndarray, weight: np.ndarray, width: int) -> pa.RecordBatch:
-    """Every string of these rows with its hash, equal ones of several rows counted: for parts too large for one task."""
+def _strings(rows: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
+    """Every string of these rows by its hash, for parts too large for one task: equal ones of these rows are settled
+    here, and one of them goes on."""
+    base = np.uint64(0xA0761D6478BD642F)
     left, _ = _padded(rows["left"].combine_chunks(), width, True)
     right, _ = _padded(rows["right"].combine_chunks(), width, False)
-    n, base = len(left), 0xA0761D6478BD642F
-    part, tag = rows["part"].to_numpy().view(np.uint64), rows["tag"].to_numpy().astype(np.uint64)
-    before = np.zeros((n, width), np.uint64)
-    after = np.zeros((n, width), np.uint64)
-    for out, side, salt in ((before, left, 11), (after, right, 23)):
-        h = words.mix(part ^ tag << np.uint64(32), salt)
+    seed = rows["part"].to_numpy().view(np.uint64) ^ rows["tag"].to_numpy().astype(np.uint64) << np.uint64(32)
+    sides = []
+    for side, salt in ((left, 11), (right, 23)):
+        out, h = np.zeros((len(side), width), np.uint64), words.mix(seed, salt)
         for a in range(width):
             out[:, a] = h
-            h = words.mix(h * np.uint64(base) + side[:, a].astype(np.uint64) + np.uint64(1), salt)
-    far, near = rows["far"].to_numpy(), rows["near"].to_numpy()
-    span = np.arange(width)
+            h = words.mix(h * base + side[:, a].astype(np.uint64) + np.uint64(1), salt)
+        sides.append(out)
+    far, near, span = rows["far"].to_numpy(), rows["near"].to_numpy(), np.arange(width)
     row, a = np.nonzero((near[:, None] <= span) & (span <= far[:, None]))
-    two = (before[row, a], after[row, width - 1 - a])
-    h = words.mix(two[0] * np.uint64(base) + two[1] + a.astype(np.uint64))
-    t = (words.mix(two[0] + two[1] * np.uint64(base), 5) >> np.uint64(33)).astype(np.int32)
-    n8 = weight[row].astype(np.int8)
-    start = rows["at"].to_numpy()[row] - a
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(t), pa.array(n8), pa.array(rows["key"].to_numpy()[row]), pa.array(start.astype(np.int32)), pa.array(start.astype(np.int32))], schema=_OUT)
+    before, after = sides[0][row, a], sides[1][row, width - 1 - a]
+    h = words.mix(before * base + after + a.astype(np.uint64))
+    tag = (words.mix(before + after * base, 5) >> np.uint64(33)).astype(np.int32)
+    key, start, n = rows["key"].to_numpy()[row], rows["at"].to_numpy()[row].astype(np.int64) - a, rows["n"].to_numpy()[row].astype(np.int64)
+    order = np.lexsort((tag, h))
+    heads = np.flatnonzero(np.r_[True, (h[order][1:] != h[order][:-1]) | (tag[order][1:] != tag[order][:-1])][: len(order)])
+    if not len(heads):
+        return
+    total = np.add.reduceat(n[order], heads)
+    met = order[np.repeat(total > 1, np.diff(np.r_[heads, len(order)]))]
+    yield _result(*_ranges(key[met], start[met], start[met]))
+    one = order[heads]
+    place = pa.array(start[one].astype(np.int32))
+    yield pa.RecordBatch.from_arrays([pa.array(h[one].view(np.int64)), pa.array(tag[one]), pa.array(np.minimum(total, 2).astype(np.int8)), pa.array(key[one]), place, place], schema=_OUT)
 
 
 def _part(rows: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
@@ -267,39 +279,60 @@ def _part(rows: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
     yield _result(key[met], at[met] - far[met], at[met] - near[met])
     # One row for each phrase and surroundings; parts with only one of them have nothing more to compare.
     group = np.cumsum(new)[heads]
-    sizes = np.bincount(group)
-    several = sizes[group] > 1
-    head, group, weight = order[heads[several]], group[several], np.minimum(total[several], 2)
-    large = sizes[group] > PART_ROWS
-    if large.any():
-        yield _strings(rows.take(pa.array(head[large])), whole, weight[large], width)
-    small = np.flatnonzero(~large)
-    if len(small):
-        head, group, weight = head[small], group[small], weight[small]
+    several = np.bincount(group)[group] > 1
+    if several.any():
+        head, group, weight = order[heads[several]], group[several], np.minimum(total[several], 2)
         own = rows.select(["left", "right"]).take(pa.array(head))
         found = corpus_order(group, own["left"].combine_chunks(), own["right"].combine_chunks(), far[head], near[head], weight, width)
         found &= (weight < 2)[:, None]
         yield _result(*_starts(found, key[head], at[head]))
 
 
-def _order_parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by part: complete parts are handled together, and a part too large for memory as strings."""
+def _order_parts(batches: Iterator[pa.RecordBatch], width: int, part_rows: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by part: complete parts are handled together, a part larger than ``part_rows`` as strings."""
     held: list[pa.RecordBatch] = []
-    n = 0
+    n, large = 0, None
+
+    def handle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Rows up to the end of a part."""
+        rest = 0
+        if large is not None:
+            rest = int(np.searchsorted(rows["part"].to_numpy(), large, "right"))
+            for k in range(0, rest, STRING_ROWS):
+                yield from _open_rows(rows.slice(k, min(STRING_ROWS, rest - k)), width)
+        if rest < len(rows):
+            yield from _part(rows.slice(rest), width)
+
     for batch in batches:
         held.append(batch)
         n += len(batch)
-        if n < PART_ROWS:
+        if n < part_rows:
             continue
         rows = pa.Table.from_batches(held)
         part = rows["part"].to_numpy()
         cut = int(np.searchsorted(part, part[-1], "left"))
         if cut:
-            yield from _part(rows.slice(0, cut), width)
-            rows = rows.slice(cut)
+            yield from handle(rows.slice(0, cut))
+            rows, large = rows.slice(cut), None if part[-1] != large else large
+        if len(rows) >= part_rows:
+            large = part[-1]
+            yield from handle(rows)
+            rows = rows.slice(0, 0)
         held, n = rows.to_batches(), len(rows)
     if held:
-        yield from _part(pa.Table.from_batches(held), width)
+        yield from handle(pa.Table.from_batches(held))
+
+
+def _open_rows(rows: pa.Table, width: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a large part: settled ranges as they are, the others as strings."""
+    done = pa.array(rows["tag"].to_numpy() == -1)
+    yield from _part(rows.filter(done), width)
+    rows = rows.filter(pc.invert(done))
+    if len(rows):
+        met = rows.filter(pa.array(rows["n"].to_numpy() > 1))
+        at, far, near = (met[c].to_numpy().astype(np.int64) for c in ("at", "far", "near"))
+        yield _result(met["key"].to_numpy(), at - far, at - near)
+        yield from _strings(rows, width)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -307,7 +340,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.xxhash64(F.col(id_col), text).alias("key"), F.col(id_col).alias("id"), text.alias("text"))
 
 
-def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
+def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, part_rows: int = PART_ROWS) -> DataFrame:
     """Rows ``key``, ``lo``, ``hi``: strings that start at bytes lo to hi of the document of that key occur elsewhere."""
     if length < SPAN + 2 * GRAM:
         raise ValueError(f"length is at least {SPAN + 2 * GRAM}")
@@ -322,7 +355,11 @@ def repeated_starts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Triggers are SPAN / 2 bytes apart on average; the bitmaps' size is bounded by sketch.MAX_BITS.
     bitmaps = docs.sparkSession.sparkContext.broadcast(sketch.repeated(rows.select("text"), parts, sketch.bits_for(size // (SPAN // 2))))
     near = rows.select("key", "text").mapInArrow(lambda b: _near(b, length, bitmaps.value), _NEAR_SQL)
-    return near.repartition("part").sortWithinPartitions("part", "tag").mapInArrow(lambda b: _order_parts(b, SPAN), _OUT_SQL).select("key", "lo", "hi")
+    parts = near.repartition("part").sortWithinPartitions("part", "tag").mapInArrow(lambda b: _order_parts(b, SPAN, part_rows), _OUT_SQL)
+    parts = cut(parts, "repeats")
+    total = F.sum("n").over(Window.partitionBy("h", "tag"))
+    large = parts.where("h IS NOT NULL").withColumn("total", total).where("total > 1")
+    return parts.where("h IS NULL").select("key", "lo", "hi").union(large.select("key", "lo", "hi"))
 
 
 def _kept(texts: pa.Array, ranges: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, bytes]]:
@@ -345,13 +382,13 @@ def _digests(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, numbers), pa.array([m[3] for m in made], pa.string())], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _by_document(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
-    return repeated_starts(docs, id_col, text_col, length).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+def _by_document(docs: DataFrame, id_col: str, text_col: str, length: int, part_rows: int = PART_ROWS) -> DataFrame:
+    return repeated_starts(docs, id_col, text_col, length, part_rows).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
 
 
-def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
+def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, part_rows: int = PART_ROWS) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
-    joined = _keyed(docs, id_col, text_col).join(_by_document(docs, id_col, text_col, length), "key", "left").select("id", "text", "ranges")
+    joined = _keyed(docs, id_col, text_col).join(_by_document(docs, id_col, text_col, length, part_rows), "key", "left").select("id", "text", "ranges")
     id_type = docs.schema[id_col].dataType.simpleString()
     return joined.mapInArrow(lambda b: _digests(b, length), f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
 
@@ -363,7 +400,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = rows.join(_by_document(docs, id_col, text_col, length), "key", "left").select("row", "ranges")
     place = docs.columns.index(text_col)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = batch.column("row")
             fields = [row.field(k) for k in range(row.type.num_fields)]
@@ -371,4 +408,4 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             fields[place] = pa.array(kept, row.type.field(place).type)
             yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(fields, fields=list(row.type))], names=["row"])
 
-    return joined.mapInArrow(cut, joined.select("row").schema).select("row.*")
+    return joined.mapInArrow(cut_out, joined.select("row").schema).select("row.*")

@@ -1,0 +1,88 @@
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from pulsegrid.llm import queries, suffix
+from tests.llm.conftest import SCHEMA
+
+
+def brute(docs, length):
+    seen = Counter()
+    for _, t in docs:
+        own = (t or "").encode()
+        seen.update(own[k : k + length] for k in range(len(own) - length + 1))
+    out = []
+    for i, t in docs:
+        own = (t or "").encode()
+        gone = np.zeros(len(own) + 1, bool)
+        for k in range(len(own) - length + 1):
+            if seen[own[k : k + length]] > 1:
+                gone[k : k + length] = True
+        kept = bytes(b for b, g in zip(own, gone, strict=False) if not g)
+        out.append((i, len(own), int(gone.sum()), int((np.diff(np.r_[False, gone].astype(int)) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def run(df, **args):
+    return sorted((tuple(r) for r in suffix.removal_digests(df, **args).collect()), key=str)
+
+
+def rows(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.mark.parametrize("length", [116, 200, 333])
+def test_edge_rows(edge, length):
+    assert run(edge, length=length) == brute(rows(edge), length)
+
+
+def test_query(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert sorted((tuple(r) for r in queries.op9_suffix_array_dedup(spark, small).collect()), key=str) == brute(rows(docs), 200)
+
+
+def cut_copies(spark, seed):
+    """Copies with changes and shared passages at all distances."""
+    random = np.random.default_rng(seed)
+    base = "".join(map(chr, random.integers(97, 101, 1500)))
+    docs = []
+    for i in range(40):
+        a, b = sorted(random.integers(0, 1500, 2))
+        own = base[a:b]
+        if i % 3 == 0 and own:
+            k = int(random.integers(0, len(own)))
+            own = own[:k] + "X" + own[k + 1 :]
+        docs.append((i, "".join(map(chr, random.integers(97, 101, int(random.integers(0, 50))))) + own, "en", "a", 0))
+    return spark.createDataFrame(docs, SCHEMA)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_shared_passages(spark, seed):
+    df = cut_copies(spark, seed)
+    assert run(df) == brute(rows(df), 200)
+
+
+@pytest.mark.parametrize("part_rows", [1, 2, 7])
+def test_large_parts(spark, edge, part_rows):
+    """Parts beyond a task's bound go through their strings' hashes, with the same result."""
+    df = cut_copies(spark, 3).repartition(7)
+    assert run(df, part_rows=part_rows) == brute(rows(df), 200)
+    assert run(edge.repartition(5), part_rows=part_rows) == brute(rows(edge), 200)
+
+
+def test_texts_keep_columns(edge, spark):
+    out = suffix.remove_repeated(edge)
+    assert out.schema == edge.schema and out.count() == edge.count()
+    df = spark.createDataFrame([(1, "é" * 150 + "a"), (2, "é" * 150 + "b")], "doc_id long, text string")
+    assert [r.text for r in suffix.remove_repeated(df).orderBy("doc_id").collect()] == ["a", "b"]
+
+
+def test_empty_table(nothing):
+    assert run(nothing) == [] and suffix.remove_repeated(nothing).count() == 0
+
+
+def test_length_has_a_least(nothing):
+    with pytest.raises(ValueError, match="length"):
+        suffix.repeated_starts(nothing, length=50)
