@@ -2,7 +2,7 @@
 
 Each hash has ``ROWS`` cells. A partition's sketch is the sorted list of its cells, each at most twice, as gaps of
 one byte. Merging adds the counts up to two. A hash whose every cell counts two may be repeated; one with a cell
-below two is not, so none is lost. The bitmap has a fixed upper size, so it may be broadcast.
+below two is not, so none is lost. The bitmap has a fixed upper size, so it may be broadcast. A second round over the hashes that the first can't rule out, with other cells, leaves few that occur once.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from pulsegrid.llm.words import mix
+
 ROWS = 2
 #: Cells of one slice of the sketch, as a power of two.
 SLICE_BITS = 20
@@ -30,7 +32,8 @@ def bits_for(expected: int) -> int:
     return min(MAX_BITS, max(SLICE_BITS, int(2 * expected).bit_length()))
 
 
-def _cells(hashes: np.ndarray, line: int, bits: int) -> np.ndarray:
+def _cells(hashes: np.ndarray, line: int, bits: int, salt: int = 0) -> np.ndarray:
+    hashes = mix(hashes, salt) if salt else hashes
     return ((hashes >> np.uint64(32 * line)) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
@@ -48,10 +51,10 @@ def unpack_gaps(blob: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.int64)[gaps != 255]
 
 
-def _sketch_of(hashes: np.ndarray, bits: int) -> pa.RecordBatch:
+def _sketch_of(hashes: np.ndarray, bits: int, salt: int) -> pa.RecordBatch:
     lines, slices, blobs = [], [], []
     for line in range(ROWS):
-        cells = np.sort(_cells(hashes, line, bits))
+        cells = np.sort(_cells(hashes, line, bits, salt))
         cells = cells[np.r_[np.ones(min(2, len(cells)), bool), cells[2:] != cells[:-2]]]
         cuts = np.searchsorted(cells, np.arange(0, (1 << bits) + 1, 1 << SLICE_BITS, dtype=np.int64))
         for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
@@ -62,7 +65,7 @@ def _sketch_of(hashes: np.ndarray, bits: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(lines, pa.int32()), pa.array(slices, pa.int32()), pa.array(blobs, pa.binary())], schema=_ARROW)
 
 
-def repeated(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> list[np.ndarray]:
+def repeated(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, salt: int = 0) -> list[np.ndarray]:
     """Bitmaps of the cells that count at least two, over the hashes of all ``rows``."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,10 +75,10 @@ def repeated(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.
                 held.append(hashes)
                 n += len(hashes)
                 if n >= FLUSH:
-                    yield _sketch_of(np.concatenate(held), bits)
+                    yield _sketch_of(np.concatenate(held), bits, salt)
                     held, n = [], 0
         if n:
-            yield _sketch_of(np.concatenate(held), bits)
+            yield _sketch_of(np.concatenate(held), bits, salt)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[int, int], np.ndarray] = {}
@@ -102,10 +105,10 @@ def repeated(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.
     return out
 
 
-def maybe_repeated(hashes: np.ndarray, bitmaps: list[np.ndarray]) -> np.ndarray:
+def maybe_repeated(hashes: np.ndarray, bitmaps: list[np.ndarray], salt: int = 0) -> np.ndarray:
     bits = len(bitmaps[0]).bit_length() + 2
     out = np.ones(len(hashes), bool)
     for line, bitmap in enumerate(bitmaps):
-        cells = _cells(hashes, line, bits)
+        cells = _cells(hashes, line, bits, salt)
         out &= (bitmap[cells >> np.uint32(3)] >> (cells & np.uint32(7)).astype(np.uint8)) & 1 == 1
     return out

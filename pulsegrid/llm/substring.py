@@ -26,8 +26,12 @@ from pulsegrid.llm import sketch, words
 #: Windows are compared inside a batch of about this many words before any leaves it.
 BATCH_WORDS = 2_000_000
 _LAST = (1 << 63) - 1
-_FOUND = "h long, tag int, doc long, key long, lo int, hi int"
-_FOUND_ARROW = pa.schema([("h", pa.int64()), ("tag", pa.int32()), ("doc", pa.int64()), ("key", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
+#: Second round's salt; see sketch.py.
+SALT = 0x5851F42D4C957F2D
+#: Rows of one document stand together and differ in two numbers only, which keeps the shuffle small: ``h`` and
+#: ``place``, the second hash and the first word's number in one. ``hi`` is given for settled ranges alone.
+_FOUND = "doc long, key long, h long, place long, hi int"
+_FOUND_ARROW = pa.schema([("doc", pa.int64()), ("key", pa.int64()), ("h", pa.int64()), ("place", pa.int64()), ("hi", pa.int32())])
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -51,7 +55,14 @@ def _windows(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return h[inside], (tag[inside] >> np.uint64(33)).astype(np.int32), text, place - before[text]
 
 
-def _found(batches: Iterator[pa.RecordBatch], width: int, bitmaps: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _maybe(h: np.ndarray, rounds: list[list[np.ndarray]]) -> np.ndarray:
+    out = np.ones(len(h), bool)
+    for salt, bitmaps in zip((0, SALT), rounds, strict=False):
+        out[out] = sketch.maybe_repeated(h[out], bitmaps, salt)
+    return out
+
+
+def _found(batches: Iterator[pa.RecordBatch], width: int, rounds: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, ...]] = []
     n = 0
 
@@ -69,15 +80,16 @@ def _found(batches: Iterator[pa.RecordBatch], width: int, bitmaps: list[np.ndarr
         first = np.r_[True, (k_key[1:] != k_key[:-1]) | (k_place[1:] > k_place[:-1] + 1)][: len(k_key)]
         last = np.r_[first[1:], True][: len(k_key)]
         m = int(first.sum())
-        known = ~known
+        rest = np.flatnonzero(~known)
+        rest = rest[np.lexsort((place[rest], key[rest]))]
+        both = tag[rest].astype(np.int64) << 32 | place[rest]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.r_[h[known].view(np.int64), k_key[first]]),
-                pa.array(np.r_[tag[known], np.full(m, -1, np.int32)]),
-                pa.array(np.r_[doc[known], k_doc[first]]),
-                pa.array(np.r_[key[known], k_key[first]]),
-                pa.array(np.r_[place[known], k_place[first]].astype(np.int32)),
-                pa.array(np.r_[place[known], k_place[last]].astype(np.int32)),
+                pa.array(np.r_[doc[rest], k_doc[first]]),
+                pa.array(np.r_[key[rest], k_key[first]]),
+                pa.array(np.r_[h[rest].view(np.int64), k_key[first]]),
+                pa.array(np.r_[both, k_place[first]]),
+                pa.array(np.r_[np.zeros(len(rest)), k_place[last]].astype(np.int32), mask=np.arange(len(rest) + m) < len(rest)),
             ],
             schema=_FOUND_ARROW,
         )
@@ -88,7 +100,7 @@ def _found(batches: Iterator[pa.RecordBatch], width: int, bitmaps: list[np.ndarr
         for lo, hi in words.groups(texts):
             h, tag, text, place = _windows(texts[lo:hi], width)
             n += len(h)
-            maybe = sketch.maybe_repeated(h, bitmaps)
+            maybe = _maybe(h, rounds)
             text = text[maybe] + lo
             held.append((h[maybe], tag[maybe], docs[text], keys[text], place[maybe]))
             if n >= BATCH_WORDS:
@@ -98,33 +110,43 @@ def _found(batches: Iterator[pa.RecordBatch], width: int, bitmaps: list[np.ndarr
         yield out()
 
 
-def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13) -> DataFrame:
-    """Rows ``key``, ``lo``, ``hi``: windows starting at words lo to hi of the document of that key are to be removed."""
+def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13) -> DataFrame:
+    """Rows ``key``, ``lo``, ``hi``: windows starting at words lo to hi (lo alone, if hi is null) of the document of
+    that key are to be removed."""
     rows = _keyed(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     sc = docs.sparkSession.sparkContext
-
-    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        texts = words.texts_of(batch, "text")
-        for lo, hi in words.groups(texts):
-            yield _windows(texts[lo:hi], width)[0]
-
     # Words are about six bytes long; the bitmaps' size is bounded by sketch.MAX_BITS.
-    bitmaps = sc.broadcast(sketch.repeated(rows.select("text"), hashes, sketch.bits_for(size // 6)))
-    found = rows.select("doc", "key", "text").mapInArrow(lambda b: _found(b, width, bitmaps.value), _FOUND)
-    least = F.min("doc").over(Window.partitionBy("h", "tag"))
-    return found.withColumn("least", least).where((F.col("tag") == -1) | (F.col("doc") > F.col("least"))).select("key", "lo", "hi")
+    bits, rounds = sketch.bits_for(size // 6), []
+    for salt in (0, SALT):
+        held = sc.broadcast(rounds)
+
+        def hashes(batch: pa.RecordBatch, held=held) -> Iterator[np.ndarray]:
+            texts = words.texts_of(batch, "text")
+            for lo, hi in words.groups(texts):
+                h = _windows(texts[lo:hi], width)[0]
+                yield h[_maybe(h, held.value)]
+
+        rounds = [*rounds, sketch.repeated(rows.select("text"), hashes, max(sketch.SLICE_BITS, bits - (salt > 0)), salt)]
+        held.unpersist()
+    held = sc.broadcast(rounds)
+    found = rows.select("doc", "key", "text").mapInArrow(lambda b: _found(b, width, held.value), _FOUND)
+    # Parts by the first hash; the second one is compared inside them.
+    found = found.repartition("h").withColumn("least", F.min("doc").over(Window.partitionBy("h", F.shiftright("place", 32))))
+    removed = found.where(F.col("hi").isNotNull() | (F.col("doc") > F.col("least")))
+    return removed.select("key", F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("lo"), "hi")
 
 
 def _cut(batches: Iterator[pa.RecordBatch], width: int, texts_out: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n_words, n_removed, kept = [], [], []
-        for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges"), strict=True):
+        for text, starts, ranges in zip(batch.column("text").to_pylist(), batch.column("starts"), batch.column("ranges"), strict=True):
             own = text.encode().split()
             n_words.append(len(own))
-            if ranges.is_valid:
+            if starts.is_valid:
                 lo, hi = (ranges.values.field(k).to_numpy().astype(np.int64) for k in (0, 1))
-                lo, hi = words.merged(lo, hi + width)
+                alone = starts.values.to_numpy().astype(np.int64)
+                lo, hi = words.merged(np.r_[lo, alone], np.r_[hi, alone] + width)
                 n_removed.append(int((hi - lo).sum()))
                 edges = np.r_[0, np.c_[lo, hi].ravel(), len(own)].tolist()
                 own = [w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in own[a:b]]
@@ -138,9 +160,10 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int, texts_out: bool) -> Iter
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, texts: bool = True) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``n_words``, ``n_removed``, and the kept words joined by one space as
     ``kept_text`` (or their SHA-256 as ``kept_sha256``, with ``texts=False``)."""
-    ranges = repeated_ranges(docs, id_col, text_col, width)
-    by_doc = ranges.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    joined = _keyed(docs, id_col, text_col).join(by_doc, "key", "left").select("id", "text", "ranges")
+    found = repeated_windows(docs, id_col, text_col, width)
+    alone, whole = F.col("hi").isNull(), F.col("hi").isNotNull()
+    lists = F.collect_list(F.when(alone, F.col("lo"))).alias("starts"), F.collect_list(F.when(whole, F.struct("lo", "hi"))).alias("ranges")
+    joined = _keyed(docs, id_col, text_col).join(found.groupBy("key").agg(*lists), "key", "left").select("id", "text", "starts", "ranges")
     id_type = docs.schema[id_col].dataType.simpleString()
     out = joined.mapInArrow(lambda b: _cut(b, width, texts), f"id {id_type}, n_words long, n_removed long, kept string")
     return out.select(F.col("id").alias(id_col), "n_words", "n_removed", F.col("kept").alias("kept_text" if texts else "kept_sha256"))
