@@ -51,14 +51,15 @@ def std_of(values: Column, mean: Column) -> Column:
 
 
 def has_nan(values: Column) -> Column:
-    """NaN sorts above every number, so one native pass for the maximum finds it."""
-    return F.coalesce(F.isnan(F.array_max(values)), F.lit(False))
+    """NaN or NULL among the samples. NaN sorts above every number, so one native pass for the maximum finds it."""
+    return F.coalesce(F.isnan(F.array_max(values)), F.lit(False)) | F.exists(values, lambda x: x.isNull())
 
 
 def is_flat(lead: Column) -> Column:
-    """Constant lead; a lead with NaN is never flat (NaN equals nothing, itself included)."""
+    """Constant lead; a lead with NaN or NULL is never flat (they equal nothing, themselves included)."""
     top = F.array_max(lead)
-    return F.coalesce(~F.isnan(top) & (F.array_min(lead) == top), F.lit(False))
+    whole = ~F.exists(lead, lambda x: x.isNull())
+    return F.coalesce(~F.isnan(top) & (F.array_min(lead) == top), F.lit(False)) & whole
 
 
 def lead_stats(signal: Column | str) -> Column:
@@ -81,8 +82,8 @@ def lead_stats(signal: Column | str) -> Column:
 
 
 def signal_summary(signal: Column | str) -> Column:
-    """Mean and population sd over all samples of all leads, as one struct."""
-    flat = F.flatten(as_column(signal))
+    """Mean and population sd over all samples of all leads, as one struct; NaN if a sample is NULL."""
+    flat = F.transform(F.flatten(as_column(signal)), lambda x: F.coalesce(x, F.lit(float("nan"))))
     return _let(
         flat,
         lambda v: _let(mean_of(v), lambda m: F.struct(m.alias("mean"), std_of(v, m).alias("sd"))),
@@ -99,12 +100,14 @@ def any_flat(signal: Column | str) -> Column:
 
 
 def is_sound(signal: Column | str) -> Column:
-    """No NaN and no constant lead, with two native passes per lead."""
+    """Leads there are, each with samples, without NaN or NULL, and not constant."""
 
     def varies(lead: Column) -> Column:
-        return _let(F.array_max(lead), lambda top: F.coalesce(~F.isnan(top) & (F.array_min(lead) < top), F.lit(True)))
+        whole = ~F.exists(lead, lambda x: x.isNull())
+        return _let(F.array_max(lead), lambda top: F.coalesce(~F.isnan(top) & (F.array_min(lead) < top) & whole, F.lit(False)))
 
-    return F.forall(as_column(signal), varies)
+    leads = as_column(signal)
+    return F.coalesce((F.size(leads) > 0) & F.forall(leads, varies), F.lit(False))
 
 
 def zscore(signal: Column | str) -> Column:

@@ -9,25 +9,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def student_p(t: float, dof: float, steps: int = 4000) -> float:
-    """P(|T| >= |t|): the density integrated in the angle t = sqrt(dof) tan(a), where it is cos(a)^(dof-1)."""
+def _half_step(a: float) -> float:
+    """log gamma(a + 1/2) - log gamma(a), without the cancellation of large terms."""
+    if a < 1000:
+        return math.lgamma(a + 0.5) - math.lgamma(a)
+    return 0.5 * math.log(a) - 1 / (8 * a) + 1 / (192 * a**3)
+
+
+def _fraction(a: float, b: float, x: float) -> float:
+    """Continued fraction of the incomplete beta function, by Lentz's method; needs about sqrt(max(a, b)) terms."""
+    tiny = 1e-300
+    c, d = 1.0, 1 / ((1 - (a + b) * x / (a + 1)) or tiny)
+    value = d
+    for m in range(1, 200_000):
+        for term in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 / ((1 + term * d) or tiny)
+            c = (1 + term / c) or tiny
+            value *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return value
+
+
+def student_p(t: float, dof: float) -> float:
+    """P(|T| >= |t|), the regularised incomplete beta function at dof / (dof + t^2) with parameters dof / 2 and 1 / 2."""
     if t is None or dof is None or math.isnan(t) or dof <= 0:
         return float("nan")
-    start, stop = math.atan(abs(t) / math.sqrt(dof)), math.pi / 2
-    log_scale = math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2) - 0.5 * math.log(math.pi)
-    width = (stop - start) / steps
-
-    def height(a: float) -> float:
-        c = math.cos(a)
-        if c <= 0:
-            return 1.0 if dof == 1 else 0.0
-        return math.exp((dof - 1) * math.log(c))
-
-    # Simpson's rule.
-    total = height(start) + height(stop)
-    total += 4 * sum(height(start + (2 * i + 1) * width) for i in range(steps // 2))
-    total += 2 * sum(height(start + 2 * i * width) for i in range(1, steps // 2))
-    return min(1.0, 2 * math.exp(log_scale) * total * width / 3)
+    if t == 0:
+        return 1.0
+    if math.isinf(t):
+        return 0.0
+    a, b = dof / 2, 0.5
+    ratio = t * t / dof
+    x, rest = 1 / (1 + ratio), ratio / (1 + ratio)
+    front = math.exp(_half_step(a) - 0.5 * math.log(math.pi) - a * math.log1p(ratio) + b * math.log(rest))
+    if x < (a + 1) / (a + b + 2):
+        return min(1.0, front * _fraction(a, b, x) / a)
+    return max(0.0, 1 - front * _fraction(b, a, rest) / b)
 
 
 @F.pandas_udf(T.DoubleType())

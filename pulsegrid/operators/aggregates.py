@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.functions.columns import is_missing
-from pulsegrid.operators.quantiles import exact_quantiles
+from pulsegrid.operators.quantiles import APPROXIMATE, exact_quantiles
 
 _NUMERIC = (T.NumericType,)
 
@@ -57,7 +57,6 @@ def describe(
     probs = sorted({*percentiles, 0.5})
     names = [f"p{round(p * 100, 6):g}" for p in probs]
     values = df.select(F.explode(F.array(*[_named(c) for c in cols])).alias("cell")).select("cell.*")
-    values = values.where(F.col("x").isNotNull() & ~F.isnan("x"))
     moments = [
         F.count("x").alias("count"),
         F.avg("x").alias("mean"),
@@ -65,11 +64,13 @@ def describe(
         F.min("x").alias("min"),
         F.max("x").alias("max"),
     ]
+    # A column without values keeps its row, with a count of zero.
+    values = values.withColumn("x", F.nanvl("x", F.lit(None).cast("double")))
     if exact:
-        marks = exact_quantiles(values, "x", probs, by=["column"], few_groups=True)
-        table = values.groupBy("column").agg(*moments).join(marks.drop("n"), "column")
+        marks = exact_quantiles(values, "x", probs, by=["column"])
+        table = values.groupBy("column").agg(*moments).join(marks.drop("n"), "column", "left")
     else:
-        table = values.groupBy("column").agg(*moments, F.percentile_approx("x", probs, 10000).alias("quantiles"))
+        table = values.groupBy("column").agg(*moments, F.percentile_approx("x", probs, APPROXIMATE).alias("quantiles"))
     kept = [c for c in table.columns if c != "quantiles"]
     return table.select(*kept, *[F.col("quantiles")[i].alias(n) for i, n in enumerate(names)])
 
@@ -80,7 +81,7 @@ def _named(col: str):
 
 def rows_per_key(df: DataFrame, key: str, percentiles: Sequence[float] = (0.2, 0.4, 0.6, 0.8)) -> DataFrame:
     """Distribution of the number of rows per key."""
-    return describe(value_counts(df, key, "n_rows"), ["n_rows"], percentiles)
+    return describe(df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")), ["n_rows"], percentiles)
 
 
 def rates_by(df: DataFrame, by: str | Sequence[str], flags: Sequence[str]) -> DataFrame:
@@ -133,8 +134,3 @@ def event_share(df: DataFrame, subject: str, event: str) -> DataFrame:
 
 def rows_per_source(df: DataFrame, source: str = "source") -> DataFrame:
     return df.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
-
-
-def tally(df: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
-    """One row: how many rows meet each condition."""
-    return df.agg(*[F.count(F.when(c, 1)).alias(n) for n, c in conditions.items()])

@@ -1,14 +1,11 @@
 """Exact, linearly interpolated quantiles and quantile bins without sorting or gathering all values.
 
-1. a bounded sketch gives, per probability, two fences that enclose the wanted order statistics;
-2. one aggregation counts the rows between fences and keeps (value, count) only inside enclosures, a
-   fraction ``ENCLOSURE`` of the rows per probability;
-3. the wanted ranks are read off running counts, one task per enclosure.
+1. equal values are counted, in each task first, so hot values collapse;
+2. the (value, count) rows are dealt into ranges of (group, value) and written once;
+3. the ranges' totals, a few rows per task, say which ranges hold the wanted ranks;
+4. running counts inside those ranges give the values.
 
-The input is read three times (once more for bins): hand over a stored table, or ``sources.scratch.cut`` a
-computed one first.
-
-A rank that is not inside its enclosure fails the query instead of giving an approximate answer.
+The work grows with the number of distinct values; no task holds more than one range.
 """
 
 from __future__ import annotations
@@ -19,78 +16,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# The sketches of all tasks are merged by one, so they are kept near 0.2 MB: 10,000 tasks send it 2 GB. Each
-# enclosure then holds 4e-4 of the rows, ordered by one task per enclosure.
-ACCURACY = 20_000  # the sketch errs by at most n / ACCURACY ranks
-ENCLOSURE = 4 / ACCURACY  # half width of an enclosure, as a share of the rows
-KEEP_ALL = 1_000_000  # up to this many rows every value is kept and the fences are not needed
+from pulsegrid.sources.scratch import cut
 
+# The approximate mode merges one sketch per task in one task; this size keeps that cheap. It errs by at most
+# n / APPROXIMATE ranks.
+APPROXIMATE = 1_000
 
-def exact_quantiles(
-    df: DataFrame,
-    col: str,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    few_groups: bool = False,
-) -> DataFrame:
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """``by``, ``n`` and the array ``quantiles`` (one per probability); NULL and NaN are ignored.
 
-    ``few_groups=True`` states that the number of groups is fixed by the call and not by the data, which
-    allows the table of fences to be broadcast.
+    Counts values when called: they are written below the shared folder, and the result reads them.
     """
     by = list(by)
     probs = list(probs)
     data = df.select(*by, F.col(col).cast("double").alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
-
-    around = [q for p in probs for q in (max(p - ENCLOSURE, 0.0), min(p + ENCLOSURE, 1.0))]
-    everything = F.expr(f"flatten(array_repeat(array(double('-Infinity'), double('Infinity')), {len(probs)}))")
-    small = F.count("__x") <= KEEP_ALL
-    sketch = F.percentile_approx("__x", around, ACCURACY)
-    fences = data.groupBy(*by).agg(F.when(small, everything).otherwise(sketch).alias("__f"))
-    if not by:
-        fenced = data.withColumn("__f", fences.scalar())
-    else:
-        fenced = data.join(F.broadcast(fences) if few_groups else fences, by)
-
-    # Written out per fence, so that they compile to plain comparisons. In a slot the uncounted values lie
-    # below the one kept value it may have, its upper fence.
-    slot = " + ".join(f"int(__f[{i}] < __x)" for i in range(len(around)))
-    kept = " or ".join(f"__x between __f[{i}] and __f[{i + 1}]" for i in range(0, len(around), 2))
-    counts = (
-        fenced.select(*by, F.expr(slot).alias("__slot"), F.expr(f"if({kept}, __x, null)").alias("__v"))
-        .groupBy(*by, "__slot", "__v")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-    )
+    counts = data.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__rows"))
+    # Written before the ranges are numbered: a range keeps its number, whoever reads it.
+    counts = cut(counts.repartitionByRange(*by, "__x").withColumn("__range", F.spark_partition_id()), "value-counts")
 
     whole = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    per_slot = counts.groupBy(*by, "__slot").agg(F.sum("__rows").alias("__total"))
-    slots = per_slot.select(
+    before = whole.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = counts.groupBy(*by, "__range").agg(F.sum("__rows").alias("__total"))
+    ranges = ranges.select(
         *by,
-        "__slot",
-        F.coalesce(
-            F.sum("__total").over(whole.orderBy("__slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-        ).alias("__base"),
+        "__range",
+        "__total",
+        F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__base"),
         F.sum("__total").over(whole).alias("n"),
     )
-    running = W.partitionBy(*by, "__slot").orderBy(F.col("__v").asc_nulls_first())
-    ranked = counts.join(slots, [*by, "__slot"]).select(
-        *by, "__v", "n", "__rows", (F.col("__base") + F.sum("__rows").over(running)).alias("__upto")
-    )
+    places = [f"{float(p)!r}D * (n - 1)" for p in probs]
+    ranks = [rank for place in places for rank in (f"floor({place})", f"least(floor({place}) + 1, n - 1)")]
+    held = " or ".join(f"(__base <= {rank} and {rank} < __base + __total)" for rank in ranks) or "false"
+    names = [f"__by{i}" for i in range(len(by))]
+    own = [F.col(c).alias(n) for c, n in zip(by, names)]
+    wanted = ranges.where(held).select(*own, F.col("__range").alias("__wanted"), "__base", "n")
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)] + [F.col("__range") == F.col("__wanted")]
+    inside = counts.join(wanted, same).drop("__wanted", *names)
+    running = W.partitionBy(*by, "__range").orderBy("__x")
+    ranked = inside.withColumn("__upto", F.col("__base") + F.sum("__rows").over(running))
 
     def at_rank(rank: str, name: str) -> Column:
-        return F.expr(f"max(if(__upto - __rows <= {rank} and {rank} < __upto, __v, null))").alias(name)
-
-    picks, values = [], []
-    for i, p in enumerate(probs):
-        place = f"{float(p)!r}D * (n - 1)"
-        picks.append(at_rank(f"floor({place})", f"__lo{i}"))
-        picks.append(at_rank(f"least(floor({place}) + 1, n - 1)", f"__hi{i}"))
-        values.append(
-            f"""case when n is null then null
-                when __lo{i} is null or __hi{i} is null
-                    then double(raise_error('quantile rank outside its enclosure'))
-                else __lo{i} + (__hi{i} - __lo{i}) * ({place} - floor({place})) end"""
-        )
+        return F.expr(f"max(if(__upto - __rows <= {rank} and {rank} < __upto, __x, null))").alias(name)
+
+    picks = [at_rank(rank, f"__v{i}") for i, rank in enumerate(ranks)]
+    values = [
+        f"if(n is null, null, __v{2 * i} + (__v{2 * i + 1} - __v{2 * i}) * ({place} - floor({place})))"
+        for i, place in enumerate(places)
+    ]
     found = ranked.groupBy(*by).agg(F.max("n").alias("n"), *picks)
     return found.select(*by, "n", F.expr(f"array({', '.join(values)})").alias("quantiles"))
 
@@ -104,7 +77,7 @@ def quantile_edges(
         edges = exact_quantiles(df, col, probs).select(F.col("quantiles").alias("edges"))
     else:
         x = F.col(col).cast("double")
-        edges = df.where(x.isNotNull() & ~F.isnan(x)).agg(F.percentile_approx(x, probs, 10000).alias("edges"))
+        edges = df.where(x.isNotNull() & ~F.isnan(x)).agg(F.percentile_approx(x, probs, APPROXIMATE).alias("edges"))
     if decimals is not None:
         edges = edges.select(F.transform("edges", lambda e: F.round(e, decimals)).alias("edges"))
     return edges.select(F.array_distinct("edges").alias("edges"))

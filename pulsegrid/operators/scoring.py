@@ -25,27 +25,41 @@ class Model:
     batch_size: int = 512
 
 
-def score_columns(models: Mapping[str, Model], signal: str = "signal") -> Column:
+def score_columns(models: Mapping[str, Model], signal: str = "signal", todo: str | None = None) -> Column:
     """Struct with one score per model; the models see lead-major float32 rows of ``n_values`` samples.
 
-    All models sit in one function, so a recording goes to Python once however many models there are.
+    All models sit in one function, so a recording goes to Python once however many models there are. Each model
+    gets its rows in chunks of its own ``batch_size``; with ``todo``, an array column of model names, only the rows
+    that name it, and the other rows have no score of it.
     """
     sizes = {m.n_values for m in models.values()}
     if len(sizes) != 1:
         raise ValueError(f"models differ in input size: {sorted(sizes)}")
-    makers = {name: m.make_predict for name, m in models.items()}
+    specs = [(name, m.make_predict, m.batch_size) for name, m in models.items()]
 
     def make_predict():
-        predictors = {name: make() for name, make in makers.items()}
-        return lambda batch: {name: np.asarray(p(batch), dtype="float64") for name, p in predictors.items()}
+        predictors = [(make(), size) for _, make, size in specs]
+
+        def predict(batch: np.ndarray, wanted: np.ndarray) -> dict[str, np.ndarray]:
+            made = {}
+            for k, ((name, _, _), (run, size)) in enumerate(zip(specs, predictors)):
+                rows = np.flatnonzero(wanted.reshape(len(batch), -1)[:, k] > 0)
+                made[name] = np.full(len(batch), np.nan)
+                for start in range(0, len(rows), size):
+                    own = rows[start : start + size]
+                    made[name][own] = np.asarray(run(batch[own]), dtype="float64")
+            return made
+
+        return predict
 
     predict = predict_batch_udf(
         make_predict,
         return_type=T.StructType([T.StructField(name, T.DoubleType()) for name in models]),
-        batch_size=min(m.batch_size for m in models.values()),
-        input_tensor_shapes=[[sizes.pop()]],
+        batch_size=max(m.batch_size for m in models.values()),
+        input_tensor_shapes=[[sizes.pop()], [len(specs)]],
     )
-    return predict(flatten_signal(signal).cast("array<float>"))
+    names = [F.lit(1.0) if todo is None else F.array_contains(todo, name).cast("double") for name in models]
+    return predict(flatten_signal(signal).cast("array<float>"), F.array(*[n.cast("float") for n in names]))
 
 
 def score(df: DataFrame, model: Model, signal: str = "signal", name: str = "score") -> DataFrame:
@@ -59,7 +73,7 @@ def score_all(
     """Rows (key, model, version, score) for what ``done`` lacks, reading each signal once for all models.
 
     Recordings with nothing pending are dropped by a join with the narrow list of pending models before
-    anything goes to Python.
+    anything goes to Python, and a model only sees the recordings it has not scored.
     """
     todo = (
         pending(signals.select(key), done, {name: m.version for name, m in models.items()}, key)
@@ -67,7 +81,7 @@ def score_all(
         .agg(F.collect_set("model").alias("__todo"))
     )
     wanted = signals.select(key, signal).join(todo, key)
-    scored = wanted.select(key, "__todo", score_columns(models, signal).alias("__scores"))
+    scored = wanted.select(key, "__todo", score_columns(models, signal, "__todo").alias("__scores"))
     scored = scored.select(key, "__todo", *[F.col("__scores")[name].alias(name) for name in models])
     # Unpivoting keeps the scores below it evaluated once; exploding an array of them would infer a filter on
     # the array and score every recording a second time.

@@ -13,18 +13,18 @@ def flag_bad(df: DataFrame, signal: str = "signal") -> DataFrame:
 
 
 def reject_bad(df: DataFrame, signal: str = "signal") -> DataFrame:
-    """Recordings without NaN and without constant lead."""
+    """Recordings whose leads all have samples, no NaN or NULL, and are not constant."""
     return df.where(S.is_sound(signal))
 
 
 def reject_counts(df: DataFrame, signal: str = "signal") -> DataFrame:
-    """One row: recordings in all, kept, and rejected per reason (a recording can have both)."""
+    """One row: recordings in all, kept, and rejected per reason (a recording can have both, or an empty lead)."""
     flat, nan = F.col("any_flat"), F.col("any_nan")
     return (
-        df.select(S.any_flat(signal).alias("any_flat"), S.any_nan(signal).alias("any_nan"))
+        df.select(S.any_flat(signal).alias("any_flat"), S.any_nan(signal).alias("any_nan"), S.is_sound(signal).alias("sound"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.count(F.when(~flat & ~nan, 1)).alias("n_kept"),
+            F.count(F.when(F.col("sound"), 1)).alias("n_kept"),
             F.count(F.when(flat, 1)).alias("n_flat"),
             F.count(F.when(nan, 1)).alias("n_nan"),
         )

@@ -22,12 +22,12 @@ def group_split(
 ) -> DataFrame:
     """Adds the split by hash of ``key``: no shuffle, shares hold in expectation.
 
-    ``val`` is a share of what ``test`` leaves, so the defaults give 64 / 16 / 20 %.
+    ``val`` is a share of what ``test`` leaves, so the defaults give 64 / 16 / 20 %. Rows without a key go to train.
     """
     u = unit_hash(F.col(key), seed=seed, mode=mode)
     return df.withColumn("__u", u).withColumn(
         name,
-        F.when(F.col("__u") < test, "test").when(F.col("__u") < test + (1 - test) * val, "val").otherwise("train"),
+        F.when(F.col(key).isNull(), "train").when(F.col("__u") < test, "test").when(F.col("__u") < test + (1 - test) * val, "val").otherwise("train"),
     ).drop("__u")
 
 
@@ -43,7 +43,7 @@ def group_split_exact(
     """As ``group_split`` with exact numbers of subjects, rounded up: ceil(test n), then ceil(val rest).
 
     Subjects are ranked by hash: within 4096 equal hash ranges in parallel, shifted by the sizes of the
-    lower ranges (a table of at most 4096 rows, hence the broadcast).
+    lower ranges (a table of at most 4096 rows, hence the broadcast). Rows without a key go to train.
     """
     keys = (
         df.select(key)
@@ -71,7 +71,7 @@ def group_split_exact(
         key,
         F.when(position < n_test, "test").when(position < n_test + n_val, "val").otherwise("train").alias(name),
     )
-    return df.join(assigned, key, "left")
+    return df.join(assigned, key, "left").withColumn(name, F.coalesce(name, F.lit("train")))
 
 
 def split_leaks(df: DataFrame, key: str = "subject_id", split: str = "split") -> DataFrame:

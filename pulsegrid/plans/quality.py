@@ -25,8 +25,3 @@ def quality_report(quality: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(column profile over all splits, rows per split)."""
     tagged = quality.withColumnRenamed("split", "source")
     return profile(tagged), rows_per_source(tagged)
-
-
-def union_splits(tables: dict[str, DataFrame]) -> DataFrame:
-    """Per-split quality tables, where they were written separately."""
-    return union_tagged({name: tables[name] for name in SPLITS if name in tables})

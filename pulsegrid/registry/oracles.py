@@ -388,10 +388,11 @@ def all_oracles() -> dict[str, str]:
         left join known_scores s on s.study_id = r.study_id"""
     o["non_null_counts"] = _with(
         " union all ".join(
-            f"select '{c}' as \"column\", count({c}) as non_null from d"
-            for c in (
-                "study_id subject_id file_name ecg_time gender anchor_age anchor_year ecg_age age_pred".split()
-            )
+            f"select '{c}' as \"column\", '{kind}' as \"type\", count({c}) as non_null from d"
+            for c, kind in {
+                "study_id": "bigint", "subject_id": "bigint", "file_name": "bigint", "ecg_time": "timestamp_ntz", "gender": "string",
+                "anchor_age": "bigint", "anchor_year": "bigint", "ecg_age": "bigint", "age_pred": "double",
+            }.items()
         ),
         d=demographics,
     )

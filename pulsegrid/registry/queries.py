@@ -125,7 +125,9 @@ _MODELS = {
 @_query
 def read_csv_table(t: Proxies) -> DataFrame:
     path = scratch_path(t.spark, "patients-csv")
-    tables.write_table(t.patients, path, "csv")
+    # Columns stand in another order than in the schema, with one more among them.
+    turned = t.patients.select(*reversed(t.patients.columns)).withColumn("note", F.lit("x"))
+    tables.write_table(turned, path, "csv")
     return tables.read_table(t.spark, path, schemas.PATIENTS)
 
 
@@ -136,7 +138,7 @@ def read_typed_csv(t: Proxies) -> DataFrame:
     out = t.stays.select(
         F.col("stay_id"), "subject_id", "stay_id", "gender", "admission_age", "icu_intime", "hospital_expire_flag"
     ).toDF(*names)
-    tables.write_table(out, path, "csv")
+    tables.write_table(out.select(*[f"`{c}`" for c in reversed(names)]), path, "csv")
     kinds = ["long", "long", "long", "string", "double", "time", "int"]
     return tables.read_typed(t.spark, path, schemas.schema(**dict(zip(names, kinds))), skip=["x"])
 
@@ -432,7 +434,7 @@ def rows_per_split(t: Proxies) -> DataFrame:
 @_query
 def non_null_counts(t: Proxies) -> DataFrame:
     rows = lookup(cohort.with_demographics(t.records, t.patients), t.known_scores, "study_id")
-    return A.info(rows).select("column", "non_null")
+    return A.info(rows)
 
 
 @_query
@@ -465,7 +467,7 @@ def error_density(t: Proxies) -> DataFrame:
     rows = _scored(t).where("age_pred is not null").withColumn("delta_age", C.age_delta())
     rows = cut(rows.select("admission_age", "delta_age"))
     binned = cut(quantiles.quantile_bin(rows, "admission_age", 5, name="age_bin").select("age_bin", "delta_age"))
-    return _round(bins.density(binned, "delta_age", ["age_bin"], few_groups=True))
+    return _round(bins.density(binned, "delta_age", ["age_bin"]))
 
 
 @_query

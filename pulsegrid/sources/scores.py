@@ -34,9 +34,12 @@ def find_duplicates(scores: DataFrame, key: str = "study_id") -> DataFrame:
     return scores.groupBy(key, "model", "version").count().where(F.col("count") > 1).drop("count")
 
 
-def write_scores(scores: DataFrame, path: str, mode: str = "append") -> None:
+def write_scores(scores: DataFrame, path: str, mode: str = "append", store: DataFrame | None = None, key: str = "study_id") -> None:
     """Store by model and version. ``append`` adds newly pending records; ``overwrite`` replaces only the
-    model versions present in ``scores``."""
+    model versions present in ``scores``. With ``store``, what is there already, ``append`` leaves out records that
+    are in it, so writing twice doubles nothing."""
+    if store is not None and mode == "append":
+        scores = scores.join(store.select(key, "model", "version"), [key, "model", "version"], "left_anti")
     writer = scores.write.partitionBy("model", "version").mode(mode)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 

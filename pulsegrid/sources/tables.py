@@ -10,9 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row; columns are matched by position against ``schema``, which saves a pass over the data."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, strict: bool = False) -> DataFrame:
+    """CSV with a header row: the columns of ``schema`` by name, wherever they stand; other columns are left out.
+
+    The first header line gives the order, and every file's header is held against it when it is read. A missing
+    column is an error. Values that don't fit their type are NULL; with ``strict=True`` they fail the query.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    found = {name.strip(): name for name in spark.read.option("header", True).csv(paths).columns}
+    missing = [name for name in schema.names if name not in found]
+    if missing:
+        raise ValueError(f"no columns {missing} in {paths}; there are {list(found)}")
+    kinds = {field.name: field.dataType for field in schema}
+    whole = T.StructType([T.StructField(raw, kinds.get(name, T.StringType())) for name, raw in found.items()])
+    rows = spark.read.schema(whole).options(header=True, enforceSchema=False, mode="FAILFAST" if strict else "PERMISSIVE").csv(paths)
+    return rows.select(*[F.col(f"`{found[name]}`").alias(name) for name in schema.names])
 
 
 def clean_name(name: str) -> str:
@@ -37,22 +49,24 @@ def read_many(
 ) -> DataFrame:
     """Files of one kind, with the path each row comes from in ``origin``.
 
-    Files share one layout by default. ``by_name=True`` is for unquoted files whose columns differ: values
-    are matched to the header line of their own file, and a column the file lacks reads as NULL. The headers,
-    one per file, are looked up in a scalar subquery, so the lines themselves are not shuffled.
+    Files share one header by default. ``by_name=True`` is for unquoted files whose columns differ: the first line of
+    each file is its header, values are matched to it, and a column the file lacks reads as NULL. Headers, one row
+    per file, meet the lines by the file's path.
     """
     if not by_name:
         rows = read_table(spark, glob, schema)
         return rows.select("*", F.col("_metadata.file_path").alias(origin))
     fields = F.split(F.trim("value"), r"\s*,\s*")
-    lines = spark.read.text(glob).select(F.col("_metadata.file_path").alias(origin), fields.alias("fields"))
-    is_header = F.get("fields", F.lit(0)).isin(*schema.names)
-    headers = lines.where(is_header).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(origin), F.col("fields")))).alias("headers")
-    )
-    rows = lines.where(~is_header).select(
-        origin, "fields", F.element_at(headers.scalar(), F.col(origin)).alias("header")
+    # Ids count up along the lines of a file's first part, so the least one is the first line.
+    lines = spark.read.text(glob).select(
+        F.col("_metadata.file_path").alias(origin),
+        F.col("_metadata.file_block_start").alias("start"),
+        fields.alias("fields"),
+        F.monotonically_increasing_id().alias("line"),
     )
+    headers = lines.where("start = 0").groupBy(origin).agg(F.min(F.struct("line", "fields")).alias("first"))
+    headers = headers.select(F.col(origin).alias("__file"), F.col("first.line").alias("first"), F.col("first.fields").alias("header"))
+    rows = lines.join(headers, F.col(origin) == F.col("__file")).where("line <> first")
 
     def value(field: T.StructField) -> Column:
         """An empty field, a field missing at the end of a line and an absent column are all missing values."""

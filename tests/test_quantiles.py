@@ -42,9 +42,8 @@ def test_no_values(spark):
 
 
 @pytest.mark.parametrize("kind", ["spread", "ties", "heavy tail"])
-def test_enclosures_by_sketch_are_exact(spark, monkeypatch, kind):
-    """The way taken for large inputs: only a sliver of the values is kept."""
-    monkeypatch.setattr(quantiles, "KEEP_ALL", 1000)
+def test_many_values_are_exact(spark, kind):
+    """Ranks fall into other ranges, and several into one."""
     base = spark.range(0, 400_000, numPartitions=7)
     u = F.rand(5)
     x = {"spread": u * 1000, "ties": F.floor(u * 9).cast("double"), "heavy tail": F.pow(1 - u, F.lit(-3.0))}[kind]
@@ -58,10 +57,17 @@ def test_grouped(spark):
     rng = random.Random(4)
     data = [(rng.choice("aab"), rng.random()) for _ in range(500)]
     df = spark.createDataFrame(data, "g string, x double")
-    for few in (True, False):
-        got = {r.g: r.quantiles for r in quantiles_of(df, by=["g"], few_groups=few)}
-        for g in "ab":
-            np.testing.assert_allclose(got[g], np.quantile([x for k, x in data if k == g], PROBS), rtol=1e-12)
+    df = df.union(spark.createDataFrame([(None, 1.0), (None, 3.0)], "g string, x double"))
+    got = {r.g: r.quantiles for r in quantiles_of(df, by=["g"])}
+    for g in "ab":
+        np.testing.assert_allclose(got[g], np.quantile([x for k, x in data if k == g], PROBS), rtol=1e-12)
+    assert got[None][3] == 2.0
+
+
+def test_no_task_holds_all_values(spark):
+    df = spark.range(0, 20_000, numPartitions=8).select((F.col("id") * 37 % 20_000).cast("double").alias("x"))
+    plan = plan_of(quantiles.exact_quantiles(df, "x", PROBS))
+    assert "percentile" not in plan and "raise_error" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 @pytest.mark.parametrize("q", [1, 5, 10])
@@ -101,6 +107,12 @@ def test_describe_equals_pandas(spark):
             assert got[column][ours] == pytest.approx(want[column][theirs], rel=1e-12)
 
 
+def test_describe_column_without_values(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    got = {r["column"]: r for r in describe(df).collect()}
+    assert got["b"]["count"] == 0 and got["b"]["p50"] is None and got["a"]["p50"] == 1.5
+
+
 def test_describe_approximate(spark):
     df = frame(spark, range(1001))
     assert rows(describe(df, ["x"], exact=False), "count", "p50") == [(1001, 500.0)]

@@ -19,7 +19,8 @@ PYTHON = {"score_batches", "score_all_models"}
 
 
 def test_every_query_has_sql():
-    assert set(all_queries()) == set(all_oracles()) == set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(entry.queries()) and set(all_oracles()) <= set(entry.oracle_sql())
 
 
 @needs_data

@@ -56,7 +56,15 @@ def test_empty_signals(spark):
     out = df.select(S.lead_stats("signal").alias("l"), S.signal_summary("signal").alias("s"), S.to_time_major("signal").alias("t"))
     for r in out.collect():
         assert r.s.mean is None and r.t == [] and all(x["mean"] is None for x in r.l)
-    assert rows(signals.reject_counts(df)) == [(2, 2, 0, 0)]
+    assert rows(signals.reject_counts(df)) == [(2, 0, 0, 0)] and signals.reject_bad(df).count() == 0
+
+
+def test_missing_samples_are_as_bad_as_nan(spark):
+    df = spark.createDataFrame([(1, [[1.0, None, 3.0], [1.0, 2.0, 3.0]]), (2, [[None, None], [1.0, 2.0]]), (3, [[1.0, 2.0], [2.0, 1.0]])], SCHEMA)
+    assert rows(signals.flag_bad(df), "study_id", "any_flat", "any_nan") == [(1, False, True), (2, False, True), (3, False, False)]
+    assert rows(signals.reject_bad(df), "study_id") == [(3,)] and rows(signals.reject_counts(df)) == [(3, 1, 0, 2)]
+    for r in signals.quality_table(df).collect():
+        assert r.any_nan == np.isnan(r["mean"]) == np.isnan(r["sd"]) == (r.study_id < 3)
 
 
 def test_reshape_and_transpose(df):

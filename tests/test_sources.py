@@ -25,6 +25,29 @@ def test_plain_times_are_read(spark, tmp_path):
     assert tables.read_table(spark, str(tmp_path / "r.csv"), RECORD_LIST).first().ecg_time == at()
 
 
+def test_columns_are_read_by_name(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("extra,subject_id,study_id,file_name,ecg_time,path\nx,1,2,3,2024-03-01 12:00:00,p\n")
+    got = tables.read_table(spark, str(tmp_path / "r.csv"), RECORD_LIST).first()
+    assert (got.subject_id, got.study_id, got.path, got.ecg_time) == (1, 2, "p", at())
+    (tmp_path / "short.csv").write_text("subject_id,study_id\n1,2\n")
+    with pytest.raises(ValueError, match="no columns"):
+        tables.read_table(spark, str(tmp_path / "short.csv"), RECORD_LIST)
+
+
+def test_strict_read_refuses_bad_values(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("subject_id,gender,anchor_age,anchor_year\n1,f,old,2020\n")
+    path = str(tmp_path / "p.csv")
+    assert tables.read_table(spark, path, PATIENTS).first().anchor_age is None
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_table(spark, path, PATIENTS, strict=True).collect()
+
+
+def test_first_line_is_the_header(spark, tmp_path):
+    (tmp_path / "a-x-history.csv").write_text("step,epoch,loss\n9,0,1.5\nloss,1,2.5\n")
+    df = tables.read_many(spark, str(tmp_path / "*.csv"), HISTORY, "model", by_name=True)
+    assert rows(df, "epoch", "loss") == [(0, 1.5), (1, 2.5)]
+
+
 def test_typed_read_tidies_names_and_skips(spark, tmp_path):
     (tmp_path / "o.csv").write_text('X,Subject ID,stayId\n0,5,7\n')
     df = tables.read_typed(spark, str(tmp_path / "o.csv"), schema(**{"X": "long", "Subject ID": "long", "stayId": "long"}), ["x"])
