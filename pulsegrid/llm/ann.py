@@ -4,7 +4,7 @@ Vectors get one more component that gives all the same length, so the largest in
 (queries have zero there). Each of ``LINES`` random lines has the projections of a block of vectors in a sorted array.
 A query opens a window around its own projection on every line and widens it step by step (virtual rehashing: the wide
 window is the union of narrow ones, only the new ends are counted); a vector collides on a line while it is inside the
-window. When at least ``k`` and a share ``SHARE`` of the block's vectors collide on ``NEEDED`` of the lines, they are
+window. When at least ``MULTIPLE * k`` and a share ``SHARE`` of the block's vectors collide on ``NEEDED`` of the lines, they are
 verified with the measure itself. Windows widen until that holds, in the end over all vectors, so small blocks are
 searched whole. Every query meets every block of rows, block by block; the blocks' best are merged.
 
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from pulsegrid.sources.scratch import cut
 
 LINES = 96
-#: Collisions a vector needs to be verified, and the share of a block that is verified at least.
-NEEDED, SHARE = 50, 0.2
+#: Collisions a vector needs to be verified; the share of a block, and the multiple of ``k``, verified at least.
+NEEDED, SHARE, MULTIPLE = 50, 0.2, 20
 #: First half width of a window, in units of a projection's spread, and its growth from step to step.
 WIDTH, GROWTH = 0.6, 1.25
 #: Vectors of a block, and queries that meet it in one task, on average.
@@ -54,7 +54,7 @@ def search(base: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np
     sorted_on = np.take_along_axis(on, order, axis=1)
     lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
     own = queries @ lines[:-1] / lengths[:, None]
-    enough = min(n, k + 1 + int(SHARE * n))
+    enough = min(n, max(MULTIPLE * k, k + 1 + int(SHARE * n)))
     for q in range(len(queries)):
         count, wide = np.zeros(n, np.int64), WIDTH
         lo = hi = None

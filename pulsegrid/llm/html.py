@@ -187,6 +187,14 @@ LABELLED: list[list[tuple[str, int]]] = [
         ("<p>More rain.</p>", 1), ("<p>Sun.</p>", 1), ("<p>Wind.</p>", 1), ('<p><a href="/w">Weather map</a></p>', 1), ("<ul><li>Boots</li>", 1), ("<li>Hats</li></ul>", 1), ("<p>The sun came out at last, the water ran off, and we carried the chairs and the books out into the garden to let them dry before the evening.</p>", 1),
         ("<p>End.</p></article>", 1), ("<div>Older notes</div>", 0), ("<div>Contact</div>", 0), ("<div>Imprint</div>", 0),
     ],
+    [("<p>The ferry does not run today because of the storm, and the next one is expected to leave on Thursday.</p>", 1)],
+    [
+        ("<div>Home</div>", 0), ("<p>There is no better time to plant a tree than the autumn, when the ground is still warm and wet enough for new roots.</p>", 1),
+        ("<p>Dig a hole twice as wide as the roots, put the tree in, fill the hole with the same earth and give it two cans of water.</p>", 1), ("<div>Contact</div>", 0),
+    ],
+    [
+        ("<div><a href='/'>Home</a></div>", 0), ("<p>The library is open again from Monday on, and those who have kept a book since the winter may bring it back without a fine.</p>", 1), ("<div>Imprint</div>", 0),
+    ],
     [
         ('<div class="banner">Win a trip</div>', 0),
         ("<h1>Night trains</h1>", 1),

@@ -127,7 +127,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     begin = F.greatest(F.col("index") * block, F.col("place"))
     end = F.least((F.col("index") + 1) * block, F.col("place") + F.col("size"))
     blocks = blocks.select("source_no", "index", "key", "place", (begin - F.col("place")).alias("start"), (end - begin).alias("length"))
-    pieces = slots(targets, block, shard, seed).join(blocks, ["source_no", "index"])
+    # Both sides grow with the input; the optimizer's guess of a range that is exploded would be far too small.
+    pieces = slots(targets, block, shard, seed).hint("merge").join(blocks, ["source_no", "index"])
     return laid, pieces
 
 

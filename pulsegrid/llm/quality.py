@@ -83,25 +83,30 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return distinct(found, len(texts))
 
 
-def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: np.ndarray, size: int, seed: int = 3) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear model with hinge loss; rows have length one, the bias is a feature of its own."""
-    w, bias, alpha = np.zeros(size), 0.0, np.zeros(len(y))
-    norm = np.array([v @ v for v in values]) + 1.0
+def dual_descent(rows: list[np.ndarray], ratio: np.ndarray, norm: np.ndarray, y: np.ndarray, cost: np.ndarray, seed: int = 3) -> tuple[np.ndarray, float]:
+    """Weights times ratios, and bias, of a linear model with hinge loss.
+
+    A row has the value ``ratio / norm`` in each of its features, so it has length one; the bias is a feature more.
+    Weights are kept times the ratios: a row's product with them is a sum, and no row's values are held.
+    """
+    scaled, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(y))
+    squared = ratio**2
     random = np.random.default_rng(seed)
     for _ in range(PASSES):
         worst = 0.0
         for i in random.permutation(len(y)):
-            slope = y[i] * (w[rows[i]] @ values[i] + bias) - 1.0
-            new = min(max(alpha[i] - slope / norm[i], 0.0), cost[i])
+            own = rows[i]
+            slope = y[i] * (scaled[own].sum() / norm[i] + bias) - 1.0
+            new = min(max(alpha[i] - slope / 2, 0.0), cost[i])
             step = (new - alpha[i]) * y[i]
             if step:
-                worst = max(worst, abs(new - alpha[i]) * norm[i])
+                worst = max(worst, 2 * abs(new - alpha[i]))
                 alpha[i] = new
-                w[rows[i]] += step * values[i]
+                scaled[own] += squared[own] * (step / norm[i])
                 bias += step
         if worst < 1e-2:
             break
-    return w, bias
+    return scaled, bias
 
 
 def _curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -121,24 +126,24 @@ def _curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(rows: list[np.ndarray], label: np.ndarray) -> dict[str, np.ndarray]:
-    """Weights already scaled by the ratios, bias, and the curve."""
+    """Weights times ratios, squared ratios, bias and curve."""
     size = 1 << BITS
     y = np.where(label == 1, 1.0, -1.0)
     if len(set(label.tolist())) < 2:
         share = float(np.mean(label == 1)) if len(label) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return {"weight": np.zeros(size), "ratio": np.zeros(size), "tail": np.array([0.0, 0.0, np.log(share / (1 - share))])}
-    count = {s: np.bincount(np.concatenate([r for r, c in zip(rows, y, strict=True) if c == s]), minlength=size) + ALPHA for s in (1.0, -1.0)}
+        return {"scaled": np.zeros(size), "squared": np.zeros(size), "tail": np.array([0.0, 0.0, np.log(share / (1 - share))])}
+    count = {1.0: np.full(size, ALPHA), -1.0: np.full(size, ALPHA)}
+    for own, side in zip(rows, y, strict=True):
+        count[side][own] += 1
     # Per row of the class, so that a class of many rows doesn't tip the ratios.
     ratio = np.log(count[1.0] / ((y > 0).sum() + 2 * ALPHA)) - np.log(count[-1.0] / ((y < 0).sum() + 2 * ALPHA))
-    values = []
-    for r in rows:
-        v = ratio[r]
-        values.append(v / max(float(np.sqrt(v @ v)), 1e-12))
+    squared = ratio**2
+    norm = np.array([max(float(np.sqrt(squared[own].sum())), 1e-12) for own in rows])
     cost = np.where(y > 0, COST * len(y) / (2 * (y > 0).sum()), COST * len(y) / (2 * (y < 0).sum()))
-    w, bias = dual_descent(rows, values, y, cost, size)
-    margin = np.array([w[r] @ v + bias for r, v in zip(rows, values, strict=True)])
-    return {"weight": w, "ratio": ratio, "tail": np.array([bias, *_curve(margin, y)])}
+    scaled, bias = dual_descent(rows, ratio, norm, y, cost)
+    margin = np.array([scaled[own].sum() for own in rows]) / norm + bias
+    return {"scaled": scaled, "squared": squared, "tail": np.array([bias, *_curve(margin, y)])}
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,14 +177,14 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: dict[str, np.ndarray], text_col: str, of: Features) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    weight, ratio = model["weight"] * model["ratio"], model["ratio"] ** 2
+    scaled, squared = model["scaled"], model["squared"]
     bias, slope, offset = model["tail"]
     for batch in batches:
         texts = words.texts_of(batch, text_col)
         made = [np.zeros(0)]
         for lo, hi in words.groups(texts):
             found, where = of(texts[lo:hi])
-            sums = [np.r_[0.0, np.cumsum(x[found])] for x in (weight, ratio)]
+            sums = [np.r_[0.0, np.cumsum(x[found])] for x in (scaled, squared)]
             dot, norm = (s[where[1:]] - s[where[:-1]] for s in sums)
             margin = dot / np.sqrt(np.maximum(norm, 1e-24)) + bias
             made.append(1 / (1 + np.exp(-np.clip(slope * margin + offset, -30, 30))))

@@ -13,9 +13,9 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 #: Texts are handled in groups of about this many bytes; one longer text is a group of its own.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 #: Hashes of words are made from stretches of about this many bytes.
-STRETCH_BYTES = 1 << 20
+STRETCH_BYTES = 1 << 19
 
 _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15

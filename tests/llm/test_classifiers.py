@@ -1,0 +1,118 @@
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from pulsegrid.llm import quality, queries, toxicity
+
+
+def test_features_are_indicators_of_each_text():
+    texts = pa.array(["a b a b", "", "a b", "X1 X1 %%", "a b a b"], pa.large_string())
+    found, where = quality.features(texts)
+    own = [set(found[a:b].tolist()) for a, b in zip(where[:-1], where[1:], strict=True)]
+    assert own[0] == own[4] and own[1] == set() and len(own[0]) == where[1] - where[0] and own[2] < own[0] | own[2]
+    alone, _ = quality.features(texts.slice(3, 1))
+    assert set(alone.tolist()) == own[3]
+
+
+def test_dual_descent_finds_the_margin():
+    """Against projected gradient steps on the same primal problem."""
+    random = np.random.default_rng(3)
+    rows = [np.sort(random.choice(30, 6, replace=False)) for _ in range(200)]
+    y = np.array([1.0 if r[0] < 3 else -1.0 for r in rows])
+    ratio = random.uniform(0.5, 2, 30)
+    norm = np.array([np.sqrt((ratio[r] ** 2).sum()) for r in rows])
+    scaled, bias = quality.dual_descent(rows, ratio, norm, y, np.ones(200))
+    x = np.zeros((200, 31))
+    for k, r in enumerate(rows):
+        x[k, r] = ratio[r] / norm[k]
+    x[:, 30] = 1
+    w = np.r_[scaled / ratio, bias]
+
+    def loss(w):
+        return 0.5 * w @ w + np.maximum(0, 1 - y * (x @ w)).sum()
+
+    v = np.zeros(31)
+    best = loss(v)
+    for k in range(20_000):
+        v -= (v - (x * y[:, None])[y * (x @ v) < 1].sum(axis=0)) / (k + 20)
+        best = min(best, loss(v))
+    assert loss(w) <= best * 1.05 and ((x @ w > 0) == (y > 0)).mean() > 0.9
+
+
+def edge_scores(spark, edge, query):
+    docs = edge.select("doc_id", "text", *[c for c in edge.columns if c not in ("doc_id", "text")])
+    labels = spark.createDataFrame([(3, 1, 0), (5, 1, 1), (6, 0, 0), (6, 1, 0), (7, None, None), (None, 1, 1), (8, 0, 1), (99, 0, 0)], "doc_id long, quality int, toxic int")
+    if query == "quality":
+        return quality.score(docs, quality.train(docs, labels, "quality"))
+    return toxicity.scores(docs, labels)
+
+
+@pytest.mark.parametrize("query", ["quality", "toxic"])
+def test_edge_rows(spark, edge, query):
+    out = edge_scores(spark, edge, query).collect()
+    assert len(out) == edge.count() and all(0 <= r.score <= 1 for r in out)
+    by_text = {}
+    for r, t in zip(sorted(out, key=lambda r: str(r.doc_id)), sorted(edge.select("doc_id", "text").collect(), key=lambda r: str(r.doc_id)), strict=True):
+        if not (t.text or "").strip():
+            by_text.setdefault("", set()).add(r.score)
+    assert len(by_text[""]) == 1
+
+
+@pytest.mark.parametrize("query", ["quality", "toxic"])
+def test_without_labels_or_rows(spark, edge, nothing, query):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    score = (lambda d, n: quality.score(d, quality.train(d, n, "quality"))) if query == "quality" else toxicity.scores
+    assert score(nothing, none).count() == 0
+    assert {round(r.score, 6) for r in score(edge, none).collect()} == {0.5}
+    one = spark.createDataFrame([(3, 1, 1)], "doc_id long, quality int, toxic int")
+    assert min(r.score for r in score(edge, one).collect()) > 0.99
+
+
+@pytest.mark.parametrize("name,label,least,cut", [("op7_quality", "quality", 0.9, 0.3), ("op2_toxicity", "toxic", 0.9, 0.5)])
+def test_held_out_accuracy(spark, name, label, least, cut):
+    import os
+
+    path = "/root/testdata/sf0.01"
+    if not os.path.isdir(path):
+        pytest.skip("driver tables not present")
+    rows = getattr(queries, name)(spark, path).join(spark.read.parquet(f"{path}/labels.parquet"), "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == (r.score >= cut) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.predicted == r[label] for r in held]) >= least
+
+
+CORPUS = ["you are such an idiot and a moron", "what a stupid loser", "the idiot said so", "stupid and pathetic", "the loser lost it all", "a clown and a moron met an idiot"] * 50
+
+
+@pytest.fixture(scope="module")
+def decoder(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(CORPUS)], "doc_id long, text string")
+    return toxicity.Decoder(toxicity.language_model(df))
+
+
+@pytest.mark.parametrize(
+    "disguised,plain",
+    [("1d10t", "idiot"), ("i d i o t", "idiot"), ("stuuupid", "stupid"), ("l0$er", "loser"), ("m.o.r.o.n", "moron"), ("a cl0wwwn, and so on", "a clown, and so on"), ("it is fine", "it is fine"), ("", ""), ("p4th3tic!!!", "pathetic!!!"), ("2024-01-05 10.0.0.1", "2024-01-05 10.0.0.1")],
+)
+def test_restoring(decoder, disguised, plain):
+    assert toxicity.restore(disguised, decoder) == plain
+
+
+def test_disguised_words_score_like_plain_ones(spark):
+    docs = [(i, f"word{i} and idiot here" if i % 2 else f"word{i} and friend here") for i in range(200)]
+    docs += [(1000, "then an 1d10t came"), (1001, "then an i d i o t came"), (1002, "then a friend came")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = df.where("doc_id < 200").select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    got = {r.doc_id: r.score for r in toxicity.scores(df, labels).collect()}
+    assert got[1000] > 0.5 and got[1001] > 0.5 and got[1002] < 0.5
+    restored = {r.doc_id: r.restored_text for r in toxicity.restored(df).collect()}
+    assert restored[1001] == "then an idiot came" and restored[1002] == "then a friend came"
+
+
+def test_language_model_counts_every_text(spark):
+    df = spark.createDataFrame([(1, "Abc abc"), (2, None), (3, "abc")], "doc_id long, text string")
+    assert toxicity.Decoder(toxicity.language_model(df))._count("abc") == 3
+    assert toxicity.language_model(df.repartition(3)).tolist() == toxicity.language_model(df.coalesce(1)).tolist()
