@@ -1,7 +1,7 @@
 """Time the registered queries and print one JSON line.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 1 timed
-run per query after one warm-up; the median counts), BENCH_QUERIES (comma-separated, default all).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3 timed
+runs per query after one warm-up; the median counts), BENCH_QUERIES (comma-separated, default all).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pulsegrid.session import build_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(
         f"local[{cpus}]",
         "bench",

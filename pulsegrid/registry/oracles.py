@@ -368,6 +368,11 @@ def all_oracles() -> dict[str, str]:
         visits="select count(*)::double as x from hosp group by subject_id",
     )
     o["mortality_by_delta_decile"] = _with(_RATES, **_bins("scored", "age_delta", 10))
+    o["mortality_of_followed_stays"] = _with(
+        _RATES,
+        followed="select * from scored where stay_id in (select stay_id from hosp where ecg_order = 2)",
+        **_bins("followed", "age_delta", 10),
+    )
     share = "count(*) filter (where {})::double / count(*)"
     o["quality_profile"] = _with(
         " union all ".join(
@@ -548,14 +553,19 @@ def all_oracles() -> dict[str, str]:
     )
     o["feature_rows"] = _with(_FEATURES)
     o["job_features"] = o["feature_rows"]
-    plain = "null::double as age_input, null::double as gender_input"
+    none = "null::double as age_input, null::double as gender_input"
+    young, gender, kept = (r("age", name="label"), "age <= 90"), ("gender::double as label", "true"), "{0} is not null"
+    views = {name: (none, *young) for name in "cnn-age resnet-age transformer-age transformer-age1 transformer-age2 transformer-age3".split()}
+    views |= {name: (none, *gender) for name in "cnn-gender resnet-gender tl-age-sex transformer-gender".split()}
+    views |= {f"{net}-{x}": (none, r(x, name="label"), kept.format(x)) for net in ("cnn", "resnet") for x in ("potassium", "sodium")}
+    views["resnet-age2"] = ("null::double as age_input, gender::double as gender_input", *young)
+    mortality = "icu_expire_flag::double as label", "icu_expire_flag is not null and age is not null"
+    views["tl-age-mort"] = (f"{r('age', name='age_input')}, gender::double as gender_input", *mortality)
     o["task_views"] = _with(
-        f"""select file_name, {plain}, {r('age', name='label')}, 'cnn-age' as task from features where age <= 90
-        union all select file_name, {plain}, gender::double, 'cnn-gender' from features
-        union all select file_name, {plain}, {r('potassium')}, 'cnn-potassium' from features where potassium is not null
-        union all select file_name, {plain}, {r('sodium')}, 'cnn-sodium' from features where sodium is not null
-        union all select file_name, {r('age')}, gender::double, icu_expire_flag::double, 'tl-age-mort' from features
-          where icu_expire_flag is not null and age is not null"""
+        " union all ".join(
+            f"select file_name, {inputs}, {label}, {r('weighted')}, '{name}' as task from features where {which}"
+            for name, (inputs, label, which) in views.items()
+        )
     )
     sound = "samples s join flags f on f.file_name = s.file_name and not any_flat and not any_nan"
     o["score_batches"] = _with(

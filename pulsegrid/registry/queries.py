@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas
@@ -83,17 +83,19 @@ def _features(t: Proxies) -> DataFrame:
     return features.build_features(_split(t), t.signals, labs, stays)
 
 
+def _weighted() -> Column:
+    """Position-weighted sum of a signal's samples."""
+    places = F.transform(F.flatten("signal"), lambda x, i: x * (i + 1))
+    return F.aggregate(places, F.lit(0.0), lambda acc, x: acc + x)
+
+
 def _flat_features(rows: DataFrame) -> DataFrame:
     """Signal replaced by its size, one sample and a position-weighted sum."""
-    flat = F.flatten("signal")
-    weighted = F.aggregate(
-        F.transform(flat, lambda x, i: x * (i + 1)), F.lit(0.0), lambda acc, x: acc + x
-    )
     summed = rows.withColumns(
         {
-            "n_samples": F.size(flat),
+            "n_samples": F.size(F.flatten("signal")),
             "sample": F.get(F.get("signal", F.lit(1)), F.lit(2)),
-            "weighted": weighted,
+            "weighted": _weighted(),
         }
     ).drop("signal")
     summed = _as_double(summed, "hospital_expire_flag", "icu_expire_flag")
@@ -421,6 +423,15 @@ def mortality_by_delta_decile(t: Proxies) -> DataFrame:
     return _round(outcomes.mortality_by_bin(rows, decimals=9))
 
 
+@_query
+def mortality_of_followed_stays(t: Proxies) -> DataFrame:
+    """The same for stays with several recordings."""
+    rows = cohort.stay_recordings(t.records, t.stays)
+    several = rows.groupBy("stay_id").count().where(F.col("count") > 1)
+    followed = lookup(keep_keys(rows, several, "stay_id"), t.known_scores, "study_id")
+    return _round(outcomes.mortality_by_bin(followed.withColumns({"age_delta": C.age_delta(), "icu_mort": C.icu_mort()}), decimals=9))
+
+
 @_query
 def quality_profile(t: Proxies) -> DataFrame:
     return _round(A.profile(quality.recording_quality(_split(t), t.signals)))
@@ -646,8 +657,8 @@ def task_views(t: Proxies) -> DataFrame:
     shards.write_shards(_features(t), path)
     rows = t.spark.read.parquet(path)
     views = {}
-    for name in ("cnn-age", "cnn-gender", "cnn-potassium", "cnn-sodium", "tl-age-mort"):
-        views[name] = features.task_view(rows, name).drop("signal")
+    for name in features.TASKS:
+        views[name] = features.task_view(rows, name).withColumn("weighted", _weighted()).drop("signal")
     tagged = reshape.union_tagged(views, "task")
     named = tagged.withColumnsRenamed({"gender": "gender_input", "age": "age_input"})
     return _round(_as_double(named, "gender_input"))
