@@ -552,7 +552,7 @@ def all_oracles() -> dict[str, str]:
           / 4294967296.0::double as u from record_list""",
     )
     o["feature_rows"] = _with(_FEATURES)
-    o["job_features"] = o["feature_rows"]
+    o["job_features"] = o["feature_rows_bucketed"] = o["feature_rows"]
     none = "null::double as age_input, null::double as gender_input"
     young, gender, kept = (r("age", name="label"), "age <= 90"), ("gender::double as label", "true"), "{0} is not null"
     views = {name: (none, *young) for name in "cnn-age resnet-age transformer-age transformer-age1 transformer-age2 transformer-age3".split()}

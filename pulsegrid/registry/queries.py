@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -651,6 +652,15 @@ def feature_rows(t: Proxies) -> DataFrame:
     return _flat_features(_features(t))
 
 
+@_query
+def feature_rows_bucketed(t: Proxies) -> DataFrame:
+    """Signals from a catalog table stored in buckets by recording; the join leaves them where they are."""
+    table = f"signals_{uuid.uuid4().hex}"
+    shards.write_bucketed(t.signals.select("file_name", "signal"), table, "file_name", 8)
+    labs = cohort.lab_labels(t.records, t.labevents, t.d_labitems)
+    return _flat_features(features.build_features(_split(t), t.spark.table(table), labs, cohort.hosp_labels(t.records, t.stays)))
+
+
 @_query
 def task_views(t: Proxies) -> DataFrame:
     path = scratch_path(t.spark, "task-features")

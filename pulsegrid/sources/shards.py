@@ -19,5 +19,5 @@ def read_split(spark: SparkSession, path: str, split: str, cols: Sequence[str])
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
-    """Catalog table hashed by ``key``: a later join on ``key`` leaves these rows where they are."""
-    df.write.mode(mode).bucketBy(buckets, key).saveAsTable(table)
+    """Catalog table hashed by ``key``: a later join on ``key`` leaves these rows where they are. One file per bucket."""
+    df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).saveAsTable(table)
