@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import ann, html, mixing, packing, quality, simhash, substring, suffix, toxicity, trees
+from pulsegrid.llm.oracles import ORACLES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,5 +70,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    """SQL of the queries it can express over whole tables in reasonable time."""
-    return {}
+    return dict(ORACLES)
