@@ -132,29 +132,34 @@ def _verify(batches: Iterator[pa.RecordBatch], distance: int, masks: list[int])
         yield out(pa.Table.from_batches(held))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """``id_col``, ``fingerprint`` (16 hex digits), ``component_id`` (least id reachable) and ``row_key``, one row per row of ``docs``."""
-    prints = cut(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
+def _components(distinct: DataFrame, distance: int) -> DataFrame:
+    """``distinct``, one row per ``fp``, with the ``component`` its fingerprint is in: the least fingerprint of it."""
     masks = block_masks(distance)
     keyed = distinct.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in masks))).alias("mask", "bucket"))
     buckets = keyed.repartition("mask", "bucket").sortWithinPartitions("mask", "bucket")
     links = buckets.mapInArrow(lambda b: _verify(b, distance, masks), "a long, b long")
     found = components(links, "simhash")
+    return distinct.join(found, distinct["fp"] == found["node"], "left").withColumn("component", F.coalesce("component", "fp")).drop("node")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
+    """``id_col``, ``fingerprint`` (16 hex digits), ``component_id`` (least id reachable) and ``row_key``, one row per row of ``docs``."""
+    prints = cut(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    member = _components(prints.groupBy("fp").agg(F.min("id").alias("least")), distance)
     # Components of fingerprints get the least id of their documents.
-    merged = distinct.join(found, distinct["fp"] == found["node"]).select("fp", "component", "least")
-    least = merged.groupBy("component").agg(F.min("least").alias("component_id"))
-    moved = merged.join(least, "component").select("fp", "component_id")
-    named = distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    least = member.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = member.join(least, "component").select("fp", "component_id")
     out = prints.join(named, "fp")
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("key").alias("row_key"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """One row of each component, the one of the least id (nulls last), with the columns of ``docs``."""
-    found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    first = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "row_key"))
-    kept = found.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row_key").alias("row_key"))
+    prints = cut(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    # The first row of each fingerprint is found in every task first, so copies don't meet.
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "key")).alias("first")
+    member = _components(prints.groupBy("fp").agg(first), distance)
+    kept = member.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.key").alias("row_key"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), row_key(id_col, text_col).alias("row_key")).join(kept, "row_key")
     # Equal rows share a key; the first of them stays.
     number = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))

@@ -69,7 +69,6 @@ def triggers(data: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tupl
         # Equal hashes: the first place is the trigger.
         h = (words.mix(h) >> np.uint64(22)) << np.uint64(22) | np.arange(len(h), dtype=np.uint64)
         at = (_least(h, SPAN) & np.uint64((1 << 22) - 1)).astype(np.int64)[: len(part) - length + 1]
-        ok = np.zeros(len(at), np.int8)
         room = np.maximum(bounds[1:] - (length - 1), bounds[:-1])
         edges = np.zeros(len(at) + 1, np.int32)
         np.add.at(edges, np.clip(bounds[:-1] - a, 0, len(at)), 1)
