@@ -148,7 +148,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = _components(prints.groupBy("fp").agg(F.min("id").alias("least")), distance)
     # Components of fingerprints get the least id of their documents.
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = member.join(least, "component").select("fp", "component_id")
+    # Written, so that both sides of the join are plain shuffles and a fingerprint of many copies can be split.
+    named = cut(member.join(least, "component").select("fp", "component_id"), "members")
     out = prints.join(named, "fp")
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", F.col("key").alias("row_key"))
 
