@@ -119,3 +119,34 @@ def test_large_leaves_are_split_on():
     pairs = {(min(a, b), max(a, b)) for i, j in trees.compare(x, 0.93, np.random.default_rng(1)) for a, b in zip(i.tolist(), j.tolist(), strict=True)}
     exact = {(a, b) for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 0.93, 1)))}
     assert pairs <= exact and len(pairs) >= 0.97 * len(exact)
+
+
+def bundle(seed, n=3000, dims=64):
+    """A third of the rows are near copies of one vector that are not equal."""
+    random = np.random.default_rng(seed)
+    x = random.standard_normal((n, dims))
+    x[: n // 3] = x[0] + random.standard_normal((n // 3, dims)) * 0.12
+    return x
+
+
+def test_a_bundle_is_not_doubled_at_every_split():
+    x = trees.unit(bundle(7, 12_000))
+    for seed in range(trees.TREES):
+        row, _ = trees.route(x, trees.plant(x, 12, seed, 40))
+        count = np.bincount(row, minlength=len(x))
+        assert count.min() >= 1 and count[:4000].mean() <= 6
+
+
+def test_links_of_a_bundle_are_counted_in_blocks(spark, monkeypatch):
+    x = bundle(8, 1500)
+    ids, label = np.arange(len(x)), np.zeros(len(x), int)
+    monkeypatch.setattr(trees, "LEAF", 128)
+    monkeypatch.setattr(trees, "BLOCK", 64)
+    made = {}
+    cut = trees.cut
+    monkeypatch.setattr(trees, "cut", lambda df, name: made.setdefault(name, cut(df, name)))
+    df = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in trees.near_duplicates(df).collect()}
+    links, group = brute(ids, x, label)
+    assert got == {int(i): (int(n), int(g)) for i, n, g in zip(ids, links, group, strict=True)}
+    assert made["links"].count() < links.sum() / 4
