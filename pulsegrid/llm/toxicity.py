@@ -2,9 +2,10 @@
 
 A character language model is counted over all documents: hashed n-grams of up to ``ORDER`` letters with word
 boundaries, one table per stretch of text, merged by slices. Words that may be disguised (letters mixed with signs that
-look like letters, letters held three times or more, letters one by one with spaces or signs between them) become
-lattices: each sign may be a letter or itself, a held letter may be one, a gap may be none. Viterbi decoding finds the
-likeliest reading under the model and the channel's costs. A word that is not suspicious has one reading, itself.
+look like letters, also at the ends, in quotes or brackets, or around hyphens and apostrophes; letters held three times
+or more; letters one by one with spaces or runs of signs between them) become lattices: each sign may be a letter or
+itself, a held letter may be one, a gap may be none. Viterbi decoding finds the likeliest reading under the model and the
+channel's costs; what stands for itself stays as written. A word that is not suspicious has one reading, itself.
 
 The restored words are scored: indicators of words and of their beginnings, in the linear model of ``quality.py`` on a
 bounded sample of labelled rows. Every document is scored over its whole text; null text is empty, and a text without
@@ -38,7 +39,9 @@ BEAM = 24
 CACHE = 100_000
 
 #: Signs that stand for letters.
-LOOKS_LIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t"}
+LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c"}
+#: Those that are common around a word as themselves, at no cost there.
+OUTER = "!("
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -48,6 +51,13 @@ _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKS_LIKE]] = True
 _GAP = np.zeros(256, bool)
 _GAP[[ord(c) for c in ".-_*~"]] = True
+_OUTER = np.zeros(256, bool)
+_OUTER[[ord(c) for c in OUTER]] = True
+_INNER = _GAP.copy()
+_INNER[ord("'")] = True
+#: Bytes that go on a character.
+_ON = np.zeros(256, bool)
+_ON[128:192] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -151,13 +161,14 @@ class Decoder:
         # Context of the last letters: best score so far, and the reading as a chain.
         states: dict[str, tuple[float, tuple]] = {" ": (0.0, ())}
         before = ""
-        for c in text:
+        first, last = len(text) - len(text.lstrip(OUTER)), len(text.rstrip(OUTER))
+        for k, c in enumerate(text):
             options: list[tuple[str, float]] = []
             if c.isalpha():
                 options.append((c, 0.0))
             elif c in LOOKS_LIKE:
                 options += [(letter, SWAP) for letter in LOOKS_LIKE[c]]
-                options.append((" ", KEEP))
+                options.append((" ", KEEP if first <= k < last else 0.0))
             else:
                 options += [(" ", 0.0), ("", JOIN)]
             if c == before and (c.isalpha() or c in LOOKS_LIKE):
@@ -165,17 +176,19 @@ class Decoder:
             new: dict[str, tuple[float, tuple]] = {}
             for context, (score, chain) in states.items():
                 for letter, cost in options:
-                    if letter == "" or letter == " " == context[-1]:
+                    if letter == "":
                         key, value = context, (score + cost, chain)
+                    elif letter == " " == context[-1]:
+                        key, value = context, (score + cost, (chain, c))
                     else:
                         key = (context + letter)[-(ORDER - 1) :]
-                        value = (score + cost + self.log_p(context, letter), (chain, letter))
+                        value = (score + cost + self.log_p(context, letter), (chain, c if letter == " " else letter))
                     if key not in new or new[key][0] < value[0]:
                         new[key] = value
             if len(new) > BEAM:
                 new = dict(sorted(new.items(), key=lambda x: -x[1][0])[:BEAM])
             states, before = new, c
-        _, chain = max(((score + self.log_p(context, " "), chain) for context, (score, chain) in states.items()), key=lambda x: x[0])
+        _, chain = max(((score + (0.0 if context[-1] == " " else self.log_p(context, " ")), chain) for context, (score, chain) in states.items()), key=lambda x: x[0])
         out = []
         while chain:
             chain, letter = chain
@@ -183,36 +196,50 @@ class Decoder:
         return "".join(reversed(out)).strip()
 
 
-def suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last word and end of text of each run of words that may be disguised."""
-    letter, digit = _LETTER[data], _DIGIT[data]
-    plain = np.where(letter | digit, np.arange(1, len(data) + 1), 0)
-    # A word's signs after its last letter or digit don't count.
-    core = np.maximum(np.maximum.accumulate(plain)[ends - 1], starts)
+def suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last word, and start and end of text, of each run of words that may be disguised."""
+    letter, sign = _LETTER[data], _SIGN[data] & ~_LETTER[data]
+    # A word is without what stands around it and is no letter, digit or look-alike.
+    part, place = letter | _DIGIT[data] | sign, np.arange(len(data))
+
+    def trimmed(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hi = np.maximum(np.maximum.accumulate(np.where(part, place + 1, 0))[ends - 1], starts)
+        return np.minimum(np.minimum.accumulate(np.where(part, place, len(data))[::-1])[::-1][starts], hi), hi
+
+    begin, core = trimmed(part)
     small = _LOWER[data]
     held = np.zeros(len(data), bool)
     held[2:] = letter[2:] & (small[2:] == small[1:-1]) & (small[2:] == small[:-2]) & (data[2:] < 128)
 
-    def count(flags: np.ndarray) -> np.ndarray:
+    def count(flags: np.ndarray, lo: np.ndarray = begin, hi: np.ndarray = core) -> np.ndarray:
         sums = np.zeros(len(data) + 1, np.int32)
         np.cumsum(flags, out=sums[1:])
-        return sums[core] - sums[starts]
+        return sums[hi] - sums[lo]
 
-    size, letters, signs, gaps = core - starts, count(letter), count(_SIGN[data] & ~letter), count(_GAP[data])
-    mixed = (letters > 0) & (signs > 0) & (letters + signs == size) & (size >= 3)
+    gap = _GAP[data]
+    size, letters, signs, gaps = core - begin, count(letter), count(sign), count(gap)
+    mixed = (letters > 0) & (signs > 0) & (letters + signs + count(_INNER[data]) == size) & (letters + signs >= 3)
     # Held letters: two of the three places lie inside the word too.
     runs = count(held) > 0
-    runs[runs] = [len(set(data[a : b].tolist())) < b - a for a, b in zip(starts[runs], core[runs], strict=True)]
-    spread = (gaps >= 2) & (letters + signs == gaps + 1) & (letters + signs + gaps == size)
-    single = (size == 1) & (letters + signs == 1)
-    # Single letters in a row, three or more of one text.
-    new = np.r_[True, (single[1:] != single[:-1]) | (text[1:] != text[:-1])]
-    first = np.flatnonzero(new)
-    length = np.diff(np.r_[first, len(starts)])
-    rows = single[first] & (length >= 3)
+    runs[runs] = [len(set(data[a : b].tolist())) < b - a for a, b in zip(begin[runs], core[runs], strict=True)]
+    # Characters one by one, with a run of gap signs between each two.
+    points = count((letter | sign) & ~_ON[data])
+    opens = gap & ~np.r_[False, gap[:-1]]
+    spread = (points >= 3) & (count(opens) == points - 1) & (letters + signs + gaps == size)
+    inner, upto = trimmed(part & ~_OUTER[data])
+    none = inner == upto
+    inner, upto = np.where(none, begin, inner), np.where(none, core, upto)
+    single = (count((letter | sign) & ~_ON[data], inner, upto) == 1) & (count(letter | sign, inner, upto) == upto - inner)
+    # Single letters in a row, three or more of one text; words of gap signs alone don't end a row.
+    between = count(gap, starts, ends) == ends - starts
+    word = np.flatnonzero(~between)
+    one, own = single[word], text[word]
+    first = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (own[1:] != own[:-1])][: len(word)])
+    length = np.diff(np.r_[first, len(word)])
+    rows = one[first] & (length >= 3)
     alone = np.flatnonzero((mixed | runs | spread) & ~single)
-    lo, hi = np.r_[alone, first[rows]], np.r_[alone, (first + length - 1)[rows]]
-    return lo, hi, core[hi]
+    lo, hi = np.r_[alone, word[first[rows]]], np.r_[alone, word[(first + length - 1)[rows]]]
+    return lo, hi, begin[lo], core[hi]
 
 
 def _word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -251,12 +278,12 @@ def features(texts: pa.Array, held: Broadcast) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, text = words.split(data, bounds)
     if not len(starts):
         return quality.distinct([], len(texts))
-    lo, hi, end = suspicious(data, starts, ends, text)
+    lo, hi, begin, end = suspicious(data, starts, ends, text)
     plain = np.ones(len(starts) + 1, np.int64)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     if len(lo):
         decoder, blob = _decoder(held), data.tobytes()
-        read = [decoder.decode(blob[a:b].decode(errors="replace")).encode() for a, b in zip(starts[lo].tolist(), end.tolist(), strict=True)]
+        read = [decoder.decode(blob[a:b].decode(errors="replace")).encode() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
         side = np.frombuffer(b" ".join(read), np.uint8)
         size = np.fromiter(map(len, read), np.int64, len(read)) + 1
         side_bounds = np.r_[0, np.cumsum(size)]
@@ -280,10 +307,10 @@ def restore(text: str, decoder: Decoder) -> str:
     starts, ends, number = words.split(data, bounds)
     if not len(starts):
         return text
-    lo, hi, end = suspicious(data, starts, ends, number)
+    lo, hi, begin, end = suspicious(data, starts, ends, number)
     blob, out, at = data.tobytes(), [], 0
     for k in np.argsort(lo):
-        a, b = int(starts[lo[k]]), int(end[k])
+        a, b = int(begin[k]), int(end[k])
         out += [blob[at:a], decoder.decode(blob[a:b].decode(errors="replace")).encode()]
         at = b
     return b"".join([*out, blob[at:]]).decode(errors="replace")

@@ -116,3 +116,20 @@ def test_language_model_counts_every_text(spark):
     df = spark.createDataFrame([(1, "Abc abc"), (2, None), (3, "abc")], "doc_id long, text string")
     assert toxicity.Decoder(toxicity.language_model(df))._count("abc") == 3
     assert toxicity.language_model(df.repartition(3)).tolist() == toxicity.language_model(df.coalesce(1)).tolist()
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    more = ["what an ass you are", "this is shit and more shit", "a dumbass is an ass", "a puzzle for the bigot", "the crap is a fine thing"] * 50
+    return toxicity.Decoder(toxicity.language_model(spark.createDataFrame(list(enumerate(CORPUS + more)), "doc_id long, text string")))
+
+
+@pytest.mark.parametrize(
+    "disguised,plain",
+    [
+        ("an a$$ here", "an ass here"), ("dumba$$", "dumbass"), ("sh!+", "shit"), ("dumba$$!", "dumbass!"), ('"1d10t"', '"idiot"'), ("(1d10t)", "(idiot)"), ("an 1d10t's", "an idiot's"), ("m0r0n-1d10t", "moron-idiot"),
+        ("i..d..i..o..t", "idiot"), ("an i - d - i - o - t!", "an idiot!"), ('"i d i o t"', '"idiot"'), ("pu22le", "puzzle"), ("b19ot", "bigot"), ("6igot", "bigot"), ("(rap", "crap"), ("(fine!)", "(fine!)"), ("the thing! (what)", "the thing! (what)"),
+    ],
+)
+def test_restoring_more_disguises(wide, disguised, plain):
+    assert toxicity.restore(disguised, wide) == plain
