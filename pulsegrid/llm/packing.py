@@ -45,12 +45,13 @@ def encoding(path: str) -> tiktoken.Encoding:
     other = [b for b in range(256) if b not in plain]
     alphabet = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
     ranks = {bytes(alphabet[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={x["content"]: x["id"] for x in model["added_tokens"]})
 
 
-def token_ids(text: str, path: str, end: int = END) -> np.ndarray:
-    """Little-endian 32-bit ids, with the end token; names of special tokens in a text are ordinary text."""
-    ids = encoding(path).encode_to_numpy(text, disallowed_special=())
+def token_ids(text: str, path: str, end: int = END, special: bool = False) -> np.ndarray:
+    """Little-endian 32-bit ids, with the end token; names of special tokens in a text are ordinary text, or with ``special`` their
+    tokens, as ``tokenizers`` has them by default."""
+    ids = encoding(path).encode_to_numpy(text, allowed_special="all" if special else set(), disallowed_special=())
     return np.append(ids, np.uint32(end)).astype("<u4")
 
 
@@ -58,7 +59,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, length: int, with_ids:
     for batch in batches:
         row, piece, start, size, crc, ids = [], [], [], [], [], []
         for k, text in enumerate(batch.column("text")):
-            own = token_ids(text.as_py() or "", path)
+            own = token_ids(text.as_py() or "", path, special=True)
             first = len(own) % length or length
             edges = [0, *range(first, len(own) + 1, length)]
             for n, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):

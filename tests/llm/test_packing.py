@@ -117,3 +117,12 @@ def test_search_beats_best_fit():
     lengths = random.integers(200, 700, 2000)
     count = np.bincount(lengths, minlength=1025)
     assert len(set(packing.pack(lengths, 1024)[0].tolist())) < len(packing.best_fit(count, 1024))
+
+
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a  <|endoftext|> x", "one<|endoftext|><|endoftext|>\n", "<|endoftext", "no token"])
+def test_special_tokens_are_those_of_the_tokenizer_by_default(spark, text):
+    want = [*Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids, 2]
+    assert packing.token_ids(text, PATH, special=True).tolist() == want
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = packing.pack_documents(df, length=64, with_ids=True).first()
+    assert row.ids == want and row.ids_crc32 == zlib.crc32(np.array(want, "<u4").tobytes())
