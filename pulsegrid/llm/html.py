@@ -24,8 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Elements that hold no text of the page, and elements that don't break a block.
-SILENT = {"script", "style", "title", "noscript", "template", "svg", "math", "iframe", "object", "select", "textarea", "button", "canvas", "video", "audio"}
-INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+SILENT = {"script", "style", "title", "noscript", "template", "svg", "iframe", "object", "select", "textarea", "button", "canvas", "video", "audio"}
+INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"} | {
+    "math", "semantics", "annotation", "annotation-xml", "mrow", "mi", "mo", "mn", "ms", "mtext", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder", "munderover", "mtable", "mtr", "mtd",
+    "mstyle", "mspace", "mpadded", "mphantom", "menclose", "merror", "mmultiscripts", "mprescripts",
+}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
 #: Elements, and words of classes, ids and roles, around what is not the article.
 APART = {"nav", "footer", "aside", "form", "menu", "dialog"}
@@ -34,6 +37,13 @@ APART_WORDS = {
     "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "pager", "sidebar", "side", "aside", "widget", "related", "recommended", "share", "social", "newsletter",
     "subscribe", "signup", "login", "search", "searchbox", "footer", "contentinfo", "complementary", "masthead", "comment", "comments", "disqus", "replies", "respond", "toolbar", "tags", "legal", "copyright", "disclaimer", "form", "alertdialog",
 }
+#: Elements around a whole page or article, to which words don't apply, or only as a whole class; words of classes that
+#: tell of a layout or a state and not of what the element is.
+WHOLE, ARTICLE = {"html", "body", "main"}, "article"
+FLAGS, STATES = {"no", "not", "with", "without", "has", "have", "is", "hide", "show"}, {"open", "opened", "closed", "enabled", "disabled", "on", "off"}
+#: Silent elements that can't hold another of their kind, and what may stand in one that isn't closed.
+FLAT = {"select", "button", "noscript", "iframe", "canvas", "video", "audio"}
+HELD = {"option", "optgroup", "source", "track", "param"}
 HEAD_WORDS = {"header", "topbar", "site-header"}
 
 _TAG = re.compile(
@@ -54,13 +64,28 @@ def _apart(name: str, rest: str) -> tuple[bool, bool]:
     apart, head = name in APART, name == "header"
     if rest:
         for value in _NAMES.findall(rest):
-            parts = {p.lower() for p in re.split(r"[^A-Za-z]+", "".join(value))} | {p.lower() for p in _PART.findall("".join(value))}
-            apart |= not parts.isdisjoint(APART_WORDS)
-            head |= not parts.isdisjoint(HEAD_WORDS)
+            for token in "".join(value).split():
+                words = [p.lower() for p in _PART.findall(token)]
+                parts = {p.lower() for p in re.split(r"[^A-Za-z]+", token)} | set(words)
+                if name in WHOLE or len(words) > 1 and (words[0] in FLAGS or name in (ARTICLE, "div", "section") and words[-1] in STATES):
+                    continue
+                if name == ARTICLE:
+                    parts = {token.lower()}
+                apart |= not parts.isdisjoint(APART_WORDS)
+                head |= not parts.isdisjoint(HEAD_WORDS)
         apart |= bool(_HIDDEN.search(rest))
     return apart, head
 
 
+def _block_end(page: str, at: int) -> int:
+    """Where the next block-level tag is."""
+    for tag in _TAG.finditer(page, at):
+        name = (tag["name"] or tag["name2"] or "").lower()
+        if name and name not in INLINE and name not in HELD:
+            return tag.start()
+    return len(page)
+
+
 def blocks(page: str) -> tuple[list[str], np.ndarray]:
     """Text blocks of a page in order, and their rows of ``COLUMNS``."""
     texts: list[str] = []
@@ -103,7 +128,11 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
                 close() if name not in INLINE else None
             if not rest.endswith("/"):
                 over = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = over.end() if over else len(page)
+                again = over and name in FLAT and re.compile(rf"<{re.escape(name)}(?=[\s/>])", re.I).search(page, at, over.start())
+                if over and not again:
+                    at = over.end()
+                else:
+                    at = len(page) if name in ("script", "style") else _block_end(page, at)
             continue
         if name == "a":
             link = 0 if end else 1

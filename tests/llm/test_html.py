@@ -59,3 +59,18 @@ def test_query_keeps_articles(spark, small):
         body = re.search(r"<article>(.*?)(</article>|\Z)", p.html, re.S)[1]
         parts = [" ".join(html.html.unescape(re.sub(r"</?(b|i|a|em)\b[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1|br)\b[^>]*>", body)]
         assert rows[p.page_id].text == "\n".join(x for x in parts if x) and rows[p.page_id].n_chars == len(rows[p.page_id].text)
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f'<html class="has-banner"><body class="no-sidebar sidebar"><article><p>{LONG}</p></article></body></html>', LONG),
+        (f'<div class="content with-sidebar"><article class="post comments-open"><p>{LONG}</p></article></div>', LONG),
+        (f'<article><p>{LONG}</p></article><article class="comment"><p>{LONG}</p></article><div class="main-sidebar"><p>{LONG}</p></div>', LONG),
+        (f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> so</p></article>", f"{LONG} x=2 so"),
+        (f"<article><button>Share<p>{LONG}</p><select><option>a<p>{LONG}</p><noscript>x<p>End.</p></article>", f"{LONG}\n{LONG}\nEnd."),
+        (f"<article><p>{LONG}</p><button>One<p>{LONG}</p><button>Two</button></article>", f"{LONG}\n{LONG}"),
+    ],
+)
+def test_articles_inside_flags_and_unclosed_elements_are_kept(page, text):
+    assert html.main_text(page) == text
