@@ -39,4 +39,12 @@ select e.vec_id, coalesce(n, 0)::bigint as n_links, component_id, e.vec_id = com
 from embeddings e left join counted c on c.a = e.vec_id left join least_root r on r.node = e.vec_id
 """
 
-ORACLES = {"op3_substring_dedup": SUBSTRING_DEDUP, "op10_embedding_dedup": EMBEDDING_DEDUP}
+EXACT_DEDUP = r"""
+with t as (
+  select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents)
+select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by text_sha256) as group_size,
+  row_number() over w = 1 as kept, text_sha256
+from t window w as (partition by text_sha256 order by doc_id nulls last)
+"""
+
+ORACLES = {"op3_substring_dedup": SUBSTRING_DEDUP, "op10_embedding_dedup": EMBEDDING_DEDUP, "op12_exact_dedup": EXACT_DEDUP}
