@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import ann, exact, html, mixing, packing, quality, simhash, substring, suffix, toxicity, trees
+from pulsegrid.llm import align, ann, exact, html, mixing, packing, quality, simhash, substring, suffix, toxicity, trees
 from pulsegrid.llm.oracles import ORACLES
 
 
@@ -66,6 +66,10 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_table(spark, sf_dir, "documents"), digest=True)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
