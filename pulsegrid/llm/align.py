@@ -29,6 +29,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -68,18 +69,30 @@ def piece_bytes(piece: str) -> bytes:
     return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
 
-def byte_ends(spans: list[tuple[int, int]], sizes: list[int]) -> list[int] | None:
-    """Byte after each token, from spans in bytes and sizes of the decoded bytes; None where the two disagree.
+def byte_ends(lo: np.ndarray, hi: np.ndarray, last: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Byte after each token, from spans in bytes (``last`` marks a text's last token) and sizes of the decoded bytes.
 
-    A span that ends where the next one starts is a cut. Between two cuts ends follow from the sizes.
+    A span that ends where the next one starts, or the text does, is a cut; tokens since the last cut end their own bytes
+    further on.
     """
-    ends, at, last = [], 0, len(spans) - 1
-    for k, ((lo, hi), size) in enumerate(zip(spans, sizes, strict=True)):
-        at += size
-        if hi > lo and (k == last or spans[k + 1][0] >= hi) and at != hi:
-            return None
-        ends.append(at)
-    return ends
+    n = np.arange(len(lo))
+    clean = (hi > lo) & (last | (np.r_[lo[1:], 0] >= hi))
+    cuts = np.maximum.accumulate(np.where(clean | last, n, -1))
+    before = np.r_[-1, cuts[:-1]] if len(cuts) else cuts
+    done = np.cumsum(sizes)
+    start = np.where(before >= 0, hi[before], 0)
+    return np.where(clean, hi, start + done - np.where(before >= 0, done[before], 0))
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places ``start .. start + size - 1`` of all ranges, one after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive stretches of the given sizes."""
+    sums, edges = np.r_[0, np.cumsum(values)], np.r_[0, np.cumsum(sizes)]
+    return sums[edges[1:]] - sums[edges[:-1]]
 
 
 class Aligner:
@@ -91,92 +104,137 @@ class Aligner:
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
-        self.bytes_a = byte_vocabulary(path_a)
+        known = byte_vocabulary(path_a)
+        self.bytes_a = [known.get(i, b"") for i in range(max(known) + 1)]
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [piece_bytes(p) for p in pieces]
+        self.size_a, self.size_b = (np.array([len(x) for x in own], np.int64) for own in (self.bytes_a, self.bytes_b))
+        #: A token's decimal id with what follows it: inside a group, at its end, at a text's end.
+        n = max(len(self.bytes_a), len(self.bytes_b))
+        self.shown = [f"{i}{mark}" for mark in ",|;\n" for i in range(n)]
         self.divisible = not any(re.search(r"[^▁]▁", p) for p in pieces)
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.known = 0
+        #: Groups of each piece; None if its bytes are not those of the piece.
         self.groups: list[str | None] = []
         self.sizes = np.zeros((0, 3), np.int64)
         self.links = np.zeros(0, np.int64)
 
-    def _aligned(self, text: str, one, other) -> tuple[str, int, int, list[int]] | None:
-        """Groups as a string, numbers of tokens, and the linked pairs; None if the bytes aren't those of the text."""
-        whole = b" " + text.encode()
-        ids_a, ids_b = one.ids, [p.id for p in other.pieces]
-        own_a, own_b = [self.bytes_a.get(i, b"") for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(own_a) != whole or b"".join(own_b) != whole:
-            return None
-        spans = one.offsets
-        if len(whole) > len(text) + 1:
-            at = np.r_[0, np.cumsum([len(c.encode()) for c in " " + text])].tolist()
-            spans = [(at[lo], at[hi]) for lo, hi in spans]
-        ends_a = byte_ends(spans, [len(x) for x in own_a])
-        # Spans of the proto don't know the added space.
-        ends_b = byte_ends([(p.begin + (k > 0), p.end + 1 if p.end > p.begin else p.begin + (k > 0)) for k, p in enumerate(other.pieces)], [len(x) for x in own_b])
-        if ends_a is None or ends_b is None:
-            raise ValueError("token spans and token bytes disagree")
-        out, links, i, j = [], [], 0, 0
-        common = set(ends_a)
-        common.intersection_update(ends_b)
-        for end in sorted(common):
-            k, m = ends_a.index(end, i) + 1, ends_b.index(end, j) + 1
-            out.append(",".join(map(str, ids_a[i:k])) + "|" + ",".join(map(str, ids_b[j:m])))
-            links.append(ids_a[k - 1] << 32 | ids_b[m - 1])
-            i, j = k, m
-        return ";".join(out), len(ids_a), len(ids_b), links
-
-    def aligned(self, texts: list[str]) -> list[tuple[str, int, int, list[int]] | None]:
+    def aligned(self, texts: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+        """Groups, numbers of tokens and links (n x 3), and the links, of a space and each text (not empty)."""
         ones = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
         others = self.b.encode(texts, return_type="proto", num_threads=1)
-        return [self._aligned(*x) for x in zip(texts, ones, others, strict=True)]
+        n_a = np.array([len(x.ids) for x in ones], np.int64)
+        ids_a = np.fromiter(chain.from_iterable(x.ids for x in ones), np.int64, n_a.sum())
+        spans_a = np.fromiter(chain.from_iterable(chain.from_iterable(x.offsets for x in ones)), np.int64, 2 * n_a.sum()).reshape(-1, 2)
+        n_b = np.array([len(x.pieces) for x in others], np.int64)
+        rows_b = np.fromiter(chain.from_iterable((p.id, p.begin, p.end) for x in others for p in x.pieces), np.int64, 3 * n_b.sum()).reshape(-1, 3)
+        ids_b, spans_b = rows_b[:, 0], rows_b[:, 1:]
+
+        wholes = [b" " + t.encode() for t in texts]
+        size = np.array([len(x) for x in wholes], np.int64)
+        right = (_sums(self.size_a[ids_a], n_a) == size) & (_sums(self.size_b[ids_b], n_b) == size)
+        joined = [b"".join(map(own.__getitem__, ids.tolist())) for own, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))]
+        if not (right.all() and joined[0] == joined[1] == b"".join(wholes)):
+            return self._some_aligned(texts, wholes, ids_a, n_a, ids_b, n_b)
+
+        # Spans in bytes: characters are counted through, and those of the proto don't know the added space.
+        chars = np.frombuffer(" ".join(["", *texts]).encode("utf-32-le"), np.uint32)
+        at = np.r_[0, np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000).astype(np.int64))]
+        first = np.cumsum([0, *(1 + len(t) for t in texts)])[:-1]
+        spans_a = at[spans_a + np.repeat(first, n_a)[:, None]]
+        start = at[first]
+        spans_b = spans_b + np.repeat(start, n_b)[:, None]
+        spans_b[:, 1] += spans_b[:, 1] > spans_b[:, 0]
+        spans_b[:, 0] += np.r_[False, np.ones(max(len(ids_b) - 1, 0), bool)]
+        places = []
+        for ids, spans, n, sizes in ((ids_a, spans_a, n_a, self.size_a), (ids_b, spans_b, n_b, self.size_b)):
+            last = np.zeros(len(ids), bool)
+            last[np.cumsum(n) - 1] = True
+            places.append(byte_ends(spans[:, 0], spans[:, 1], last, sizes[ids]))
+        end_a, end_b = places
+        if (end_a[np.cumsum(n_a) - 1] != start + size).any() or (end_b[np.cumsum(n_b) - 1] != start + size).any():
+            raise ValueError("token spans and token bytes disagree")
+        has_a, has_b = np.zeros(at[-1] + 1, bool), np.zeros(at[-1] + 1, bool)
+        has_a[end_a] = True
+        has_b[end_b] = True
+        cut_a, cut_b = has_b[end_a], has_a[end_b]
+        links = ids_a[cut_a] << 32 | ids_b[cut_b]
+        n_links = _sums(cut_a, n_a)
+
+        # A group's first tokens stand before its second ones, whatever the numbers of either.
+        group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
+        until_a, until_b = np.flatnonzero(cut_a) + 1, np.flatnonzero(cut_b) + 1
+        order = np.empty(len(ids_a) + len(ids_b), np.int64)
+        step = len(self.shown) // 4
+        order[np.arange(len(ids_a)) + np.r_[0, until_b][group_a]] = ids_a + step * cut_a
+        mark_b = 2 * cut_b
+        mark_b[np.cumsum(n_b) - 1] = 3
+        order[np.arange(len(ids_b)) + until_a[group_b]] = ids_b + step * mark_b
+        shown = "".join(map(self.shown.__getitem__, order.tolist())).split("\n")[:-1]
+        return shown, np.c_[n_a, n_b, n_links], links
+
+    def _some_aligned(self, texts: list[str], wholes: list[bytes], ids_a: np.ndarray, n_a: np.ndarray, ids_b: np.ndarray, n_b: np.ndarray):
+        """As ``aligned``, where the bytes of some texts differ: those have no tokens, the others are aligned without them."""
+        a, b = iter(ids_a.tolist()), iter(ids_b.tolist())
+        right = []
+        for whole, k, m in zip(wholes, n_a.tolist(), n_b.tolist(), strict=True):
+            own_a, own_b = (b"".join(own[i] for i in islice(ids, n)) for own, ids, n in ((self.bytes_a, a, k), (self.bytes_b, b, m)))
+            right.append(own_a == own_b == whole)
+        good = [t for t, ok in zip(texts, right, strict=True) if ok]
+        shown, sizes, links = self.aligned(good) if good else ([], np.zeros((0, 3), np.int64), np.zeros(0, np.int64))
+        out, all_sizes = iter(shown), np.zeros((len(texts), 3), np.int64)
+        all_sizes[np.array(right)] = sizes
+        return [next(out) if ok else None for ok in right], all_sizes, links
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
-        """Numbers of the pieces in ``groups``, ``sizes`` and so on; new ones are aligned."""
+        """Numbers of the pieces in ``groups`` and ``sizes``; new ones are aligned."""
         new = list(set(pieces).difference(self.number))
-        found: list = []
-        lo = 0
+        sizes, links, lo = [self.sizes], [self.links], 0
         while lo < len(new):
             hi, size = lo, 0
             while hi < len(new) and (hi == lo or size + len(new[hi]) <= ENCODED):
                 size += len(new[hi]) + 8
                 hi += 1
-            found += self.aligned(new[lo:hi])
+            shown, own_sizes, own_links = self.aligned(new[lo:hi])
+            self.groups += shown
+            sizes.append(own_sizes)
+            links.append(own_links)
             lo = hi
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
         self.known += sum(map(len, new))
-        rows = [x or (None, 0, 0, []) for x in found]
-        self.groups += [x[0] for x in rows]
-        self.sizes = np.concatenate([self.sizes, np.array([(x[1], x[2], len(x[3])) for x in rows], np.int64).reshape(-1, 3)])
-        self.links = np.concatenate([self.links, np.array([y for x in rows for y in x[3]], np.int64)])
+        self.sizes, self.links = np.concatenate(sizes), np.concatenate(links)
         return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
 
-    def texts(self, texts: list[str]) -> Iterator[tuple[int, int, str, np.ndarray]]:
-        """Numbers of tokens, groups and links of each text."""
+    def texts(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """As ``aligned``, for texts that may be empty; a text whose bytes differ has no tokens."""
         if self.known > REMEMBERED:
             self.forget()
         cuts = [(_BETWEEN.split(t) if self.divisible else [t]) if t else [] for t in texts]
-        numbers = self.numbers([p for own in cuts for p in own])
-        starts = np.r_[0, np.cumsum(self.sizes[:, 2])]
-        at = 0
-        for text, own in zip(texts, cuts, strict=True):
-            mine = numbers[at : at + len(own)]
-            at += len(own)
-            groups = [self.groups[k] for k in mine.tolist()]
-            if None not in groups:
-                n = self.sizes[mine]
-                # Links of all pieces one after the other: each place is its piece's start plus the place inside.
-                inside = np.arange(n[:, 2].sum()) - np.repeat(np.cumsum(n[:, 2]) - n[:, 2], n[:, 2])
-                yield int(n[:, 0].sum()), int(n[:, 1].sum()), ";".join(groups), self.links[np.repeat(starts[mine], n[:, 2]) + inside]
-                continue
-            whole = self.aligned([text])[0] if len(own) > 1 else None
-            groups, n_a, n_b, links = whole or ("", 0, 0, [])
-            yield n_a, n_b, groups, np.array(links, np.int64)
+        n = np.array([len(own) for own in cuts], np.int64)
+        numbers = self.numbers(list(chain.from_iterable(cuts)))
+        own = self.sizes[numbers]
+        sizes = np.c_[tuple(_sums(own[:, k], n) for k in range(3))]
+        links = self.links[_ranges(np.r_[0, np.cumsum(self.sizes[:, 2])][numbers], own[:, 2])]
+        shown, parts, wrong = [], map(self.groups.__getitem__, numbers.tolist()), []
+        for k, m in enumerate(n.tolist()):
+            groups = list(islice(parts, m))
+            if None in groups:
+                wrong.append(k)
+                groups = []
+            shown.append(";".join(groups))
+        if not wrong:
+            return shown, sizes, links
+        # Encoded as a whole, where that is not what was tried.
+        lists = np.split(links, np.cumsum(sizes[:, 2])[:-1])
+        for k in wrong:
+            (whole,), size, lists[k] = self.aligned([texts[k]]) if n[k] > 1 else ([None], np.zeros((1, 3), np.int64), links[:0])
+            shown[k], sizes[k] = whole or "", size[0]
+        return shown, sizes, np.concatenate(lists)
 
 
 @lru_cache(1)
@@ -189,12 +247,11 @@ def _align(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, digest:
     for batch in batches:
         texts = words.texts_of(batch, "text")
         for lo, hi in words.groups(texts, GROUP):
-            n_a, n_b, groups, links = zip(*tools.texts(texts[lo:hi].to_pylist()), strict=True)
+            groups, sizes, links = tools.texts(texts[lo:hi].to_pylist())
             if digest:
                 groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
-            sizes = np.array([len(x) for x in links], np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(np.concatenate(links)))
-            numbers = [pa.array(x, pa.int64()) for x in (n_a, n_b, sizes)]
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes[:, 2])].astype(np.int32)), pa.array(links))
+            numbers = [pa.array(np.ascontiguousarray(x)) for x in sizes.T]
             own = batch.slice(lo, hi - lo)
             yield pa.RecordBatch.from_arrays(
                 [own.column("id"), own.column("row"), *numbers, pa.array(groups, pa.string()), lists], names=["id", "row", "n_a", "n_b", "n_links", "groups", "links"]

@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -61,7 +62,8 @@ def texts_of(text):
     """As the operator gives it for one text."""
     own = align.Aligner(PATH_A, PATH_B) if not hasattr(texts_of, "own") else texts_of.own
     texts_of.own = own
-    return next(own.texts([text]))
+    (groups,), sizes, links = own.texts([text])
+    return (*sizes[0, :2].tolist(), groups, links)
 
 
 def as_text(groups):
@@ -106,11 +108,25 @@ def test_bytes_that_differ_have_no_tokens():
 
 
 def test_ends_between_spans_follow_from_bytes():
+    def ends(spans, sizes):
+        lo, hi = np.array(spans).T
+        return align.byte_ends(lo, hi, np.arange(len(lo)) == len(lo) - 1, np.array(sizes)).tolist()
+
     # A character of four bytes in three tokens, between a letter each.
-    assert align.byte_ends([(0, 1), (1, 5), (1, 5), (1, 5), (5, 6)], [1, 2, 1, 1, 1]) == [1, 3, 4, 5, 6]
+    assert ends([(0, 1), (1, 5), (1, 5), (1, 5), (5, 6)], [1, 2, 1, 1, 1]) == [1, 3, 4, 5, 6]
     # Byte-fallback pieces have no span but the last one.
-    assert align.byte_ends([(0, 0), (0, 0), (0, 3)], [1, 1, 1]) == [1, 2, 3]
-    assert align.byte_ends([(0, 2), (2, 3)], [1, 2]) is None
+    assert ends([(0, 0), (0, 0), (0, 3)], [1, 1, 1]) == [1, 2, 3]
+
+
+def test_texts_of_one_batch_are_aligned_alike():
+    texts = ["", *ODD, "a ▁ b", "", "x ▁", "ab cd"]
+    own = align.Aligner(PATH_A, PATH_B)
+    for _ in range(2):
+        groups, sizes, links = own.texts(texts)
+        want = [plain(t) for t in texts]
+        assert groups == [as_text(x) for x in want]
+        assert sizes[:, 2].tolist() == [len(x) for x in want]
+        assert links.tolist() == [a[-1] << 32 | b[-1] for x in want for a, b in x]
 
 
 def test_edge_rows(edge):
@@ -136,7 +152,7 @@ def test_pieces_are_forgotten(monkeypatch):
     monkeypatch.setattr(align, "REMEMBERED", 10)
     own = align.Aligner(PATH_A, PATH_B)
     texts = ["some words here", "other words there", "some words again"]
-    assert [next(own.texts([t]))[2] for t in texts] == [as_text(plain(t)) for t in texts]
+    assert [own.texts([t])[0][0] for t in texts] == [as_text(plain(t)) for t in texts]
 
 
 def test_groups_are_given_in_full(spark):
