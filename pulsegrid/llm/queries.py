@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import align, ann, exact, html, mixing, packing, quality, simhash, substring, suffix, toxicity, trees
+from pulsegrid.llm import align, ann, exact, html, mixing, packing, quality, simhash, spelling, substring, suffix, toxicity, trees
 from pulsegrid.llm.oracles import ORACLES
 
 
@@ -62,6 +62,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trees.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(_table(spark, sf_dir, "documents"))
 

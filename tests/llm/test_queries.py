@@ -17,6 +17,7 @@ COLUMNS = {
     "op8": "query_id bigint, rank int, vec_id bigint, score double",
     "op9": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     "op10": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
+    "op11": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
     "op12": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op13": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string",
 }
