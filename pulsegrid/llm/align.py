@@ -47,6 +47,8 @@ HEAVY = 1 << 20
 REMEMBERED = 4_000_000
 #: Characters of pieces encoded at once.
 ENCODED = 200_000
+#: Links looked up at once, or those of one longer text.
+LOOKED_UP = 200_000
 #: Bytes of texts aligned at once; a longer text is a group of its own.
 GROUP = 1 << 20
 
@@ -260,23 +262,28 @@ def _align(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, digest:
 
 def _known(batches: Iterator[pa.RecordBatch], heavy: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Sums over the links every task knows, and the list of the others."""
+    # Pieces that a former task of this worker remembers are of no use here.
+    aligner.cache_clear()
     pairs, counts, best = heavy
-    for batch in batches:
-        lists = batch.column("links")
-        sizes = np.diff(lists.offsets.to_numpy())
-        links = lists.flatten().to_numpy()
+
+    def looked_up(rows: pa.Array, lists: pa.ListArray) -> pa.RecordBatch:
+        sizes, links = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
         place = np.minimum(np.searchsorted(pairs, links), max(len(pairs) - 1, 0))
         hit = pairs[place] == links if len(pairs) else np.zeros(len(links), bool)
-        edges = np.r_[0, np.cumsum(sizes)]
-
-        def per_row(values: np.ndarray, edges=edges) -> np.ndarray:
-            sums = np.r_[0, np.cumsum(values)]
-            return sums[edges[1:]] - sums[edges[:-1]]
+        known = place[hit]
+        weight, good = np.zeros(len(links), np.int64), np.zeros(len(links), np.int64)
+        weight[hit], good[hit] = counts[known], best[known]
+        rest = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(_sums(~hit, sizes))].astype(np.int32)), pa.array(links[~hit]))
+        return pa.RecordBatch.from_arrays([rows, pa.array(_sums(good, sizes)), pa.array(_sums(weight, sizes)), rest], names=["row", "n_best", "count_sum", "rest"])
 
-        weight = np.where(hit, counts[place] if len(pairs) else 0, 0)
-        good = np.where(hit, best[place] if len(pairs) else 0, 0)
-        rest = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per_row(~hit))].astype(np.int32)), pa.array(links[~hit]))
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(per_row(good)), pa.array(per_row(weight)), rest], names=["row", "n_best", "count_sum", "rest"])
+    for batch in batches:
+        edges = batch.column("links").offsets.to_numpy()
+        lo = 0
+        while lo < len(batch):
+            hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + LOOKED_UP, "right")) - 1)
+            part = batch.slice(lo, hi - lo)
+            yield looked_up(part.column("row"), part.column("links"))
+            lo = hi
 
 
 def links_of(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: str, digest: bool) -> DataFrame:
