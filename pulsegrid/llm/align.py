@@ -86,6 +86,10 @@ def byte_ends(lo: np.ndarray, hi: np.ndarray, last: np.ndarray, sizes: np.ndarra
     return np.where(clean, hi, start + done - np.where(before >= 0, done[before], 0))
 
 
+def _open_ended(text: str) -> bool:
+    return text[0].isspace() or text[-1].isspace()
+
+
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places ``start .. start + size - 1`` of all ranges, one after the other."""
     return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
@@ -126,31 +130,41 @@ class Aligner:
         self.sizes = np.zeros((0, 3), np.int64)
         self.links = np.zeros(0, np.int64)
 
-    def aligned(self, texts: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray]:
-        """Groups, numbers of tokens and links (n x 3), and the links, of a space and each text (not empty)."""
-        ones = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        others = self.b.encode(texts, return_type="proto", num_threads=1)
+    def aligned(self, texts: list[str], as_one: bool = False) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+        """Groups, numbers of tokens and links (n x 3), and the links, of a space and each text (not empty).
+
+        ``as_one`` is for texts that neither start nor end with white space: they are encoded with a space between them, where tokens
+        end, and told apart by their bytes.
+        """
+        wholes = [b" " + t.encode() for t in texts]
+        size = np.array([len(x) for x in wholes], np.int64)
+        given = [" ".join(texts)] if as_one else texts
+        ones = self.a.encode_batch([" " + t for t in given], add_special_tokens=False)
+        others = self.b.encode(given, return_type="proto", num_threads=1)
         n_a = np.array([len(x.ids) for x in ones], np.int64)
         ids_a = np.fromiter(chain.from_iterable(x.ids for x in ones), np.int64, n_a.sum())
         spans_a = np.fromiter(chain.from_iterable(chain.from_iterable(x.offsets for x in ones)), np.int64, 2 * n_a.sum()).reshape(-1, 2)
         n_b = np.array([len(x.pieces) for x in others], np.int64)
-        rows_b = np.fromiter(chain.from_iterable((p.id, p.begin, p.end) for x in others for p in x.pieces), np.int64, 3 * n_b.sum()).reshape(-1, 3)
+        rows_b = np.array([(p.id, p.begin, p.end) for x in others for p in x.pieces], np.int64).reshape(-1, 3)
         ids_b, spans_b = rows_b[:, 0], rows_b[:, 1:]
-
-        wholes = [b" " + t.encode() for t in texts]
-        size = np.array([len(x) for x in wholes], np.int64)
-        right = (_sums(self.size_a[ids_a], n_a) == size) & (_sums(self.size_b[ids_b], n_b) == size)
+        sizes_a, sizes_b = self.size_a[ids_a], self.size_b[ids_b]
         joined = [b"".join(map(own.__getitem__, ids.tolist())) for own, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))]
-        if not (right.all() and joined[0] == joined[1] == b"".join(wholes)):
-            return self._some_aligned(texts, wholes, ids_a, n_a, ids_b, n_b)
+        right = joined[0] == joined[1] == b"".join(wholes)
+        if as_one and right:
+            ends = np.cumsum(size)
+            upto_a, upto_b = (np.searchsorted(np.cumsum(x), ends, "right") for x in (sizes_a, sizes_b))
+            n_a, n_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+        right = right and len(n_a) == len(size) and (_sums(sizes_a, n_a) == size).all() and (_sums(sizes_b, n_b) == size).all()
+        if not right:
+            return self.aligned(texts) if as_one else self._some_aligned(texts, wholes, ids_a, n_a, ids_b, n_b)
 
         # Spans in bytes: characters are counted through, and those of the proto don't know the added space.
         chars = np.frombuffer(" ".join(["", *texts]).encode("utf-32-le"), np.uint32)
         at = np.r_[0, np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000).astype(np.int64))]
         first = np.cumsum([0, *(1 + len(t) for t in texts)])[:-1]
-        spans_a = at[spans_a + np.repeat(first, n_a)[:, None]]
         start = at[first]
-        spans_b = spans_b + np.repeat(start, n_b)[:, None]
+        spans_a = at[spans_a if as_one else spans_a + np.repeat(first, n_a)[:, None]]
+        spans_b = spans_b + (0 if as_one else np.repeat(start, n_b)[:, None])
         spans_b[:, 1] += spans_b[:, 1] > spans_b[:, 0]
         spans_b[:, 0] += np.r_[False, np.ones(max(len(ids_b) - 1, 0), bool)]
         places = []
@@ -195,14 +209,16 @@ class Aligner:
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
         """Numbers of the pieces in ``groups`` and ``sizes``; new ones are aligned."""
-        new = list(set(pieces).difference(self.number))
+        # Pieces with white space at an end come last and are encoded one by one.
+        new = sorted(set(pieces).difference(self.number), key=_open_ended)
+        inner = len(new) - sum(map(_open_ended, new))
         sizes, links, lo = [self.sizes], [self.links], 0
         while lo < len(new):
-            hi, size = lo, 0
-            while hi < len(new) and (hi == lo or size + len(new[hi]) <= ENCODED):
+            hi, size, stop = lo, 0, inner if lo < inner else len(new)
+            while hi < stop and (hi == lo or size + len(new[hi]) <= ENCODED):
                 size += len(new[hi]) + 8
                 hi += 1
-            shown, own_sizes, own_links = self.aligned(new[lo:hi])
+            shown, own_sizes, own_links = self.aligned(new[lo:hi], as_one=self.divisible and lo < inner)
             self.groups += shown
             sizes.append(own_sizes)
             links.append(own_links)
