@@ -2,13 +2,14 @@
 
 Joining every point to every event of its window and keeping the best pair costs (points x events) per key.
 Here both sides are laid on one timeline per key and each point reads its neighbours from windows that
-are cut into short time bins:
+are cut into short time bins. Only whole numbers run through these steps, so all of them aggregate by hash:
 
-1. points and events are reduced to distinct (key, time) rows, combined before the shuffle, so repeated
-   stamps never pile up;
-2. each short bin is summarised by its first and last event; a window over the summaries of a stretch as
-   long as the search window (a fixed number of bins) finds what earlier and later bins carry in;
-3. windows over one short bin, plus the carried rows, give each point its previous and next event.
+1. points and events are reduced to distinct (key, time) rows with one bit per lookup, combined before the
+   shuffle, so repeated stamps never pile up;
+2. each short bin is summarised by its first and last event times; a window over the summaries of a stretch
+   as long as the search window (a fixed number of bins) finds what earlier and later bins carry in;
+3. windows over one short bin, plus the carried rows, give each point the time of its nearest event;
+4. the events' values are fetched last, once per (key, time), from the event of the smallest ties there.
 
 No task needs more than one short bin of one key, whatever share of all rows that key has.
 """
@@ -17,15 +18,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid.functions.columns import epoch_micros
 from pulsegrid.operators.joins import bin_of, micros
 
-_AT, _BIN, _STRETCH, _EDGE, _POINT = "__at", "__bin", "__stretch", "__edge", "__point"
+_AT, _BIN, _STRETCH, _EDGE, _POINT, _MASK = "__at", "__bin", "__stretch", "__edge", "__point", "__mask"
+_WHICH, _EVENT_AT = "__which", "__event_at"
 
 
 def nearest_in_window(
@@ -43,67 +47,114 @@ def nearest_in_window(
 ) -> DataFrame:
     """``points`` plus, per lookup, a struct (ties, event time, payload) of the nearest event or NULL.
 
-    ``lookups`` maps an output column to the condition its events meet. An event is in reach when
+    ``lookups`` maps an output column to the condition its events meet (62 at most). An event is in reach when
     ``point_time - before <= event_time <= point_time + after``. Equal distances go to the earlier event,
-    equal times to the smaller ``ties``.
+    equal times to the smaller ``ties``. Events with equal times and ties are told apart by their payload, or,
+    where the only tie is a whole number and the payload of fixed size, count as one, any of them.
     """
     on = list(on)
     names = list(lookups)
     taken = set(names) & set(points.columns)
     if taken:
         raise ValueError(f"lookups named like columns of the points: {sorted(taken)}")
-    event = F.struct(_AT, *ties, event_time, *payload)
+    if len(names) > 62:
+        raise ValueError("62 lookups at most")
 
-    # Times are microseconds (long) from here on.
+    # Times are microseconds (long) from here on, and a lookup is a bit.
+    bits = [F.when(cond, F.lit(1 << k)).otherwise(F.lit(0)) for k, cond in enumerate(lookups.values())]
     stamped = (
         events.where(F.col(event_time).isNotNull())
-        .withColumn(_AT, epoch_micros(event_time))
-        .select(
-            *on,
-            _AT,
-            F.lit(False).alias(_POINT),
-            *[F.when(cond, event).alias(name) for name, cond in lookups.items()],
-        )
-        .where(F.coalesce(*names).isNotNull())
+        .withColumns({_AT: epoch_micros(event_time), _MASK: reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long")})
+        .where(F.col(_MASK) != 0)
     )
     keyed = points.withColumn(_AT, epoch_micros(point_time))
-    types = stamped.schema
-    asked = keyed.where(F.col(_AT).isNotNull()).select(
-        *on,
-        _AT,
-        F.lit(True).alias(_POINT),
-        *[F.lit(None).cast(types[n].dataType).alias(n) for n in names],
+    stamps = stamped.select(*on, _AT, F.lit(False).alias(_POINT), _MASK).unionByName(
+        keyed.where(F.col(_AT).isNotNull()).select(
+            *on, _AT, F.lit(True).alias(_POINT), F.lit(0).cast("long").alias(_MASK)
+        )
+    )
+    timeline = stamps.groupBy(*on, bin_of(F.col(_AT), bin_width).alias(_BIN), _AT).agg(
+        F.max(_POINT).alias(_POINT), F.bit_or(_MASK).alias(_MASK)
     )
-    timeline = (
-        stamped.unionByName(asked)
-        .groupBy(*on, bin_of(F.col(_AT), bin_width).alias(_BIN), _AT)
-        .agg(F.max(_POINT).alias(_POINT), *[F.min(n).alias(n) for n in names])
+    timeline = timeline.select(
+        *on, _BIN, _AT, _POINT, *[F.when(F.getbit(_MASK, F.lit(k)) == 1, F.col(_AT)).alias(n) for k, n in enumerate(names)]
     )
 
     carried = _carried(timeline, on, names, before, after, bin_width)
     rows = timeline.withColumn(_EDGE, F.lit(0)).unionByName(carried, allowMissingColumns=True)
     order = W.partitionBy(*on, _BIN).orderBy(_EDGE, _AT)
     upto = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    # Times rise along the order, so the last one so far is the greatest.
     neighbours = rows.select(
         *on,
         _AT,
         _POINT,
-        *[F.last(n, ignorenulls=True).over(upto).alias(f"__prev_{n}") for n in names],
+        *[F.max(n).over(upto).alias(f"__prev_{n}") for n in names],
         *[_following(n, [*on, _BIN], [_EDGE, _AT]).alias(f"__next_{n}") for n in names],
     ).where(_POINT)
 
-    def reach(side: str, name: str) -> Column:
-        found = F.col(f"__{side}_{name}")
-        gap = found[_AT] - F.col(_AT)
-        inside = gap.between(-micros(before), micros(after))
-        return F.when(inside, F.struct(F.abs(gap).alias("distance"), found.alias("event")))
+    def nearest(name: str) -> Column:
+        prev, following = F.col(f"__prev_{name}"), F.col(f"__next_{name}")
+        prev = F.when(F.col(_AT) - prev <= micros(before), prev)
+        following = F.when(following - F.col(_AT) <= micros(after), following)
+        closer = following - F.col(_AT) < F.col(_AT) - prev
+        return F.when(closer, following).otherwise(F.coalesce(prev, following))
+
+    found = F.array(*[F.struct(F.lit(k).alias(_WHICH), nearest(n).alias(_EVENT_AT)) for k, n in enumerate(names)])
+    chosen = (
+        neighbours.select(*on, _AT, F.explode(found).alias("__found"))
+        .select(*on, _AT, "__found.*")
+        .where(F.col(_EVENT_AT).isNotNull())
+    )
+    values = _fetched(chosen, stamped, on, names, event_time, payload, ties)
+    return keyed.join(values, [*on, _AT], "left").select(*points.columns, *names)
 
-    best = neighbours.select(
+
+def _fetched(
+    chosen: DataFrame,
+    events: DataFrame,
+    on: Sequence[str],
+    names: Sequence[str],
+    event_time: str,
+    payload: Sequence[str],
+    ties: Sequence[str],
+) -> DataFrame:
+    """One row per (key, point time) with a struct per lookup, from rows that name a lookup and its event's time."""
+    fields = [*ties, event_time, *payload]
+    fixed = all(_fixed_size(events.schema[c].dataType) for c in fields)
+    if len(ties) == 1 and fixed and isinstance(events.schema[ties[0]].dataType, T.IntegralType):
+        # A missing tie comes first, as it does in a struct.
+        rank = F.coalesce(F.col(ties[0]).cast("long"), F.lit(-(1 << 63)))
+    else:
+        rank = F.struct(*fields)
+
+    def least(field: str, k: int) -> Column:
+        met = F.getbit(_MASK, F.lit(k)) == 1
+        return F.min_by(field, F.when(met, rank)).alias(f"__{k}_{field}")
+
+    per_time = events.groupBy(*on, F.col(_AT).alias(_EVENT_AT)).agg(
+        *[least(f, k) for k in range(len(names)) for f in fields]
+    )
+    joined = chosen.join(per_time, [*on, _EVENT_AT])
+    # A point has one row per lookup: the greatest of one value is that value.
+    own = [F.max(F.when(F.col(_WHICH) == k, F.col(f"__{k}_{f}"))).alias(f"__{k}_{f}") for k in range(len(names)) for f in fields]
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(_WHICH))
+    gathered = joined.groupBy(*on, _AT).agg(F.bit_or(bit).alias(_MASK), *own)
+    return gathered.select(
         *on,
         _AT,
-        *[F.least(reach("prev", n), reach("next", n))["event"].dropFields(_AT).alias(n) for n in names],
+        *[
+            F.when(F.getbit(_MASK, F.lit(k)) == 1, F.struct(*[F.col(f"__{k}_{f}").alias(f) for f in fields])).alias(name)
+            for k, name in enumerate(names)
+        ],
+    )
+
+
+def _fixed_size(kind: T.DataType) -> bool:
+    """Whether values can be updated in place, so that aggregation by hash holds them."""
+    return isinstance(
+        kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DayTimeIntervalType)
     )
-    return keyed.join(best, [*on, _AT], "left").select(*points.columns, *names)
 
 
 def _following(name: str, partition: Sequence[str], order: Sequence[str]) -> Column:
@@ -124,7 +175,7 @@ def _carried(
     after: timedelta,
     bin_width: timedelta,
 ) -> DataFrame:
-    """Two rows per bin with points: the last event of the bins before (edge -1), the first of those after (+1)."""
+    """Two rows per bin with points: the last event times of the bins before (edge -1), the first of those after (+1)."""
     ahead, back = -(-micros(before) // micros(bin_width)), -(-micros(after) // micros(bin_width))
     length = max(ahead + back, 1)
     summary = timeline.groupBy(*on, _BIN).agg(
@@ -146,7 +197,7 @@ def _carried(
             _BIN,
             _STRETCH,
             _POINT,
-            *[F.last(f"__last_{n}", ignorenulls=True).over(upto).alias(f"__prev_{n}") for n in names],
+            *[F.max(f"__last_{n}").over(upto).alias(f"__prev_{n}") for n in names],
             *[_following(f"__first_{n}", place, [_BIN]).alias(f"__next_{n}") for n in names],
         )
         .where(F.col(_POINT) & (F.col(_STRETCH) == home))

@@ -12,6 +12,7 @@ from pulsegrid.functions.columns import anchored_age, icu_expire_flag, offset
 from pulsegrid.operators.aggregates import keep_unique
 from pulsegrid.operators.joins import interval_join, lookup
 from pulsegrid.operators.nearest import nearest_in_window
+from pulsegrid.operators.ranking import first_per_group
 from pulsegrid.operators.splitting import group_split
 from pulsegrid.schemas import LAB_ITEM_IDS, LAB_LABELS
 
@@ -24,12 +25,13 @@ STAY_AFTER = timedelta(hours=24)
 def _labelled(labevents: DataFrame, d_labitems: DataFrame, items: Sequence[int]) -> DataFrame:
     """Results of the wanted items with their label (NULL where the dimension lacks the item).
 
-    A handful of items covers all rows, so a shuffle by item would put everything in a few tasks. ``itemid``
-    is the key of the dimension: cut to the items asked for it has at most ``len(items)`` rows, and that is
-    what gets broadcast.
+    A handful of items covers all rows, so a shuffle by item would put everything in a few tasks. The dimension
+    is cut to the items asked for and to one row of each (the first label), so what gets broadcast has at most
+    ``len(items)`` rows and no result is doubled, whatever the dimension holds.
     """
     wanted = F.col("itemid").isin(*items)
-    return labevents.where(wanted).join(F.broadcast(d_labitems.where(wanted)), "itemid", "left")
+    dimension = first_per_group(d_labitems.where(wanted), ["itemid"], [F.col("label").asc_nulls_last()])
+    return labevents.where(wanted).join(F.broadcast(dimension), "itemid", "left")
 
 
 def lab_pairs(

@@ -194,7 +194,52 @@ def test_nearest_forms_no_pairs(spark):
     )
     plan = plan_of(out)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert plan.count("Join") == 1
+    # Values join their times, and results their points.
+    assert plan.count("Join") == 2
+
+
+def test_only_whole_numbers_run_through_the_timeline(spark):
+    """Aggregates all work by hash, and values are fetched after the windows."""
+    points, events = sample(8, 10, 10, [1, 2], 60, 10)
+    hour = timedelta(hours=1)
+    out = nearest_in_window(
+        spark.createDataFrame(points, POINTS),
+        spark.createDataFrame(events, EVENTS),
+        ["subject_id"],
+        "ecg_time",
+        "charttime",
+        hour,
+        hour,
+        {"lab": F.col("valuenum").isNotNull(), "any": F.lit(True)},
+        ["valuenum"],
+        ["labevent_id"],
+    )
+    plan = plan_of(out)
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") >= 6
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("valuenum" not in line and "labevent_id" not in line for line in windows)
+
+
+def test_payload_of_any_type_and_ties_without_a_value(spark):
+    hour = timedelta(hours=1)
+    events = spark.createDataFrame(
+        [(1, at(minutes=1), "b", 4, None), (1, at(minutes=1), "a", 4, 2), (1, at(minutes=1), "z", 5, 1), (2, at(minutes=2), "x", None, 7), (2, at(minutes=2), "y", 1, 1)],
+        "subject_id long, charttime timestamp_ntz, unit string, labevent_id long, rank int",
+    )
+    points = spark.createDataFrame([(1, 1, at()), (2, 2, at()), (3, 3, at())], POINTS)
+    args = (["subject_id"], "ecg_time", "charttime", hour, hour, {"hit": F.lit(True)})
+    text = nearest_in_window(points, events, *args, ["unit"], ["labevent_id"])
+    assert {r.study_id: r.hit and (r.hit.labevent_id, r.hit.unit) for r in text.collect()} == {1: (4, "a"), 2: (None, "x"), 3: None}
+    numbers = nearest_in_window(points, events, *args, ["labevent_id"], ["rank"])
+    assert {r.study_id: r.hit and (r.hit["rank"], r.hit.labevent_id) for r in numbers.collect()} == {1: (None, 4), 2: (1, 1), 3: None}
+
+
+def test_many_points_share_one_event(spark):
+    """Every point of a hot key chooses the same event; its values are fetched once."""
+    day = timedelta(days=1)
+    points = [(1, i, at(seconds=i)) for i in range(4000)]
+    out = run(spark, points, [(1, at(seconds=-5), 7.0, 3), (1, at(seconds=-6), 8.0, 1)], day, day)
+    assert len(out) == 4000 and set(out.values()) == {(3, 7.0)}
 
 
 def test_lookup_names_must_be_new(spark):

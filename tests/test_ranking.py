@@ -1,5 +1,4 @@
 import random
-from datetime import timedelta
 
 import pytest
 from pyspark.sql import Window as W
@@ -17,21 +16,34 @@ def recordings(n=300, seed=2):
     return [(rng.choice([1, 1, 1, 2, 3]), i, at(seconds=20 * rng.randrange(200))) for i in range(n)]
 
 
-@pytest.mark.parametrize("width", [timedelta(seconds=30), timedelta(minutes=10), timedelta(days=3)])
+@pytest.mark.parametrize("ranges", [None, 1, 7, 40])
 @pytest.mark.parametrize("parts", [1, 17])
-def test_rank_equals_a_plain_window(spark, width, parts):
+def test_rank_equals_a_plain_window(spark, ranges, parts):
     df = spark.createDataFrame(recordings(), SCHEMA).repartition(parts)
     plain = df.withColumn(
         "ecg_order", F.row_number().over(W.partitionBy("stay_id").orderBy("ecg_time", "study_id")).cast("int")
     )
-    assert rows(rank_in_group(df, ["stay_id"], "ecg_time", ["study_id"], bin_width=width)) == rows(plain)
+    assert rows(rank_in_group(df, ["stay_id"], "ecg_time", ["study_id"], ranges=ranges)) == rows(plain)
 
 
 def test_rank_splits_a_hot_group(spark):
     df = spark.createDataFrame(recordings(5), SCHEMA)
     plan = plan_of(rank_in_group(df, ["stay_id"], "ecg_time", ["study_id"]))
     numbering = [line for line in plan.splitlines() if "row_number" in line and "Window [" in line]
-    assert numbering and all("__bin" in line for line in numbering)
+    assert numbering and all("__range" in line for line in numbering)
+
+
+@pytest.mark.parametrize("ties", [["study_id"], []])
+def test_one_group_and_instant_is_numbered_by_all_tasks(spark, ties):
+    """Two million rows that no key, no time and, without ties, nothing but their place tells apart."""
+    n, ranges = 2_000_000, 16
+    df = spark.range(n).select(F.lit(1).cast("long").alias("stay_id"), F.col("id").alias("study_id"), F.lit(at()).alias("ecg_time"))
+    ranked = rank_in_group(df, ["stay_id"], "ecg_time", ties, ranges=ranges)
+    numbers = ranked.agg(F.min("ecg_order"), F.max("ecg_order"), F.countDistinct("ecg_order"), F.sum((F.col("ecg_order") != F.col("study_id") + 1).cast("int"))).first()
+    assert tuple(numbers)[:3] == (1, n, n) and (not ties or numbers[3] == 0)
+    files = ranked.inputFiles()
+    per_range = spark.read.parquet(*files).groupBy("__range").count().collect()
+    assert len(per_range) == ranges and max(r["count"] for r in per_range) < 2 * n / ranges
 
 
 def test_rank_keeps_rows_without_time(spark):
