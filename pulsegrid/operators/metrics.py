@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.stats import student_p_column
+from pulsegrid.sources import scratch
 
 
 def _pairs(df: DataFrame, y: str, p: str, by: Sequence[str]) -> DataFrame:
@@ -42,7 +43,9 @@ def binary_metrics(
     by = list(by)
     clipped = F.least(F.greatest(F.col("p"), F.lit(1e-7)), F.lit(1 - 1e-7))
     loss = -(F.col("y") * F.log(clipped) + (1 - F.col("y")) * F.log(1 - clipped))
-    cut = F.greatest(F.ceil(F.col("p") * (thresholds - 1)), F.lit(1).cast("long"))
+    # Scores outside [0, 1] belong to the intervals at the ends.
+    last = F.lit(thresholds - 1).cast("long")
+    cut = F.least(F.greatest(F.ceil(F.col("p") * (thresholds - 1)), F.lit(1).cast("long")), last)
     counted = (
         _pairs(df, y, p, by)
         .groupBy(*by, cut.alias("cut"))
@@ -69,3 +72,30 @@ def binary_metrics(
             F.try_divide(won, F.sum("pos") * F.sum("neg")).alias("auc"),
         )
     )
+
+
+def exact_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
+    """``by``, ``n`` and ``auc``: the share of (one, zero) pairs whose scores are in the right order, ties half.
+
+    For scores of any range. Equal scores are counted first, in each task, then dealt into ranges of (group, score)
+    and written once when called. Ranks come from running counts inside a range and the counts of earlier ranges, so no
+    task holds more than one range. NULL for a group without ones or zeros.
+    """
+    by = list(by)
+    counts = _pairs(df, y, p, by).groupBy(*by, "p").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    counts = scratch.cut(counts.repartitionByRange(*by, "p").withColumn("__range", F.spark_partition_id()), "score-counts")
+    lower = W.partitionBy(*by, "__range").orderBy("p").rowsBetween(W.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("neg").over(lower), F.lit(0.0))
+    inside = counts.withColumn("won", F.col("pos") * (below + F.col("neg") / 2))
+    ranges = inside.groupBy(*by, "__range").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "won")])
+    whole = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    before = F.coalesce(F.sum("neg").over(whole.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    won = F.sum(F.col("won") + F.col("pos") * F.col("before"))
+    return (
+        ranges.withColumn("before", before)
+        .groupBy(*by)
+        .agg(
+            (F.sum("pos") + F.sum("neg")).cast("long").alias("n"),
+            F.try_divide(won, F.sum("pos") * F.sum("neg")).alias("auc"),
+        )
+    )

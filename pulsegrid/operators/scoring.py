@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from pulsegrid.functions.signal import flatten_signal
 from pulsegrid.operators.joins import pending
+from pulsegrid.operators.membership import key_filter, maybe_in
+from pulsegrid.sources.scratch import cut
 
 
 @dataclass(frozen=True)
@@ -72,15 +74,18 @@ def score_all(
 ) -> DataFrame:
     """Rows (key, model, version, score) for what ``done`` lacks, reading each signal once for all models.
 
-    Recordings with nothing pending are dropped by a join with the narrow list of pending models before
-    anything goes to Python, and a model only sees the recordings it has not scored.
+    The pending models of each recording are a narrow table, written once when this is called. A Bloom filter of its
+    keys is tested where signals are read, so unwanted signals go no further, and only then do they meet that table:
+    signals stored in buckets by ``key`` (``sources.shards.write_bucketed``) stay where they are. A model only sees the
+    recordings it has not scored.
     """
     todo = (
         pending(signals.select(key), done, {name: m.version for name, m in models.items()}, key)
         .groupBy(key)
         .agg(F.collect_set("model").alias("__todo"))
     )
-    wanted = signals.select(key, signal).join(todo, key)
+    todo = cut(todo, "pending")
+    wanted = maybe_in(signals.select(key, signal), key, *key_filter(todo, key)).join(todo, key)
     scored = wanted.select(key, "__todo", score_columns(models, signal, "__todo").alias("__scores"))
     scored = scored.select(key, "__todo", *[F.col("__scores")[name].alias(name) for name in models])
     # Unpivoting keeps the scores below it evaluated once; exploding an array of them would infer a filter on

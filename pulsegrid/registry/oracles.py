@@ -466,6 +466,16 @@ def all_oracles() -> dict[str, str]:
           from risks cross join cuts group by gender, k""",
     )
 
+    o["exact_auc"] = _with(
+        f"""select gender, count(*) as n, {r('(sum(rank) filter (where y = 1) - n1 * (n1 + 1) / 2) / (n1 * n0)', name='auc')}
+        from ranked group by gender, n1, n0""",
+        years="select gender, hospital_expire_flag as y, round(age_pred) as p from scored where age_pred is not null",
+        ranked="""select gender, y, count(*) filter (where y = 1) over (partition by gender)::double as n1,
+          count(*) filter (where y = 0) over (partition by gender)::double as n0,
+          rank() over (partition by gender order by p) + (count(*) over (partition by gender, p) - 1) / 2.0::double as rank
+          from years""",
+    )
+
     # ranking and bins
     o["ecg_order"] = _with("select stay_id, study_id, ecg_time, ecg_order from hosp")
     o["first_ecg_per_stay"] = _with("select stay_id, study_id, ecg_time from hosp where ecg_order = 1")

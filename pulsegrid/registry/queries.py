@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -150,7 +149,9 @@ def _write_histories(t: Proxies) -> str:
     """One history per model, written as a folder; those of gender models lack the mse columns."""
     root = scratch_path(t.spark, "histories")
     for name in HISTORY_MODELS:
-        rows = t.history.where(F.col("model") == name).drop("model")
+        # A remark with commas, quotes and a line break stands before the numbers.
+        remark = F.concat(F.lit('best, so far\nsaid "'), F.col("epoch").cast("string"), F.lit('", kept')).alias("remark")
+        rows = t.history.where(F.col("model") == name).select("epoch", remark, *[c for c in t.history.columns if c not in ("model", "epoch")])
         if name.endswith("gender"):
             rows = rows.drop("mse", "val_mse")
         tables.write_table(rows, f"{root}/{name}-history.csv", "csv")
@@ -494,6 +495,13 @@ def binary_metrics(t: Proxies) -> DataFrame:
     return _round(metrics.binary_metrics(rows, "hospital_expire_flag", "risk", ["gender"]))
 
 
+@_query
+def exact_auc(t: Proxies) -> DataFrame:
+    """Predicted age itself as a score of death, to whole years, so that many are equal."""
+    rows = _scored(t).withColumn("years", F.round("age_pred"))
+    return _round(metrics.exact_auc(rows, "hospital_expire_flag", "years", ["gender"]))
+
+
 # --- ranking and bins ----------------------------------------------------------------------------
 
 
@@ -548,7 +556,9 @@ def epoch_shuffle(t: Proxies) -> DataFrame:
 def union_histories(t: Proxies) -> DataFrame:
     parts = {}
     for name in HISTORY_MODELS:
-        rows = t.history.where(F.col("model") == name).drop("model")
+        # A remark with commas, quotes and a line break stands before the numbers.
+        remark = F.concat(F.lit('best, so far\nsaid "'), F.col("epoch").cast("string"), F.lit('", kept')).alias("remark")
+        rows = t.history.where(F.col("model") == name).select("epoch", remark, *[c for c in t.history.columns if c not in ("model", "epoch")])
         parts[name] = rows.drop("mse", "val_mse") if name.endswith("gender") else rows
     return reshape.union_tagged(parts, "model")
 
@@ -654,11 +664,10 @@ def feature_rows(t: Proxies) -> DataFrame:
 
 @_query
 def feature_rows_bucketed(t: Proxies) -> DataFrame:
-    """Signals from a catalog table stored in buckets by recording; the join leaves them where they are."""
-    table = f"signals_{uuid.uuid4().hex}"
-    shards.write_bucketed(t.signals.select("file_name", "signal"), table, "file_name", 8)
+    """Signals stored in buckets by recording; the join leaves them where they are."""
+    stored = shards.bucketed(t.signals.select("file_name", "signal"), scratch_path(t.spark, "signals"), "file_name", 8)
     labs = cohort.lab_labels(t.records, t.labevents, t.d_labitems)
-    return _flat_features(features.build_features(_split(t), t.spark.table(table), labs, cohort.hosp_labels(t.records, t.stays)))
+    return _flat_features(features.build_features(_split(t), stored, labs, cohort.hosp_labels(t.records, t.stays)))
 
 
 @_query
@@ -682,9 +691,13 @@ def score_batches(t: Proxies) -> DataFrame:
 
 @_query
 def score_all_models(t: Proxies) -> DataFrame:
+    """Models over stored signals; the second append finds nothing to add."""
     sound = signals.reject_bad(t.signals).select(F.col("file_name").alias("study_id"), "signal")
+    stored = shards.bucketed(sound, scratch_path(t.spark, "sound-signals"), "study_id", 8)
     path = scratch_path(t.spark, "scores")
-    score_store.write_scores(scoring.score_all(sound, _MODELS, _done(t)), path)
+    scored = cut(scoring.score_all(stored, _MODELS, _done(t)), "scored")
+    score_store.write_scores(scored, path)
+    score_store.write_scores(scored, path)
     return _round(score_store.read_scores(t.spark, path))
 
 

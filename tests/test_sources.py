@@ -76,6 +76,28 @@ def test_histories_with_differing_columns(spark, tmp_path):
     assert report.columns == ["model", "task", "epoch", "name", "value"] and report.count() == 6
 
 
+def test_quoted_fields_hold_commas_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a-x-history.csv").write_text('"the, note",loss,epoch\n"a, ""b""\nc",1.5,0\nplain, 2.5 ,1\n"",,2\n')
+    (tmp_path / "b-y-history.csv").write_text('epoch,"multi\nline",loss,loss\n3,"x, y",4.5,9\n4,"z"\n')
+    (tmp_path / "c-z-history.csv").write_text("")
+    (tmp_path / "d-z-history.csv").write_text("loss,epoch\n")
+    read = schema(**{"epoch": "int", "loss": "double", "the, note": "string"})
+    df = tables.read_many(spark, str(tmp_path / "*.csv"), read, "model", by_name=True)
+    assert rows(df, "epoch", "loss", "the, note") == [(0, 1.5, 'a, "b"\nc'), (1, 2.5, "plain"), (2, None, None), (3, 4.5, None), (4, None, None)]
+    assert {r.model.rsplit("/", 1)[1] for r in df.select("model").collect()} == {"a-x-history.csv", "b-y-history.csv"}
+
+
+def test_headers_of_packed_and_split_files(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as file:
+        file.write("loss,epoch\n0.5,1\n")
+    (tmp_path / "b.csv").write_text("\ufeffepoch,loss\n2,0.25\n")
+    assert rows(tables.read_many(spark, str(tmp_path / "*"), HISTORY, by_name=True, line_breaks=False), "epoch", "loss") == [(1, 0.5), (2, 0.25)]
+    nothing = tables.read_many(spark, [str(tmp_path / "e")], HISTORY, by_name=True) if (tmp_path / "e").write_text("") else None
+    assert nothing is None
+
+
 def test_score_map_in_one_object(spark, tmp_path):
     values = {str(i): i / 7 for i in range(5000)} | {"101": 63.5, "102": None, "103": float("nan"), "-4": -1e-07}
     (tmp_path / "m.json").write_text(json.dumps(values))

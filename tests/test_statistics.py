@@ -54,6 +54,28 @@ def test_auc_needs_both_classes(spark):
     assert metrics.binary_metrics(df, "y", "p").collect()[0].auc is None
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_exact_auc_counts_pairs_in_order(spark, by):
+    rng = np.random.default_rng(4)
+    data = [(int(rng.integers(3)), int(rng.integers(2)), float(rng.integers(-30, 400))) for _ in range(400)]
+    df = spark.createDataFrame([*data, (0, None, 1.0), (1, 1, None), (9, 1, 5.0)], "g int, y int, p double")
+    got = {tuple(r[c] for c in by): (r.n, r.auc) for r in metrics.exact_auc(df, "y", "p", by).collect()}
+    groups = {(9,): [(1, 5.0)]} if by else {(): [(1, 5.0)]}
+    for g, y, p in data:
+        groups.setdefault((g,) if by else (), []).append((y, p))
+    for key, own in groups.items():
+        ones, zeros = ([p for y, p in own if y == k] for k in (1, 0))
+        won = sum((a > b) + (a == b) / 2 for a in ones for b in zeros)
+        want = won / len(ones) / len(zeros) if ones and zeros else None
+        assert got[key][0] == len(own) and got[key][1] == (want and pytest.approx(want))
+    assert len(got) == len(groups)
+
+
+def test_scores_beyond_one_stay_in_the_outer_intervals(spark):
+    df = spark.createDataFrame([(1, 50.0), (0, -3.0), (1, 0.7), (0, 0.2)], "y int, p double")
+    assert metrics.binary_metrics(df, "y", "p").first().auc == 1.0
+
+
 def test_regression_metrics(spark):
     df = spark.createDataFrame([("a", 1.0, 3.0), ("a", 2.0, 2.0), ("b", 0.0, None)], "g string, y double, p double")
     assert rows(metrics.regression_metrics(df, "y", "p", ["g"])) == [("a", 2, 2.0, 1.0)]
