@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -56,9 +58,26 @@ def test_recall(spark, small):
     assert found >= 0.9 * 20 * len(got)
 
 
-def test_recall_beyond_one_block():
+def test_recall_on_a_larger_table(spark):
+    path = "/root/testdata/sf0.1"
+    if not os.path.isdir(path):
+        pytest.skip("driver tables not present")
+    ids, x, _ = vectors(path, spark)
+    asked = np.flatnonzero(ids % 20 == 0)
+    longest = float(np.sqrt((x**2).sum(axis=1).max()))
+    found, least = 0, 20
+    for q, own, _ in ann.search(x, ids, x[asked], ids[asked], longest, 20):
+        exact = x @ x[asked[q]]
+        exact[ids == ids[asked[q]]] = -np.inf
+        hits = len(set(own.tolist()) & set(ids[np.lexsort((ids, -exact))[:20]].tolist()))
+        found, least = found + hits, min(least, hits)
+    assert found >= 0.94 * 20 * len(asked) and least >= 15
+
+
+@pytest.mark.parametrize("dims", [32, 64])
+def test_recall_beyond_one_block(dims):
     random = np.random.default_rng(2)
-    base = random.standard_normal((4000, 32)) * random.uniform(0.5, 2, (4000, 1))
+    base = random.standard_normal((4000, dims)) * random.uniform(0.5, 2, (4000, 1))
     ids, queries_ = np.arange(4000), base[:40]
     longest = float(np.sqrt((base**2).sum(axis=1).max()))
     found = 0
