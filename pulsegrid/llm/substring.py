@@ -3,8 +3,8 @@
 A window is ``width`` consecutive words of one document. Words covered by a window that also starts in a document
 with a smaller id are removed; windows are judged on the input. First pass: partition sketches of all windows are
 merged into one bitmap of the cells counting two or more. Second pass: windows the bitmap can't rule out are grouped
-by a 96-bit hash, one row for each window and batch of documents, so a window of a third of all rows sends a row per
-batch. The texts meet the found ranges once, by document.
+by 95 bits of two hashes, one row for each window and batch of documents, so a window of a third of all rows sends a row per
+batch. The two are made from two independent hashes of each word. The texts meet the found ranges once, by document.
 
 Null text: no words. Null id: such documents count as coming after all others and remove nothing from each other.
 Rows with the same id and text are treated alike; rows with the same id and another text are documents of their own
@@ -41,18 +41,20 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(doc.alias("doc"), F.xxhash64(F.col(id_col), text).alias("key"), F.col(id_col).alias("id"), text.alias("text"))
 
 
-def _windows(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, second hash, text number and first word's number in its text of every window."""
+def _windows(texts: pa.Array, width: int, tagged: bool = True) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]:
+    """Hash, second hash (if ``tagged``), text number and first word's number in its text of every window."""
     data, bounds = words.raw(texts)
     starts, ends, text = words.split(data, bounds)
-    single = words.range_hashes(data, starts, ends)
-    h = words.rolling(single, width, 0xD6E8FEB86659FD93)
-    tag = words.rolling(single, width, 0xA0761D6478BD642F)
+    h = words.rolling(words.word_hashes(data, starts, ends, 0x2545F4914F6CDD1D), width, 0xD6E8FEB86659FD93)
     n = len(h)
     inside = text[:n] == text[width - 1 :] if n else np.zeros(0, bool)
+    tag = None
+    if tagged:
+        tag = words.rolling(words.word_hashes(data, starts, ends, 0x9E6C63D0876A9A47), width, 0xA0761D6478BD642F)
+        tag = (tag[inside] >> np.uint64(33)).astype(np.int32)
     before = np.searchsorted(text, np.arange(len(texts)), "left")
     text, place = text[:n][inside], np.arange(n)[inside]
-    return h[inside], (tag[inside] >> np.uint64(33)).astype(np.int32), text, place - before[text]
+    return h[inside], tag, text, place - before[text]
 
 
 def _maybe(h: np.ndarray, rounds: list[list[np.ndarray]]) -> np.ndarray:
@@ -124,7 +126,7 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         def hashes(batch: pa.RecordBatch, held=held) -> Iterator[np.ndarray]:
             texts = words.texts_of(batch, "text")
             for lo, hi in words.groups(texts):
-                h = _windows(texts[lo:hi], width)[0]
+                h = _windows(texts[lo:hi], width, tagged=False)[0]
                 yield h[_maybe(h, held.value)]
 
         rounds = [*rounds, sketch.repeated(rows.select("text"), hashes, max(sketch.SLICE_BITS, bits - (salt > 0)), salt)]

@@ -3,6 +3,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from pulsegrid.llm import queries, sketch, substring, words
 
@@ -71,3 +73,24 @@ def test_word_hashes_ignore_place():
     starts, ends, _ = words.split(data, np.array([0, len(data)]))
     h = words.range_hashes(data, starts, ends)
     assert len(h) == 4 and h[0] == h[2] and h[1] == h[3] and h[0] != h[1]
+
+
+@pytest.mark.parametrize("size", [256, 1024, 2048])
+def test_words_on_which_polynomial_hashes_agree(spark, size):
+    """A Thue-Morse word and its complement: their difference has a factor of two for each doubling, at any base."""
+    signs = [bin(k).count("1") % 2 for k in range(size)]
+    one, other = ("".join("ab"[s ^ flip] for s in signs) for flip in (0, 1))
+    start = " ".join(f"w{k}" for k in range(12))
+    df = spark.createDataFrame([(1, f"{start} {one}"), (2, f"{start} {other}"), (3, f"{start} {one}")], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring.remove_repeated(df).collect()} == {1: 0, 2: 0, 3: 13}
+
+
+@given(st.lists(st.binary(max_size=20), max_size=30))
+@settings(max_examples=100, deadline=None)
+def test_word_hashes_are_equal_for_equal_words_only(own):
+    data = np.frombuffer(b"".join(own), np.uint8)
+    ends = np.cumsum([len(w) for w in own]).astype(np.int64)
+    starts = ends - np.array([len(w) for w in own], np.int64)
+    for salt in (1, 2):
+        h = words.word_hashes(data, starts, ends, salt).tolist()
+        assert len({*zip(h, own, strict=True)}) == len(set(h)) == len(set(own))
