@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from pulsegrid.sources.scratch import cut
 
-LINES = 192
+LINES = 96
 #: Collisions a vector needs to be verified; the share of a block, and the multiple of ``k``, verified at least.
-NEEDED, SHARE, MULTIPLE = 100, 0.2, 20
+NEEDED, SHARE, MULTIPLE = 50, 0.3, 20
 #: First half width of a window, in units of a projection's spread, and its growth from step to step.
 WIDTH, GROWTH = 0.6, 1.25
 #: Vectors of a block, and queries that meet it in one task, on average.
