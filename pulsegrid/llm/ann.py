@@ -29,6 +29,8 @@ LINES = 96
 NEEDED, SHARE, MULTIPLE = 50, 0.3, 20
 #: First half width of a window, in units of a projection's spread, and its growth from step to step.
 WIDTH, GROWTH = 0.6, 1.25
+#: Queries whose windows are opened together.
+TOGETHER = 256
 #: Vectors of a block, and queries that meet it in one task, on average.
 BLOCK, QUERIES = 16_384, 4_096
 
@@ -55,30 +57,35 @@ def search(base: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np
     lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
     own = queries @ lines[:-1] / lengths[:, None]
     enough = min(n, max(MULTIPLE * k, k + 1 + int(SHARE * n)))
-    for q in range(len(queries)):
-        count, wide = np.zeros(n, np.int64), WIDTH
-        lo = hi = None
-        while True:
-            new_lo = [int(np.searchsorted(s, c - wide, "left")) for s, c in zip(sorted_on, own[q], strict=True)]
-            new_hi = [int(np.searchsorted(s, c + wide, "right")) for s, c in zip(sorted_on, own[q], strict=True)]
-            if lo is None:
-                ends = [o[a:b] for o, a, b in zip(order, new_lo, new_hi, strict=True)]
-            else:
-                ends = [o[a:b] for o, a, b in zip(order, new_lo, lo, strict=True)] + [o[a:b] for o, a, b in zip(order, hi, new_hi, strict=True)]
-            count += np.bincount(np.concatenate(ends), minlength=n)
-            lo, hi = new_lo, new_hi
-            found = np.flatnonzero(count >= NEEDED)
-            if len(found) >= enough:
-                break
-            wide *= GROWTH
-        found = found[ids[found] != query_ids[q]]
-        # Multiplied and summed row by row: equal vectors get equal scores.
-        score = (base[found] * queries[q]).sum(axis=1)
-        if len(found) > k:
-            least = np.partition(score, len(found) - k)[len(found) - k]
-            found, score = found[score >= least], score[score >= least]
-        best = np.lexsort((ids[found], -score))[:k]
-        yield q, ids[found][best], score[best]
+    for first in range(0, len(queries), TOGETHER):
+        todo, wide = np.arange(first, min(first + TOGETHER, len(queries))), WIDTH
+        counts = np.zeros((len(todo), n), np.uint8)
+        lo = hi = np.zeros((0, 0), np.int64)
+        while len(todo):
+            new_lo = np.stack([np.searchsorted(s, c - wide, "left") for s, c in zip(sorted_on, own[todo].T, strict=True)], 1)
+            new_hi = np.stack([np.searchsorted(s, c + wide, "right") for s, c in zip(sorted_on, own[todo].T, strict=True)], 1)
+            if not len(lo):
+                lo = hi = new_lo
+            wider = []
+            for r, q in enumerate(todo.tolist()):
+                count = counts[q - first]
+                # A vector stands once on a line, so places within a slice differ.
+                for o, a, b, c, d in zip(order, new_lo[r].tolist(), lo[r].tolist(), hi[r].tolist(), new_hi[r].tolist(), strict=True):
+                    count[o[a:b]] += 1
+                    count[o[c:d]] += 1
+                found = np.flatnonzero(count >= NEEDED)
+                if len(found) < enough:
+                    wider.append(r)
+                    continue
+                found = found[ids[found] != query_ids[q]]
+                # Multiplied and summed row by row: equal vectors get equal scores.
+                score = (base[found] * queries[q]).sum(axis=1)
+                if len(found) > k:
+                    least = np.partition(score, len(found) - k)[len(found) - k]
+                    found, score = found[score >= least], score[score >= least]
+                best = np.lexsort((ids[found], -score))[:k]
+                yield q, ids[found][best], score[best]
+            todo, lo, hi, wide = todo[wider], new_lo[wider], new_hi[wider], wide * GROWTH
 
 
 def _meet(queries: pa.Table, base: pa.Table, longest: float, k: int) -> pa.Table:
