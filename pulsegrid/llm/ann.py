@@ -26,9 +26,9 @@ from pulsegrid.sources.scratch import cut
 
 LINES = 96
 #: Collisions a vector needs to be verified; the share of a block, and the multiple of ``k``, verified at least.
-NEEDED, SHARE, MULTIPLE = 50, 0.3, 20
+NEEDED, SHARE, MULTIPLE = 50, 0.28, 20
 #: First half width of a window, in units of a projection's spread, and its growth from step to step.
-WIDTH, GROWTH = 0.6, 1.25
+WIDTH, GROWTH = 0.9375, 1.25
 #: Queries whose windows are opened together.
 TOGETHER = 256
 #: Vectors of a block, and queries that meet it in one task, on average.
