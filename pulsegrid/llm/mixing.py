@@ -12,7 +12,8 @@ seed, so reruns agree.
 Sources in order of code points, null last, weigh 1, 2, 3, repeating; a target stops at ``most`` times the source's
 words, and the excess is shared by weight among the others. Null text has no words. Rows with the same id are rows of
 their own only if their texts differ; equal rows share a key and are packed one after the other. An empty table gives
-an empty result; without any words targets and takes are zero.
+an empty result; without any words targets and takes are zero. A very long text is many blocks of one document. Other
+columns are not read by ``mixed_documents``, whatever their names.
 """
 
 from __future__ import annotations

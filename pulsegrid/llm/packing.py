@@ -9,7 +9,9 @@ first, and gives up a branch when its waste exceeds what a better solution may w
 lot; the incumbent stands then.
 
 Null text is empty: one end token. Rows with the same id are packed as they are, each with its own pieces; a null id
-is kept. An empty table gives an empty result.
+is kept. An empty table gives an empty result. Equal rows (same id and text) share a lot. Very long texts are many pieces
+of one document. Other columns are not read, whatever their names. ``BRANCHES`` fillings at most, of up to four pieces with
+the longest one, are tried around a piece.
 """
 
 from __future__ import annotations

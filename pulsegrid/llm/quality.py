@@ -6,8 +6,8 @@ their pairs and triples, hashed to ``BITS`` bits. Each indicator is scaled by th
 classes, rows are scaled to length one, and a linear model is fitted by dual coordinate descent on the hinge loss.
 A logistic curve over the margins turns them into scores.
 
-The model is fitted in one task, on at most ``SAMPLE`` labelled rows chosen by a hash of the id, never more at any
-size; every document is scored over its whole text. Null text is empty; a text without words gets the score of the
+The model is fitted in one task, on the rows of at most ``SAMPLE`` labelled ids chosen by a hash, at any size (an id
+that stands in several rows is fitted with each of them); every document is scored over its whole text. Null text is empty; a text without words gets the score of the
 bias. Rows of ``labels`` without a label are left out; several labels of one id count as their largest. Without rows
 of both classes every score is the share of label 1 (0.5 without any row).
 """

@@ -8,7 +8,9 @@ value and to those one bit away, and the members of a value are linked to its fi
 members are verified pair by pair in blocks, in memory bounded by the bucket.
 
 Null text is an empty text; texts without words have fingerprint zero and are linked like any other. Rows with the
-same id are rows of their own with one node. A null id gets a null component. An empty table gives an empty result.
+same id are rows of their own with one node. A null id gets a null component. An empty table gives an empty result. Very
+long texts are read whole. Other columns are not read, whatever their names, and come back unchanged
+from ``keep_one``.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ batch. The two are made from two independent hashes of each word. The texts meet
 
 Null text: no words. Null id: such documents count as coming after all others and remove nothing from each other.
 Rows with the same id and text are treated alike; rows with the same id and another text are documents of their own
-that don't remove words from each other. An empty table gives an empty result. Other columns are not read.
+that don't remove words from each other. An empty table gives an empty result. A very long text is a group
+of its own. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

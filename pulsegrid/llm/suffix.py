@@ -12,7 +12,8 @@ in one part, and a first pass (``sketch.py``) keeps home the triggers whose foll
 whose phrase and surroundings were met before in its batch of documents is settled there; one row goes on.
 
 Texts are UTF-8 bytes; matches never cross documents; null text is empty. Rows with the same id and text count as
-separate documents. An empty table gives an empty result. Other columns are not read.
+separate documents. An empty table gives an empty result. Very long texts are read whole. Other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ channel's costs; what stands for itself stays as written. A word that is not sus
 
 The restored words are scored: indicators of words and of their beginnings, in the linear model of ``quality.py`` on a
 bounded sample of labelled rows. Every document is scored over its whole text; null text is empty, and a text without
-words gets the score of the bias. Labels are handled as in ``quality.train``.
+words gets the score of the bias. Labels are handled as in ``quality.train``. An empty table gives an empty result. Repeated rows
+each get a score, the same one. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
