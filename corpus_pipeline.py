@@ -1,4 +1,10 @@
-"""Training corpus from raw documents, stage by stage; each stage is written as Parquet and read by the next."""
+"""Training corpus from raw documents, stage by stage; each stage is written as Parquet and read by the next.
+
+In every stage a null text counts as empty, very long texts are handled whole, and an empty table gives an empty result. Columns
+that documents carry beside id, text and source go through the first four stages unchanged, whatever their names
+(``n_chars`` is counted again where texts change). Ties between documents go to the smaller id, a null id comes last;
+of rows that are equal in all columns one stays after the near-copy stage.
+"""
 
 from __future__ import annotations
 
