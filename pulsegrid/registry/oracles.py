@@ -297,6 +297,7 @@ def all_oracles() -> dict[str, str]:
     o["lab_interval_join"] = _with(
         "select subject_id, study_id, labevent_id, itemid, valuenum, charttime, ecg_time from labs"
     )
+    o["lab_interval_join_tiles"] = o["lab_interval_join"]
     o["stay_interval_join"] = _with("select subject_id, stay_id, study_id, ecg_time, icu_intime from hosp")
     o["lab_label_lookup"] = _with(
         "select labevent_id, l.itemid, label from labevents l left join d_labitems d on d.itemid = l.itemid"

@@ -277,15 +277,25 @@ def ecg_with_demographics(t: Proxies) -> DataFrame:
     return _as_double(rows.select("study_id", "subject_id", "gender", "ecg_age"), "ecg_age")
 
 
-@_query
-def lab_interval_join(t: Proxies) -> DataFrame:
+def _lab_interval_join(t: Proxies, **how: int) -> DataFrame:
     wanted = t.labevents.where(F.col("itemid").isin(*schemas.LAB_ITEM_IDS))
     windows = t.records.select("subject_id", "study_id", "ecg_time")
     window = cohort.LAB_WINDOW
-    pairs = interval_join(wanted, windows, ["subject_id"], "charttime", "ecg_time", window, window)
+    pairs = interval_join(wanted, windows, ["subject_id"], "charttime", "ecg_time", window, window, **how)
     return pairs.select("subject_id", "study_id", "labevent_id", "itemid", "valuenum", "charttime", "ecg_time")
 
 
+@_query
+def lab_interval_join(t: Proxies) -> DataFrame:
+    return _lab_interval_join(t)
+
+
+@_query
+def lab_interval_join_tiles(t: Proxies) -> DataFrame:
+    """The same pairs with small tiles, so that bins of the given tables are cut."""
+    return _lab_interval_join(t, tile_pairs=2)
+
+
 @_query
 def stay_interval_join(t: Proxies) -> DataFrame:
     rows = cohort.stay_recordings(t.records, t.stays)

@@ -3,7 +3,7 @@ from datetime import timedelta
 
 import pytest
 
-from pulsegrid.operators.joins import attach_labels, interval_join, keep_keys, outer_join_all, pending
+from pulsegrid.operators.joins import attach_labels, heavy_bins, interval_join, keep_keys, outer_join_all, pending
 from tests.helpers import at, plan_of, rows
 
 POINTS = "k long, p long, pt timestamp_ntz"
@@ -50,6 +50,49 @@ def test_interval_join_spreads_a_hot_key(spark):
     assert "hashpartitioning(k" in plan and "__bin" in plan.split("hashpartitioning(k")[1][:60]
 
 
+@pytest.mark.parametrize("pairs", [1, 7, 50, 5000])
+def test_heavy_bins_are_cut_into_tiles(spark, pairs):
+    rng = random.Random(2)
+    points = [(rng.choice([1, 1, 1, 1, 2, None]), i, rng.choice([at(), at(minutes=rng.randrange(3000))])) for i in range(150)]
+    windows = [(rng.choice([1, 1, 1, 3, None]), i, rng.choice([at(), at(minutes=rng.randrange(3000))])) for i in range(70)]
+    points += points[:5]
+    hour = timedelta(hours=1)
+    p, w = spark.createDataFrame(points, POINTS), spark.createDataFrame(windows, WINDOWS)
+    out = interval_join(p, w, ["k"], "pt", "wt", hour, hour, tile_pairs=pairs)
+    assert out.columns == ["k", "p", "pt", "w", "wt"]
+    known = [[r for r in rows_ if r[0] is not None] for rows_ in (points, windows)]
+    assert rows(out, "p", "w") == sorted(brute(*known, hour, hour), key=lambda r: tuple(map(str, r)))
+    empty = interval_join(p.limit(0), w, ["k"], "pt", "wt", hour, hour, tile_pairs=pairs)
+    assert empty.count() == 0
+
+
+def test_tiles_hold_no_more_than_asked(spark):
+    left = spark.range(3000).selectExpr("if(id < 2500, 1, id) as k")
+    right = spark.range(900).selectExpr("if(id < 800, 1, id) as k")
+    few = spark.range(2).selectExpr("1L as k")
+    for a, b, n, m in ((left, right, 2500, 800), (left, few, 2500, 2), (few, left, 2, 2500)):
+        (found,) = heavy_bins(a, b, ["k"], 1000).collect()
+        assert found.k == 1 and -(-n // found.rows_in) * -(-m // found.columns_in) <= 1100
+        assert (found.rows_in == 1) == (n == 2) and (found.columns_in == 1) == (m == 2)
+
+
+def test_one_hot_instant_spreads_over_tasks(spark):
+    """A third of both sides in one key and instant: its pairs come from many tasks, none with more than a few tiles."""
+    from pyspark.sql import functions as F
+
+    p = spark.range(6000).selectExpr("if(id < 2000, 0, id) as k", "id as p", "timestamp_ntz'2024-03-01 12:00:00' as pt")
+    w = spark.range(1500).selectExpr("if(id < 500, 0, id + 100000) as k", "id as w", "timestamp_ntz'2024-03-01 12:00:00' as wt")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = interval_join(p, w, ["k"], "pt", "wt", timedelta(hours=1), timedelta(hours=1), tile_pairs=10_000)
+        shares = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(shares) == 2000 * 500 and len(shares) >= 4 and max(shares) < 500_000
+
+
 def test_shared_columns_are_refused(spark):
     p = spark.createDataFrame([(1, 1, at())], POINTS)
     with pytest.raises(ValueError, match="both sides"):
@@ -65,6 +108,24 @@ def test_full_outer_chain(spark):
     ]
 
 
+def test_full_outer_is_one_shuffle(spark):
+    tables = [spark.range(50).selectExpr("id as k", f"if(id % {i + 2} = 0, id, null) as v{i}", f"'t' as s{i}").where(f"k % 5 <> {i}") for i in range(6)]
+    out = outer_join_all(tables, "k")
+    assert plan_of(out).count("Exchange") == 1
+    want = [tuple([k] + [x for i in range(6) for x in ((k if k % (i + 2) == 0 else None, "t") if k % 5 != i else (None, None))]) for k in range(50)]
+    assert rows(out) == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def test_full_outer_nulls_and_repeated_keys(spark):
+    a = spark.createDataFrame([(1, None), (None, 2.0)], "k long, a double")
+    b = spark.createDataFrame([(None, 3.0), (1, 4.0)], "k long, b double")
+    assert rows(outer_join_all([a, b], "k")) == [(1, None, 4.0), (None, 2.0, None), (None, None, 3.0)]
+    with pytest.raises(Exception, match="twice"):
+        outer_join_all([a, b.unionAll(b)], "k").collect()
+    with pytest.raises(ValueError, match="several"):
+        outer_join_all([a, a], "k")
+
+
 def test_keep_keys_neither_repeats_nor_drops(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k long, v string")
     keys = spark.createDataFrame([(1,), (1,), (9,)], "k long")
