@@ -6,8 +6,9 @@ their pairs and triples, hashed to ``BITS`` bits. Each indicator is scaled by th
 classes, rows are scaled to length one, and a linear model is fitted by dual coordinate descent on the hinge loss.
 A logistic curve over the margins turns them into scores.
 
-The model is fitted in one task, on the rows of at most ``SAMPLE`` labelled ids chosen by a hash, at any size (an id
-that stands in several rows is fitted with each of them); every document is scored over its whole text. Null text is empty; a text without words gets the score of the
+The model is fitted in one task, on at most ``SAMPLE`` rows at any size: one row of each of at most so many labelled
+ids, chosen by a hash (of an id's rows the one of the last text in code-point order); every document is scored over its
+whole text. Null text is empty; a text without words gets the score of the
 bias. Rows of ``labels`` without a label are left out; several labels of one id count as their largest. Without rows
 of both classes every score is the share of label 1 (0.5 without any row).
 """
@@ -162,17 +163,19 @@ def _own(batches: Iterator[pa.RecordBatch], of: Features) -> Iterator[pa.RecordB
         for lo, hi in words.groups(texts):
             found, where = of(texts[lo:hi])
             lists = pa.ListArray.from_arrays(pa.array(where.astype(np.int32)), pa.array(found.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([lists, batch.column("label")[lo:hi]], names=["own", "label"])
+            yield pa.RecordBatch.from_arrays([lists, batch.column("label")[lo:hi], batch.column("place")[lo:hi]], names=["own", "label", "place"])
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, of: Features = features) -> dict[str, np.ndarray]:
-    """The model of ``label_col``, from at most ``sample`` rows of ``labels``."""
+    """The model of ``label_col``, from at most ``sample`` rows."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(F.max(label_col).cast("int").alias("label"))
-    known = known.orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
-    # At most ``sample`` ids and labels.
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("label_id")).select("text", "label")
-    own = cut(rows.mapInArrow(lambda b: _own(b, of), "own array<int>, label int"), "features")
-    model = own.coalesce(1).mapInArrow(_fit_rows, "name string, numbers binary").collect()
+    known = known.withColumn("place", F.xxhash64("label_id")).orderBy("place", "label_id").limit(sample)
+    # At most ``sample`` ids and labels; repeated rows of an id meet as one in each task.
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("label_id"))
+    rows = rows.groupBy("label_id", "label", "place").agg(F.max("text").alias("text")).select("text", "label", "place")
+    own = cut(rows.mapInArrow(lambda b: _own(b, of), "own array<int>, label int, place long"), "features")
+    # The order of the rows decides the order of the descent's steps: reruns agree.
+    model = own.coalesce(1).sortWithinPartitions("place").mapInArrow(_fit_rows, "name string, numbers binary").collect()
     return {r.name: np.frombuffer(r.numbers, "<f8") for r in model}
 
 
