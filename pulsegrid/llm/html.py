@@ -1,9 +1,11 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page is cut into text blocks at block-level tags. A block has its number of words and its share of words in links,
-those of the blocks before and after it, and what surrounds it (an article or main element; an element whose name,
-class, id or role is that of a menu, header, footer, sidebar, notice, advert, form or of comments). A decision tree,
-grown on the small labelled table below, keeps or drops each block; kept blocks are joined in page order.
+those of the blocks before and after it, whether it is a heading, and what surrounds it (an article or main element; an element whose name,
+class, id or role is that of a menu, header, footer, sidebar, notice, advert, form or of comments). A name that only
+holds such a word among others, and a form, may as well stand around the page itself: they count only where they don't
+hold most of its text. Hidden and advert elements inside a line are left out of it. A decision tree, grown on the small
+labelled table below, keeps or drops each block; kept blocks are joined in page order.
 
 Null html is an empty page; a page without kept blocks has an empty text. Cut-off pages are read as far as they go: a
 tag without its end is markup, an element without its end holds what follows. Scripts, styles, the head's title and
@@ -15,8 +17,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,45 +40,73 @@ APART_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "promotion", "banner", "cookie", "cookies", "consent", "notice", "alert", "popup", "modal", "overlay",
     "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "pager", "sidebar", "side", "aside", "widget", "related", "recommended", "share", "social", "newsletter",
     "subscribe", "signup", "login", "search", "searchbox", "footer", "contentinfo", "complementary", "masthead", "comment", "comments", "disqus", "replies", "respond", "toolbar", "tags", "legal", "copyright", "disclaimer", "form", "alertdialog",
+    "commentlist", "commentform", "adbox", "adslot", "adsense",
 }
+#: Those of readers' comments, and of adverts, which may also stand inside a line.
+COMMENT_WORDS = {"comment", "comments", "commentlist", "disqus", "replies"}
+AD_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "adbox", "adslot", "adsense"}
+#: Words after which a name means the same, and words that make it the name of content.
+TAILS = {"list", "area", "box", "section", "block", "inner", "links", "items", "item", "buttons", "bar", "left", "right", "top", "bottom", "primary", "secondary"}
+CONTENT = {"news", "page"}
 #: Elements around a whole page or article, to which words don't apply, or only as a whole class; words of classes that
 #: tell of a layout or a state and not of what the element is.
 WHOLE, ARTICLE = {"html", "body", "main"}, "article"
-FLAGS, STATES = {"no", "not", "with", "without", "has", "have", "is", "hide", "show"}, {"open", "opened", "closed", "enabled", "disabled", "on", "off"}
+FLAGS, STATES = {"no", "not", "with", "without", "has", "have", "is", "hide", "show", "layout", "theme", "template", "cols", "columns"}, {"open", "opened", "closed", "enabled", "disabled", "on", "off"}
 #: Silent elements that can't hold another of their kind, and what may stand in one that isn't closed.
 FLAT = {"select", "button", "noscript", "iframe", "canvas", "video", "audio"}
 HELD = {"option", "optgroup", "source", "track", "param"}
 HEAD_WORDS = {"header", "topbar", "site-header"}
+HEADINGS = {"h1", "h2", "h3", "h4"}
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[A-Za-z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.S,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++)))?""")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _PART = re.compile(r"[a-z]+(?:-header)?|[A-Z][a-z]*")
 
 #: Columns of a block's row.
-COLUMNS = ("words", "links", "words_before", "links_before", "words_after", "links_after", "apart", "article", "head")
-
-
-def _apart(name: str, rest: str) -> tuple[bool, bool]:
-    """Whether an element surrounds what isn't the article, and whether it is a header."""
-    apart, head = name in APART, name == "header"
-    if rest:
-        for value in _NAMES.findall(rest):
-            for token in "".join(value).split():
-                words = [p.lower() for p in _PART.findall(token)]
-                parts = {p.lower() for p in re.split(r"[^A-Za-z]+", token)} | set(words)
-                if name in WHOLE or len(words) > 1 and (words[0] in FLAGS or name in (ARTICLE, "div", "section") and words[-1] in STATES):
-                    continue
-                if name == ARTICLE:
-                    parts = {token.lower()}
-                apart |= not parts.isdisjoint(APART_WORDS)
-                head |= not parts.isdisjoint(HEAD_WORDS)
-        apart |= bool(_HIDDEN.search(rest))
-    return apart, head
+COLUMNS = ("words", "links", "words_before", "links_before", "words_after", "links_after", "apart", "article", "head", "heading")
+
+
+@lru_cache(1 << 14)
+def _apart(name: str, rest: str) -> tuple[int, bool, bool]:
+    """Whether an element surrounds what isn't the article (2 surely, 1 if it doesn't hold most of the page), whether it
+    is a header, and whether it is left out of a line."""
+    apart, head, silent = 2 * (name in APART and name != "form"), name == "header", False
+    if name == "form":
+        apart = 1
+    for key, *values in _ATTRIBUTE.findall(rest):
+        key, value = key.lower(), "".join(values)
+        if key == "hidden" or key == "style" and _NONE.search(value):
+            apart, silent = 2, True
+        elif key == "aria-hidden" and value.lower() == "true":
+            apart = 2
+        elif key in ("class", "id", "role"):
+            for token in value.split():
+                mark, top, ad = _token(name, token)
+                apart, head, silent = max(apart, mark), head or top, silent or ad
+    return apart, head, silent
+
+
+def _token(name: str, token: str) -> tuple[int, bool, bool]:
+    """``_apart`` for one class, id or role."""
+    words = [p.lower() for p in _PART.findall(token)]
+    if not words or name in WHOLE or len(words) > 1 and (words[0] in FLAGS or name in (ARTICLE, "div", "section") and words[-1] in STATES):
+        return 0, False, False
+    if name == ARTICLE:
+        return 2 * (token.lower() in APART_WORDS), token.lower() in HEAD_WORDS, False
+    parts = {p.lower() for p in re.split(r"[^A-Za-z]+", token)} | set(words)
+    head = not parts.isdisjoint(HEAD_WORDS)
+    size = len(words)
+    while size > 1 and words[size - 1] in TAILS:
+        size -= 1
+    own = words[:size]
+    if token.lower() in APART_WORDS or set(own) <= APART_WORDS or own[-1] in COMMENT_WORDS:
+        return 2, head, set(own) <= AD_WORDS
+    return int(words[-1] not in CONTENT and not parts.isdisjoint(APART_WORDS)), head, False
 
 
 def _block_end(page: str, at: int) -> int:
@@ -86,15 +118,51 @@ def _block_end(page: str, at: int) -> int:
     return len(page)
 
 
+class _Element(NamedTuple):
+    """An open element: how many around a block are surely not the article, are it, and are headers; which of the page's
+    doubtful elements it is; and where the list item is that a next one ends."""
+
+    name: str
+    apart: int = 0
+    article: int = 0
+    heads: int = 0
+    doubt: int = -1
+    item: int = 0
+
+
+def _settle(table: np.ndarray, doubts: list[list[int]], tops: list[int], mains: list[int]) -> None:
+    """Marks the blocks of doubtful elements, but for elements that hold most of the page's text. An element's blocks are
+    a range; ``tops`` are the blocks of first headings, ``mains`` those at which articles start."""
+    words = np.r_[0, np.cumsum(table[:, 0] * (table[:, 6] == 0))]
+    for first, end, form in doubts:
+        share = (words[end] - words[first]) / max(words[-1], 1)
+        top = any(first <= k < end for k in tops)
+        if form:
+            around = share > 0.8 or top or any(first <= k < end for k in mains)
+        else:
+            around = share > 0.5 or top and share > 0.25
+        if not around:
+            table[first:end, 6] = 1
+
+
 def blocks(page: str) -> tuple[list[str], np.ndarray]:
     """Text blocks of a page in order, and their rows of ``COLUMNS``."""
     texts: list[str] = []
     rows: list[list[float]] = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
+    stack = [_Element("")]
+    opened: Counter[str] = Counter()
+    doubts: list[list[int]] = []
+    tops: list[int] = []
+    mains: list[int] = []
+    ends: dict[str, re.Match | None] = {}
+    # Inside a paragraph that is apart; the element left out of a line, and how many of its name are open.
+    aside, mute, muted = False, "", 0
     link, at = 0, 0
 
     def close() -> None:
+        nonlocal muted
+        muted = 0
         if not parts:
             return
         whole = " ".join("".join(p for p, _ in parts).split())
@@ -102,12 +170,19 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             words = whole.count(" ") + 1
             linked = sum(len(p.split()) for p, in_link in parts if in_link)
             texts.append(whole)
-            _, apart, article, head = stack[-1]
-            rows.append([words, min(1.0, linked / words), 0, 0, 0, 0, float(apart > 0), float(article > 0), float(head > 0)])
+            around = stack[-1]
+            rows.append([words, min(1.0, linked / words), 0, 0, 0, 0, float(aside or around.apart > 0), float(around.article > 0), float(around.heads > 0), float(around.name in HEADINGS)])
         parts.clear()
 
+    def leave(k: int) -> None:
+        for element in stack[k:]:
+            opened[element.name] -= 1
+            if element.doubt >= 0:
+                doubts[element.doubt][1] = len(texts)
+        del stack[k:]
+
     def say(raw: str) -> None:
-        if raw:
+        if raw and not muted:
             parts.append((html.unescape(raw) if "&" in raw else raw, link > 0))
 
     while at < len(page):
@@ -127,13 +202,21 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             if name not in ("select", "button", "textarea", "object", "title"):
                 close() if name not in INLINE else None
             if not rest.endswith("/"):
-                over = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+                # The next end tag of each name is looked for once.
+                if name not in ends or ends[name] is not None and ends[name].start() < at:
+                    ends[name] = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*+(?:>|\Z)", re.I).search(page, at)
+                over = ends[name]
                 again = over and name in FLAT and re.compile(rf"<{re.escape(name)}(?=[\s/>])", re.I).search(page, at, over.start())
                 if over and not again:
                     at = over.end()
                 else:
                     at = len(page) if name in ("script", "style") else _block_end(page, at)
             continue
+        if name in INLINE and name not in VOID:
+            if muted:
+                muted += (name == mute) * (-1 if end else not rest.endswith("/"))
+            elif rest and not end and not rest.endswith("/") and _apart(name, rest)[2]:
+                mute, muted = name, 1
         if name == "a":
             link = 0 if end else 1
             continue
@@ -141,27 +224,43 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             parts.append((" ", False))
             continue
         if name in INLINE:
-            if not end and rest and name in ("span",):
-                continue
             continue
         close()
-        link = 0
-        if name in VOID or name == "p" or name == "li" or (rest.endswith("/") and not end):
+        link, aside = 0, False
+        if name == "p":
+            aside = not end and rest != "" and _apart(name, rest)[0] == 2
+            continue
+        if name in VOID or (rest.endswith("/") and not end):
             continue
         if end:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if opened[name] > 0:
+                k = len(stack) - 1
+                while stack[k].name != name:
+                    k -= 1
+                leave(k)
             continue
-        apart, head = _apart(name, rest)
-        _, above, article, heads = stack[-1]
-        inside = article + (name in ("article", "main") or 'role="main"' in rest)
+        if name == "li" and stack[-1].item:
+            leave(stack[-1].item)
+        if name == "h1":
+            tops.append(len(texts))
+        apart, head, _ = _apart(name, rest)
+        above = stack[-1]
+        main = name in ("article", "main") or 'role="main"' in rest
+        if main:
+            mains.append(len(texts))
+        doubt = -1
+        if apart == 1:
+            doubt = len(doubts)
+            doubts.append([len(texts), -1, int(name == "form")])
+        item = len(stack) if name == "li" else 0 if name in ("ul", "ol", "menu", "dir") else above.item
         # A header inside the article belongs to it.
-        stack.append((name, above + apart, inside, heads + (head and not article)))
+        stack.append(_Element(name, above.apart + (apart == 2), above.article + main, above.heads + (head and not above.article and not main), doubt, item))
+        opened[name] += 1
     close()
+    leave(1)
     table = np.array(rows, float).reshape(-1, len(COLUMNS))
     if len(table):
+        _settle(table, doubts, tops, mains)
         table[1:, 2:4] = table[:-1, 0:2]
         table[:-1, 4:6] = table[1:, 0:2]
     return texts, table
@@ -224,6 +323,18 @@ LABELLED: list[list[tuple[str, int]]] = [
     [
         ("<div><a href='/'>Home</a></div>", 0), ("<p>The library is open again from Monday on, and those who have kept a book since the winter may bring it back without a fine.</p>", 1), ("<div>Imprint</div>", 0),
     ],
+    [
+        ('<nav><a href="/">Home</a></nav>', 0), ('<div id="outer-sidebar-wrap"><h1>Fog</h1>', 1),
+        ("<p>Fog lay over the harbour until noon, and none of the boats that were to leave at dawn had left by the time the church bells rang.</p>", 1),
+        ("<h2>Later</h2>", 1), ("<p>It cleared in the afternoon, when a wind from the north came up, and the boats left one after the other, the smallest first.</p>", 1),
+        ("<h3>Latest</h3>", 0), ('<ul><li><a href="/1">A storm in the south of the country</a></li>', 0), ('<li><a href="/2">New boats for the harbour</a></li></ul>', 0), ("</div><footer>Harbour news</footer>", 0),
+    ],
+    [
+        ('<div><a href="/">Home</a></div>', 0), ('<form id="page"><h1>Owls in the barn</h1>', 1),
+        ("<p>Two owls have moved into the barn behind the school, where the children watch them from the window of the second floor every evening.</p>", 1),
+        ("<p>Nobody knows yet whether there are eggs, as the nest is too high up to be seen without a ladder, and the owls are not to be disturbed.</p>", 1),
+        ("<h2>More</h2>", 0), ('<div><a href="/cats">Cats</a> <a href="/dogs">Dogs</a></div>', 0), ("<div>Contact</div></form>", 0),
+    ],
     [
         ('<div class="banner">Win a trip</div>', 0),
         ("<h1>Night trains</h1>", 1),

@@ -74,3 +74,92 @@ def test_query_keeps_articles(spark, small):
 )
 def test_articles_inside_flags_and_unclosed_elements_are_kept(page, text):
     assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div id="content-sidebar-wrap">', '<div class="layout-sidebar-right">', '<div class="legal-news">', '<section class="tags-page">', '<form id="aspnetForm">', '<div data-class="ad" class="post">',
+        '<div title="no class=ad here">', '<div class="page-with-comments-wrapper">', '<div class="search-results-container">',
+    ],
+)
+@pytest.mark.parametrize("inner", [f"<h1>Title</h1><p>{LONG}</p><p>{LONG}</p>", f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></article>"])
+def test_elements_around_the_page_decide_nothing(around, inner):
+    name = around[1:].split()[0]
+    page = f'<nav><a href="/">Home</a></nav>{around}{inner}<div class="sidebar"><p>{LONG}</p></div></{name}><footer>us</footer>'
+    assert html.main_text(page) == f"Title\n{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "side",
+    [
+        f'<p class="advert">{LONG}</p>', f"<p hidden>{LONG}</p>", f"<ul><li class=\"comment\">{LONG}</li></ul>", f'<ol class="commentlist"><li><p>{LONG}</p><li>{LONG}</ol>', f'<span class="ad">{LONG}</span>',
+        f'<p><span class="ad">{LONG} <span>{LONG}</span></span></p>', f'<p style="display: none">{LONG}</p>', f'<div class="post-comments">{f"<p>{LONG}</p>" * 9}</div>', f"<form><p>{LONG}</p></form>",
+        f'<div class="comment-list">{f"<p>{LONG}</p>" * 9}</div>', f'<div class="google-ad-slot"><p>{LONG}</p></div>',
+    ],
+)
+def test_side_matter_inside_the_article_goes(side):
+    assert html.main_text(f"<article><h1>Title</h1><p>{LONG}</p>{side}<p>{LONG} End.</p></article>") == f"Title\n{LONG}\n{LONG} End."
+
+
+def test_marks_end_with_their_element():
+    page = f'<article><p class="ad">{LONG}<p>{LONG}</p><ul><li class="ad">{LONG}<li>Kept<ul><li hidden>no<li>Yes</ul></li><li>Last</ul><p>In <span class="promo">{LONG}</span>line <b hidden>x</b>end</p><p>A <i class="ad">cut<p>{LONG}</article>'
+    assert html.main_text(page) == f"{LONG}\nKept\nYes\nLast\nIn line end\nA\n{LONG}"
+
+
+@pytest.mark.parametrize("unit", ["<button>a", "<select><p>", "<noscript>x", "<svg>", "<div>", "<li>", "<li><ul><div>", '<div class="ad-x">', "<span class=ad>", "</div>", "<form>"])
+def test_time_is_linear_in_unclosed_elements(unit):
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        html.main_text(unit * n + f"<p>{LONG}</p>")
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(16_000) < 8 * max(seconds(4_000), 0.02)
+
+
+def test_random_pages_against_their_trees():
+    """Pages written from random trees: the blocks, and which are apart, follow from the tree."""
+    import random
+
+    random_ = random.Random(4)
+    marks = [("", 0), ("", 0), (' class="ad"', 2), (' id="comments"', 2), (' class="lead"', 0), (" hidden", 2), (' data-id="menu"', 0)]
+
+    def text():
+        return " ".join(random_.choice(["one", "two", "three &amp; more", "f&uuml;r", "5 &lt; 6"]) for _ in range(random_.randint(1, 6)))
+
+    def line(apart, out):
+        written, said = [], []
+        for _ in range(random_.randint(1, 3)):
+            name, mark = random_.choice([("b", ""), ("span", ""), ("em", ' class="ad"'), ("span", " hidden"), ("a", ' href="/x"'), ("", "")])
+            own = text()
+            written.append(f"<{name}{mark}>{own}</{name}>" if name else own)
+            said.append("" if "ad" in mark or "hidden" in mark else own)
+        whole = " ".join(html.html.unescape(" ".join(said)).split())
+        if whole:
+            out.append((whole, apart))
+        return " ".join(written)
+
+    def node(depth, apart, out):
+        mark, level = random_.choice(marks)
+        name = random_.choice(["div", "section", "p", "ul", "td", "article"] if depth else ["p"])
+        if name == "article":
+            level = 2 * (level == 2)
+        below = apart or level == 2
+        if name == "p":
+            return f"<p{mark}>{line(below, out)}" + random_.choice(["</p>", ""])
+        if name == "ul":
+            items = []
+            for _ in range(random_.randint(1, 3)):
+                mark_, level_ = random_.choice(marks)
+                items.append(f"<li{mark_}>" + (node(depth - 1, below or level_ == 2, out) if random_.random() < 0.5 else line(below or level_ == 2, out)) + random_.choice(["</li>", ""]))
+            return f"<ul{mark}>{''.join(items)}</ul>"
+        return f"<{name}{mark}>{''.join(node(depth - 1, below, out) for _ in range(random_.randint(1, 3)))}</{name}>"
+
+    for _ in range(300):
+        out = []
+        page = f"<body>{''.join(node(3, False, out) for _ in range(3))}</body>"
+        texts, table = html.blocks(page)
+        assert list(zip(texts, (table[:, 6] > 0).tolist(), strict=True)) == out, page
