@@ -5,7 +5,8 @@ boundaries, one table per stretch of text, merged by slices. Words that may be d
 look like letters, also at the ends, in quotes or brackets, or around hyphens and apostrophes; letters held three times
 or more; letters one by one with spaces or runs of signs between them) become lattices: each sign may be a letter or
 itself, a held letter may be one, a gap may be none. Viterbi decoding finds the likeliest reading under the model and the
-channel's costs; what stands for itself stays as written. A word that is not suspicious has one reading, itself.
+channel's costs (every context is kept: of ORDER - 1 letters, with three or four readings each, there are few); what
+stands for itself stays as written. A word that is not suspicious has one reading, itself.
 
 The restored words are scored: indicators of words and of their beginnings, in the linear model of ``quality.py`` on a
 bounded sample of labelled rows. Every document is scored over its whole text; null text is empty, and a text without
@@ -35,8 +36,6 @@ STRETCH = 16 << 20
 BACKOFF = 4.0
 #: Log costs of the channel: a sign for a letter, a sign for itself, a letter held on, a gap inside a word.
 SWAP, KEEP, HOLD, JOIN = -1.0, -4.0, -4.0, -1.0
-#: Hypotheses kept from character to character.
-BEAM = 24
 CACHE = 100_000
 
 #: Signs that stand for letters.
@@ -51,7 +50,7 @@ _DIGIT[48:58] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKS_LIKE]] = True
 _GAP = np.zeros(256, bool)
-_GAP[[ord(c) for c in ".-_*~"]] = True
+_GAP[[ord(c) for c in ".-_*~/,"]] = True
 _OUTER = np.zeros(256, bool)
 _OUTER[[ord(c) for c in OUTER]] = True
 _INNER = _GAP.copy()
@@ -186,8 +185,6 @@ class Decoder:
                         value = (score + cost + self.log_p(context, letter), (chain, c if letter == " " else letter))
                     if key not in new or new[key][0] < value[0]:
                         new[key] = value
-            if len(new) > BEAM:
-                new = dict(sorted(new.items(), key=lambda x: -x[1][0])[:BEAM])
             states, before = new, c
         _, chain = max(((score + (0.0 if context[-1] == " " else self.log_p(context, " ")), chain) for context, (score, chain) in states.items()), key=lambda x: x[0])
         out = []

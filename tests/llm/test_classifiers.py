@@ -128,8 +128,76 @@ def wide(spark):
     "disguised,plain",
     [
         ("an a$$ here", "an ass here"), ("dumba$$", "dumbass"), ("sh!+", "shit"), ("dumba$$!", "dumbass!"), ('"1d10t"', '"idiot"'), ("(1d10t)", "(idiot)"), ("an 1d10t's", "an idiot's"), ("m0r0n-1d10t", "moron-idiot"),
-        ("i..d..i..o..t", "idiot"), ("an i - d - i - o - t!", "an idiot!"), ('"i d i o t"', '"idiot"'), ("pu22le", "puzzle"), ("b19ot", "bigot"), ("6igot", "bigot"), ("(rap", "crap"), ("(fine!)", "(fine!)"), ("the thing! (what)", "the thing! (what)"),
+        ("i..d..i..o..t", "idiot"), ("i/d/i/o/t", "idiot"), ("an i,d,i,o,t,", "an idiot,"), ("this and/or that, 1,000", "this and/or that, 1,000"), ("an i - d - i - o - t!", "an idiot!"), ('"i d i o t"', '"idiot"'), ("pu22le", "puzzle"), ("b19ot", "bigot"), ("6igot", "bigot"), ("(rap", "crap"), ("(fine!)", "(fine!)"), ("the thing! (what)", "the thing! (what)"),
     ],
 )
 def test_restoring_more_disguises(wide, disguised, plain):
     assert toxicity.restore(disguised, wide) == plain
+
+
+def test_decoding_against_all_readings(wide):
+    """Plain search over every reading of short lattices."""
+
+    def best(text):
+        found = []
+
+        def go(k, context, score):
+            if k == len(text):
+                found.append(score + (0.0 if context[-1] == " " else wide.log_p(context, " ")))
+                return
+            c, signs = text[k], toxicity.LOOKS_LIKE
+            options = [(c, 0.0)] if c.isalpha() else [(x, toxicity.SWAP) for x in signs[c]] + [(" ", toxicity.KEEP)] if c in signs else [(" ", 0.0), ("", toxicity.JOIN)]
+            if k and c == text[k - 1] and (c.isalpha() or c in signs):
+                options.append(("", toxicity.HOLD))
+            for letter, cost in options:
+                if letter == "" or letter == " " == context[-1]:
+                    go(k + 1, context, score + cost)
+                else:
+                    go(k + 1, (context + letter)[-3:], score + cost + wide.log_p(context, letter))
+
+        go(0, " ", 0.0)
+        return max(found)
+
+    for text in ("1d10t", "i.d.1.0.t", "a$$", "l0$$er", "m0r0n", "stuuup1d", "s.h.1.t"):
+        read = wide.decode(text)
+        # The reading's own score, as one path of the lattice, is the best of all.
+        assert read.isalpha() and best(text) == pytest.approx(best_of_reading(wide, text, read))
+
+
+def best_of_reading(decoder, text, read):
+    """The best score among the ways in which ``text`` reads ``read``."""
+    found = []
+
+    def go(k, at, context, score):
+        if k == len(text):
+            if at == len(read):
+                found.append(score + decoder.log_p(context, " "))
+            return
+        c, signs = text[k], toxicity.LOOKS_LIKE
+        if at < len(read) and (c == read[at] or read[at] in signs.get(c, "")):
+            cost = 0.0 if c == read[at] else toxicity.SWAP
+            go(k + 1, at + 1, (context + read[at])[-3:], score + cost + decoder.log_p(context, read[at]))
+        if not c.isalpha() and c not in signs:
+            go(k + 1, at, context, score + toxicity.JOIN)
+        if k and c == text[k - 1] and (c.isalpha() or c in signs):
+            go(k + 1, at, context, score + toxicity.HOLD)
+
+    go(0, 0, " ", 0.0)
+    return max(found)
+
+
+def test_sample_bounds_rows(spark, monkeypatch):
+    fitted = []
+    plain = quality.cut
+
+    def kept(df, name):
+        out = plain(df, name)
+        fitted.append(out.count())
+        return out
+
+    monkeypatch.setattr(quality, "cut", kept)
+    docs = spark.range(3000).selectExpr("if(id < 2000, 1, id) as doc_id", "if(id < 1000, 'same text', concat('word ', id)) as text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) as quality")
+    models = [quality.train(d, labels, "quality", sample=n) for d, n in ((docs, 2), (docs, 500), (docs.repartition(7), 500))]
+    assert fitted[0] <= 2 and fitted[1] == fitted[2] == 500
+    assert all((models[1][k] == models[2][k]).all() for k in models[1])
