@@ -23,3 +23,19 @@ def unit_hash(*parts: Column, seed: int = 42, mode: str = "xxhash64") -> Column:
 def md5_key(*parts: Column, seed: int = 42) -> Column:
     """Hex digest of ``seed:part:part...``."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts]))
+
+
+def permuted(index: Column, size: Column, *parts: Column, seed: int = 42, mode: str = "xxhash64", rounds: int = 16) -> Column:
+    """A pseudorandom permutation of 0 .. ``size`` - 1 that depends on ``seed`` and ``parts``, one number at a time.
+
+    In each round the numbers are paired, x with (a hash - x) modulo ``size``, and each pair swaps or stays by a hash of
+    its larger number; both numbers of a pair see the same, so no number is lost. ``md5`` takes sizes up to 2^32.
+    """
+
+    def swap(x: Column, k: Column) -> Column:
+        turn = F.floor(unit_hash(*parts, F.lit("pair"), k, seed=seed, mode=mode) * size)
+        partner = F.pmod(turn - x, size)
+        stays = unit_hash(*parts, F.lit("swap"), k, F.greatest(x, partner), seed=seed, mode=mode) < 0.5
+        return F.when(stays, x).otherwise(partner)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), index.cast("long"), swap)

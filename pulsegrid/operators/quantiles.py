@@ -23,6 +23,40 @@ from pulsegrid.sources.scratch import cut
 APPROXIMATE = 1_000
 
 
+# Items a stored sketch keeps, and how far its ranks are off at most, as a share of all rows (well over its 99 % bound).
+SKETCH_SIZE, SKETCH_ERROR = 1_000, 0.01
+# Sketches of a group are merged in so many heaps first.
+HEAPS = 64
+
+
+def value_sketches(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """``by``, ``n`` and ``sketch``, a mergeable summary of the values of ``col``; NULL and NaN are ignored.
+
+    Build it per day or range, store it, and answer for any longer time from the sketches alone.
+    """
+    data = df.select(*by, F.col(col).cast("double").alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
+    made = data.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("__x", SKETCH_SIZE).alias("sketch"))
+    return made.where("n > 0")
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by``, ``n`` and ``sketch`` of all values of the sketches given: heaps first, so that no task merges all of a
+    group's."""
+    heap = F.pmod(F.xxhash64("sketch"), F.lit(HEAPS)).alias("__heap")
+    n, merged = F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch")
+    heaps = sketches.groupBy(*by, heap).agg(n, merged)
+    return heaps.groupBy(*by).agg(n, merged).where("n > 0")
+
+
+def sketch_quantiles(sketches: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """``by``, ``n`` and the array ``quantiles``: values whose ranks are within ``SKETCH_ERROR`` of those asked for.
+
+    One row per row of ``sketches``; merge them first.
+    """
+    found = F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))) for p in probs])
+    return sketches.select(*by, "n", found.alias("quantiles"))
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """``by``, ``n`` and the array ``quantiles`` (one per probability); NULL and NaN are ignored.
 

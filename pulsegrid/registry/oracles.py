@@ -227,6 +227,33 @@ def _linear(value: str, step: str) -> str:
     return f"sum({value} * ((((lead * 8 + i) * {step}) % 11 - 5) / 10.0::double))"
 
 
+def _unit_of(text: str) -> str:
+    return f"(('0x' || substr(md5('42:' || {text}), 1, 8))::bigint / 4294967296.0::double)"
+
+
+def _permuted(table: str, index: str, size: str, parts: str, name: str, rounds: int = 16) -> str:
+    """``table`` with the permuted ``index`` as ``name``, one nested query per round."""
+    sql = f"select *, {index} as x from {table}"
+    for k in range(1, rounds + 1):
+        turn = f"floor({_unit_of(f"{parts} || ':pair:{k}'")} * {size})::bigint"
+        paired = f"select *, (({turn} - x) % {size} + {size}) % {size} as partner from ({sql})"
+        stays = f"{_unit_of(f"{parts} || ':swap:{k}:' || greatest(x, partner)")} < 0.5"
+        sql = f"select * exclude (x, partner), case when {stays} then x else partner end as x from ({paired})"
+    return f"select * exclude (x), x as {name} from ({sql})"
+
+
+def _epoch_order(epoch: int, rows_per_shard: int) -> str:
+    return _with(
+        "select study_id, shard, shard_row, epoch_shard, epoch_row from by_row",
+        counted=f"select study_id, greatest(1, ceil(count(*) over () / {rows_per_shard}.0::double))::bigint as shards from record_list",
+        dealt=f"select *, floor({_unit_of('study_id::varchar')} * shards)::bigint as shard from counted",
+        sharded="""select *, row_number() over (partition by shard order by study_id) - 1 as shard_row,
+          count(*) over (partition by shard) as shard_rows from dealt""",
+        by_shard=_permuted("sharded", "shard", "shards", f"'{epoch}'", "epoch_shard"),
+        by_row=_permuted("by_shard", "shard_row", "shard_rows", f"'{epoch}:' || shard", "epoch_row"),
+    )
+
+
 def all_oracles() -> dict[str, str]:
     o: dict[str, str] = {}
 
@@ -480,6 +507,11 @@ def all_oracles() -> dict[str, str]:
     # ranking and bins
     o["ecg_order"] = _with("select stay_id, study_id, ecg_time, ecg_order from hosp")
     o["first_ecg_per_stay"] = _with("select stay_id, study_id, ecg_time from hosp where ecg_order = 1")
+    o["lab_quantile_sketches"] = _with(
+        """select itemid, prob, count(*) as n, 1 as within_bound
+        from labevents, (select unnest([0.05, 0.25, 0.5, 0.75, 0.95])::double as prob)
+        where valuenum is not null and not isnan(valuenum::double) group by itemid, prob"""
+    )
     placed = f"bin, {r('es[bin + 1]', name='bin_lo')}, {r('es[bin + 2]', name='bin_hi')}"
     o["age_delta_deciles"] = _with(
         f"select stay_id, study_id, {r('age_delta')}, {placed} from binned", **_bins("delta", "age_delta", 10)
@@ -495,6 +527,7 @@ def all_oracles() -> dict[str, str]:
         chosen="""select stay_id from (select distinct stay_id from hosp)
           order by substr(md5('42:' || stay_id::varchar), 1, 8), stay_id limit 250""",
     )
+    o["epoch_order"] = _epoch_order(epoch=3, rows_per_shard=64)
     o["epoch_shuffle"] = _with(
         "select study_id, md5('42:3:' || study_id::varchar) as shuffle_key from record_list"
     )

@@ -533,6 +533,26 @@ def age_delta_deciles(t: Proxies) -> DataFrame:
     return _round(binned.select("stay_id", "study_id", "age_delta", "bin", "bin_lo", "bin_hi"))
 
 
+@_query
+def lab_quantile_sketches(t: Proxies) -> DataFrame:
+    """Quantiles per laboratory item from stored daily sketches, held against the ranks of all values."""
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    days = t.labevents.withColumn("day", F.to_date("charttime"))
+    stored = cut(quantiles.value_sketches(days, "valuenum", ["itemid", "day"]), "day-sketches")
+    found = quantiles.sketch_quantiles(quantiles.merge_sketches(stored, ["itemid"]), probs, ["itemid"])
+    asked = F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("prob"), F.col("quantiles").alias("value"))
+    found = found.select("itemid", "n", F.inline(asked))
+    values = t.labevents.where(F.col("valuenum").isNotNull() & ~F.isnan("valuenum"))
+    counts = values.groupBy("itemid", F.col("valuenum").alias("x")).agg(F.count(F.lit(1)).alias("rows"))
+    ranks = counts.join(found, "itemid").groupBy("itemid", "prob", "n").agg(
+        F.sum(F.when(F.col("x") < F.col("value"), F.col("rows")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("x") <= F.col("value"), F.col("rows")).otherwise(0)).alias("upto"),
+    )
+    off = F.greatest(F.col("below") - F.col("prob") * F.col("n"), F.col("prob") * F.col("n") - F.col("upto"))
+    within = (off <= quantiles.SKETCH_ERROR * F.col("n") + 1).cast("int")
+    return ranks.select("itemid", "prob", "n", within.alias("within_bound"))
+
+
 @_query
 def age_quintiles(t: Proxies) -> DataFrame:
     rows = cut(cohort.stay_recordings(t.records, t.stays).select("stay_id", "study_id", "admission_age"))
@@ -543,6 +563,12 @@ def age_quintiles(t: Proxies) -> DataFrame:
 # --- limits, samples, shuffles -------------------------------------------------------------------
 
 
+@_query
+def epoch_order(t: Proxies) -> DataFrame:
+    shards = sampling.number_shards(t.records.select("study_id"), "study_id", rows_per_shard=64, mode="md5")
+    return sampling.epoch_order(shards, epoch=3, mode="md5").select("study_id", "shard", "shard_row", "epoch_shard", "epoch_row")
+
+
 @_query
 def first_n_records(t: Proxies) -> DataFrame:
     return sampling.first_n(t.records.select("study_id", "ecg_time"), ["ecg_time", "study_id"], 10)

@@ -130,6 +130,38 @@ def test_samples_and_shuffles(spark):
     assert "TakeOrderedAndProject" in plan_of(sampling.first_n(df, ["id"], 2))
 
 
+def test_epoch_order_without_a_sort(spark):
+    df = spark.range(1000).selectExpr("id * 7 as id", "'x' as shards_of")
+    sharded = sampling.number_shards(df, "id", rows_per_shard=30)
+    orders = []
+    for parts, epoch in ((1, 0), (9, 0), (4, 1)):
+        out = sampling.epoch_order(sampling.number_shards(df.repartition(parts), "id", rows_per_shard=30), epoch=epoch)
+        orders.append([r.id for r in out.orderBy("epoch_shard", "epoch_row").collect()])
+        got = [(r.epoch_shard, r.epoch_row, r.shard) for r in out.collect()]
+        turns = {shard: turn for turn, _, shard in got}
+        assert len(set(got)) == 1000 and len(set(turns.values())) == len(turns) and all(0 <= t < 34 for t in turns.values())
+        for shard, turn in turns.items():
+            own = sorted(row for t, row, _ in got if t == turn)
+            assert own == list(range(len(own)))
+    assert orders[0] == orders[1] != orders[2] and sorted(orders[0]) == sorted(orders[2])
+    placed = sampling.epoch_order(sharded)
+    assert "rangepartitioning" not in plan_of(placed) and plan_of(placed).count("Exchange") == plan_of(sharded).count("Exchange")
+    read = sampling.in_epoch_order(sampling.epoch_order(sharded), 4)
+    assert "rangepartitioning" not in plan_of(read) and [r.id for r in read.collect()] == orders[0]
+    assert sampling.epoch_order(sampling.number_shards(df.limit(0), "id")).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 100, 4097])
+@pytest.mark.parametrize("mode", ["xxhash64", "md5"])
+def test_permuted_is_a_permutation(spark, size, mode):
+    from pyspark.sql import functions as F
+
+    from pulsegrid.functions.hashing import permuted
+
+    got = [r.p for r in spark.range(size).select(permuted(F.col("id"), F.lit(size), F.lit("a"), mode=mode).alias("p")).collect()]
+    assert sorted(got) == list(range(size)) and (size < 100 or sum(p == i for i, p in enumerate(got)) < 10)
+
+
 def test_reshapes(spark):
     a = spark.createDataFrame([(0, 1.0, 2.0)], "epoch int, loss double, val_loss double")
     b = spark.createDataFrame([(0, 3.0)], "epoch int, loss double")

@@ -116,3 +116,27 @@ def test_describe_column_without_values(spark):
 def test_describe_approximate(spark):
     df = frame(spark, range(1001))
     assert rows(describe(df, ["x"], exact=False), "count", "p50") == [(1001, 500.0)]
+
+
+def test_sketches_merge_within_their_bound(spark):
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.normal(0, 1, 60_000), rng.integers(0, 5, 40_000).astype(float), rng.exponential(50, 60_000)])
+    frame_ = pd.DataFrame({"day": rng.integers(0, 300, len(values)), "x": values})
+    df = spark.createDataFrame(frame_).withColumn("x", F.expr("if(day = 7, null, x)"))
+    values = np.sort(frame_.x[frame_.day != 7].to_numpy())
+    stored = quantiles.value_sketches(df, "x", ["day"])
+    assert stored.count() == 299
+    (row,) = quantiles.sketch_quantiles(quantiles.merge_sketches(stored), PROBS).collect()
+    assert row.n == len(values)
+    for p, q in zip(PROBS, row.quantiles, strict=True):
+        lo, hi = np.searchsorted(values, q, "left") / len(values), np.searchsorted(values, q, "right") / len(values)
+        assert lo - quantiles.SKETCH_ERROR <= p <= hi + quantiles.SKETCH_ERROR
+    parts = quantiles.merge_sketches(stored.withColumn("week", F.expr("day div 7")), ["week"])
+    assert parts.count() == 43 and quantiles.sketch_quantiles(quantiles.merge_sketches(parts), [0.5]).first().n == len(values)
+
+
+def test_sketches_of_nothing(spark):
+    df = spark.createDataFrame([(1, None), (1, float("nan"))], "day int, x double")
+    for by in ([], ["day"]):
+        stored = quantiles.value_sketches(df, "x", by)
+        assert stored.count() == 0 and quantiles.sketch_quantiles(quantiles.merge_sketches(stored, by), [0.5], by).count() == 0
