@@ -1,9 +1,11 @@
 """Toxicity of documents after noisy-channel deobfuscation.
 
-A character language model is counted over all documents: hashed n-grams of up to ``ORDER`` letters with word
-boundaries, one table per stretch of text, merged by slices. Words that may be disguised (letters mixed with signs that
+A character language model is counted over all documents: n-grams of ``ORDER`` letters with word boundaries, none across
+documents, counted in each task and summed by n-gram. The model is a sorted table of the n-grams that occur, so it grows with the
+corpus and tells all n-grams apart; shorter ones are ranges of it. Letters are a to z and ``OTHERS`` classes of all others,
+which bounds it at 64 to the power ``ORDER`` rows. Words that may be disguised (letters mixed with signs that
 look like letters, also at the ends, in quotes or brackets, or around hyphens and apostrophes; letters held three times
-or more; letters one by one with spaces or runs of signs between them) become lattices: each sign may be a letter or
+or more, or nearly all held; letters one by one with spaces or runs of signs between them) become lattices: each sign may be a letter or
 itself, a held letter may be one, a gap may be none. Viterbi decoding finds the likeliest reading under the model and the
 channel's costs (every context is kept: of ORDER - 1 letters, with three or four readings each, there are few); what
 stands for itself stays as written. A word that is not suspicious has one reading, itself.
@@ -28,10 +30,10 @@ from pyspark.sql import functions as F
 from pulsegrid.llm import quality, words
 
 ORDER = 4
-#: Cells of the model's table, as a power of two, and of one slice of it.
-TABLE_BITS, SLICE_BITS = 20, 14
-#: Bytes of text counted into one table before it is written out.
-STRETCH = 16 << 20
+#: Bits of a letter in an n-gram, and classes of the letters other than a to z.
+LETTER_BITS, OTHERS = 6, 37
+#: Letters counted together before the counts are handed on.
+STRETCH = 4 << 20
 #: Weight of the shorter context.
 BACKOFF = 4.0
 #: Log costs of the channel: a sign for a letter, a sign for itself, a letter held on, a gap inside a word.
@@ -61,79 +63,77 @@ _ON[128:192] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
-_MODEL_ARROW = pa.schema([("slice", pa.int32()), ("counts", pa.binary())])
+_COUNTS_ARROW = pa.schema([("code", pa.int32()), ("n", pa.int64())])
 
 
-def _letters(text: str) -> np.ndarray:
-    """Code points of a text in small letters, with 0 for everything between words, once."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
-    small = (points >= 97) & (points <= 122)
-    points = np.where(small | (points >= 170), points, np.uint64(0))
-    points = np.r_[np.uint64(0), points, np.uint64(0)]
-    return points[np.r_[True, (points[1:] != 0) | (points[:-1] != 0)]]
+def _codes(texts: list[str]) -> np.ndarray:
+    """One number for each place of the texts: the n-gram that starts there, with what lies beyond its text as boundary."""
+    points = np.frombuffer((" " + " \0 ".join(texts) + " ").lower().encode("utf-32-le", "replace"), "<u4").astype(np.int32)
+    ends = points == 0
+    own = np.where((points >= 97) & (points <= 122), points - 96, np.where(points >= 170, 27 + points % OTHERS, 0))
+    # One boundary between words.
+    some = (own != 0) | ends
+    some[1:] |= some[:-1].copy()
+    some[0] = True
+    own, ends = own[some], ends[some]
+    code, inside = own.copy(), np.ones(len(own), bool)
+    for k in range(1, ORDER):
+        inside[: len(own) - k] &= ~ends[k:]
+        inside[len(own) - k :] = False
+        code <<= LETTER_BITS
+        code[: len(own) - k] |= np.where(inside[: len(own) - k], own[k:], 0)
+    return code[~ends]
 
 
-def _cells(grams: np.ndarray) -> np.ndarray:
-    """Table cells of n-grams: one row each, of 1 to ORDER code points."""
-    h = np.full(len(grams), grams.shape[1], np.uint64)
-    for k in range(grams.shape[1]):
-        h += (grams[:, k] + np.uint64(1)) * np.uint64(_FACTORS[k])
-        h ^= h >> np.uint64(29)
-    return ((h * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+def _code(gram: str) -> int:
+    code = 0
+    for c in gram:
+        point = ord(c)
+        code = code << LETTER_BITS | (point - 96 if 97 <= point <= 122 else 27 + point % OTHERS if point >= 170 else 0)
+    return code
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table, size = np.zeros(1 << TABLE_BITS, np.int32), 0
+    held: list[np.ndarray] = []
 
     def out() -> pa.RecordBatch:
-        parts = table.reshape(-1, 1 << SLICE_BITS)
-        return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.astype("<i4").tobytes() for p in parts], pa.binary())], schema=_MODEL_ARROW)
+        codes, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(codes, pa.int32()), pa.array(n, pa.int64())], schema=_COUNTS_ARROW)
 
     for batch in batches:
         texts = words.texts_of(batch, "text")
         for lo, hi in words.groups(texts, 1 << 20):
-            own = _letters("\n".join(texts[lo:hi].to_pylist()))
-            for n in range(1, ORDER + 1):
-                if len(own) >= n:
-                    table += np.bincount(_cells(np.lib.stride_tricks.sliding_window_view(own, n)), minlength=len(table)).astype(np.int32)
-            size += 4 * len(own) // 3
-            if size >= STRETCH:
+            held.append(_codes(texts[lo:hi].to_pylist()))
+            if sum(map(len, held)) >= STRETCH:
                 yield out()
-                table[:] = 0
-                size = 0
-    if size:
+                held.clear()
+    if held:
         yield out()
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            sums.setdefault(part, np.zeros(1 << SLICE_BITS, np.int64)).__iadd__(np.frombuffer(counts, "<i4"))
-    if sums:
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.astype("<i8").tobytes() for s in sums.values()], pa.binary())], schema=_MODEL_ARROW)
+Model = tuple[np.ndarray, np.ndarray]
 
 
-def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Counts of all documents' n-grams, in a table of fixed size."""
-    sql = "slice int, counts binary"
-    merged = docs.select(F.col(text_col).alias("text")).mapInArrow(_counted, sql).repartition("slice").mapInArrow(_merged, sql)
-    table = np.zeros((1 << TABLE_BITS - SLICE_BITS, 1 << SLICE_BITS), np.int64)
-    for row in merged.collect():  # 1 << TABLE_BITS numbers at any size of the corpus
-        table[row["slice"]] = np.frombuffer(row["counts"], "<i8")
-    return table.ravel()
+def language_model(docs: DataFrame, text_col: str = "text") -> Model:
+    """The n-grams of all documents in order, and how often the first 0, 1, 2, ... of them occur."""
+    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_counted, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    made = counts.toArrow()  # a row per n-gram that occurs, bounded by the alphabet
+    codes, n = (made.column(c).to_numpy() for c in ("code", "n"))
+    order = np.argsort(codes)
+    return codes[order].astype(np.int32), np.r_[0, np.cumsum(n[order])].astype(np.int64)
 
 
 class Decoder:
     """Viterbi decoding under a language model; readings and probabilities met before are remembered, up to a bound."""
 
-    def __init__(self, table: np.ndarray):
-        self.table, self.known, self.readings = table, {}, {}
-        self.total = float(table[_cells(np.zeros((1, 1), np.uint64))[0]] * 6 + 1000)
+    def __init__(self, model: Model):
+        (self.codes, self.sums), self.known, self.readings = model, {}, {}
+        self.total = self._count(" ") * 6 + 1000
 
     def _count(self, gram: str) -> float:
-        return float(self.table[_cells(np.array([[0 if c == " " else ord(c) for c in gram]], np.uint64))[0]])
+        code, rest = _code(gram), LETTER_BITS * (ORDER - len(gram))
+        lo, hi = np.searchsorted(self.codes, np.array([code << rest, code + 1 << rest], np.int32))
+        return float(self.sums[hi] - self.sums[lo])
 
     def log_p(self, context: str, letter: str) -> float:
         """Log probability of a letter (or a word's end, a space) after up to ORDER - 1 others."""
@@ -143,7 +143,7 @@ class Decoder:
             p = (self._count(letter) + 0.1) / self.total
             for k in range(1, len(context) + 1):
                 own = context[-k:]
-                p = (self._count(own + letter) + BACKOFF * p) / (max(self._count(own), self._count(own + letter)) + BACKOFF)
+                p = (self._count(own + letter) + BACKOFF * p) / (self._count(own) + BACKOFF)
             if len(self.known) >= CACHE:
                 self.known.clear()
             found = self.known[gram] = float(np.log(p))
@@ -220,6 +220,9 @@ def suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.
     # Held letters: two of the three places lie inside the word too.
     runs = count(held) > 0
     runs[runs] = [len(set(data[a : b].tolist())) < b - a for a, b in zip(begin[runs], core[runs], strict=True)]
+    # All letters but one held twice or more.
+    opens_run = letter & ~np.r_[False, letter[:-1] & (small[1:] == small[:-1])]
+    twice = (letters == size) & (size >= 6) & (2 * count(opens_run | _ON[data]) <= size + 1)
     # Characters one by one, with a run of gap signs between each two.
     points = count((letter | sign) & ~_ON[data])
     opens = gap & ~np.r_[False, gap[:-1]]
@@ -235,7 +238,7 @@ def suspicious(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.
     first = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (own[1:] != own[:-1])][: len(word)])
     length = np.diff(np.r_[first, len(word)])
     rows = one[first] & (length >= 3)
-    alone = np.flatnonzero((mixed | runs | spread) & ~single)
+    alone = np.flatnonzero((mixed | runs | twice | spread) & ~single)
     lo, hi = np.r_[alone, word[first[rows]]], np.r_[alone, word[(first + length - 1)[rows]]]
     return lo, hi, begin[lo], core[hi]
 

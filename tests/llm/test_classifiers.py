@@ -1,4 +1,5 @@
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -115,7 +116,42 @@ def test_disguised_words_score_like_plain_ones(spark):
 def test_language_model_counts_every_text(spark):
     df = spark.createDataFrame([(1, "Abc abc"), (2, None), (3, "abc")], "doc_id long, text string")
     assert toxicity.Decoder(toxicity.language_model(df))._count("abc") == 3
-    assert toxicity.language_model(df.repartition(3)).tolist() == toxicity.language_model(df.coalesce(1)).tolist()
+    one, three = (toxicity.language_model(d) for d in (df.coalesce(1), df.repartition(3)))
+    assert all((a == b).all() for a, b in zip(one, three, strict=True))
+
+
+def test_language_model_against_plain_counts(spark, edge, nothing):
+    def letters(text):
+        classes = "".join(c if "a" <= c <= "z" or ord(c) >= 170 or c == "\0" else " " for c in text.lower())
+        for part in classes.split("\0"):
+            yield " " + "".join(w + " " for w in part.split(" ") if w)
+
+    texts = [(r.text or "") for r in edge.collect()] + ["Straße, DÉJÀ-vu 1d10t"]
+    more = edge.select("text").union(spark.createDataFrame([(texts[-1],)], "text string"))
+    decoder = toxicity.Decoder(toxicity.language_model(more))
+    parts = [p for t in texts for p in letters(t)]
+    grams = {p[k : k + n] for p in parts for n in range(1, 5) for k in range(len(p) - n + 1) if k < 300 or k > len(p) - 10}
+
+    # Letters of one class are one letter; what a part ends with is followed by boundaries.
+    def same(text):
+        return "".join(chr(0x4E00 + ord(c) % toxicity.OTHERS) if ord(c) >= 170 else c for c in text)
+
+    counted = defaultdict(int)
+    for p in parts:
+        for k in range(len(p)):
+            for n in range(1, 5):
+                counted[same((p + "   ")[k : k + n])] += 1
+    assert grams and all(decoder._count(g) == counted.get(same(g), 0) for g in grams | {"zqzq", "  "})
+    assert len(decoder.codes) == len({g for g in counted if len(g) == 4})
+    assert toxicity.Decoder(toxicity.language_model(nothing))._count("a") == 0
+
+
+def test_language_model_grows_with_the_corpus(spark):
+    def made(n):
+        return spark.range(n).selectExpr("id as doc_id", "translate(conv(id * 7919, 10, 26), '0123456789', 'qrstuvwxyz') as text")
+
+    sizes = [len(toxicity.language_model(made(n))[0]) for n in (100, 1000, 10_000)]
+    assert sizes[0] * 5 < sizes[1] < sizes[2] / 3
 
 
 @pytest.fixture(scope="module")
@@ -128,7 +164,7 @@ def wide(spark):
     "disguised,plain",
     [
         ("an a$$ here", "an ass here"), ("dumba$$", "dumbass"), ("sh!+", "shit"), ("dumba$$!", "dumbass!"), ('"1d10t"', '"idiot"'), ("(1d10t)", "(idiot)"), ("an 1d10t's", "an idiot's"), ("m0r0n-1d10t", "moron-idiot"),
-        ("i..d..i..o..t", "idiot"), ("i/d/i/o/t", "idiot"), ("an i,d,i,o,t,", "an idiot,"), ("this and/or that, 1,000", "this and/or that, 1,000"), ("an i - d - i - o - t!", "an idiot!"), ('"i d i o t"', '"idiot"'), ("pu22le", "puzzle"), ("b19ot", "bigot"), ("6igot", "bigot"), ("(rap", "crap"), ("(fine!)", "(fine!)"), ("the thing! (what)", "the thing! (what)"),
+        ("i..d..i..o..t", "idiot"), ("i/d/i/o/t", "idiot"), ("an i,d,i,o,t,", "an idiot,"), ("this and/or that, 1,000", "this and/or that, 1,000"), ("an i - d - i - o - t!", "an idiot!"), ('"i d i o t"', '"idiot"'), ("pu22le", "puzzle"), ("b19ot", "bigot"), ("6igot", "bigot"), ("iidiioott", "idiot"), ("the bookkeeper balloons", "the bookkeeper balloons"), ("(rap", "crap"), ("(fine!)", "(fine!)"), ("the thing! (what)", "the thing! (what)"),
     ],
 )
 def test_restoring_more_disguises(wide, disguised, plain):
