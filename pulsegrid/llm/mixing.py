@@ -142,9 +142,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def mixed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int = 64, seed: int = 7) -> DataFrame:
-    """``docs`` as the mix takes them: each text is the words taken of it, pass by pass, joined by one space.
+    """``docs`` as the mix takes them: each text is the words taken of it, pass by pass and in their order.
 
-    Documents the mix takes nothing of are not in it; equal rows come as one, with the words taken of all of them.
+    Words that follow one another in the document are joined by one space; where words between them are not taken, or
+    another pass begins, a new line does. So each line is a run of the document's words. Documents the mix takes nothing of are not in it; equal rows come as one, with the words taken of all of them.
     """
     _, pieces = mix(docs, id_col, text_col, source_col, block, seed=seed)
     taken = pieces.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pass", "start", "length"))).alias("taken"))
@@ -152,5 +153,12 @@ def mixed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key")).join(taken, "key")
     rows = rows.withColumn("number", F.row_number().over(Window.partitionBy("key").orderBy("key"))).where("number = 1")
     rows = _once(rows, "words", F.regexp_extract_all(F.col(f"row.`{text_col}`"), F.lit(WORD), F.lit(0)))
-    runs = F.transform("taken", lambda t: F.slice("words", (t["start"] + 1).cast("int"), t["length"].cast("int")))
-    return rows.withColumn("row", F.col("row").withField(f"`{text_col}`", F.array_join(F.flatten(runs), " "))).select("row.*")
+
+    def run(piece: Column, at: Column) -> Column:
+        before = F.get("taken", at - 1)
+        follows = (before["pass"] == piece["pass"]) & (before["start"] + before["length"] == piece["start"])
+        own = F.array_join(F.slice("words", (piece["start"] + 1).cast("int"), piece["length"].cast("int")), " ")
+        return F.concat(F.when(at == 0, "").when(follows, " ").otherwise("\n"), own)
+
+    text = F.array_join(F.transform("taken", run), "")
+    return rows.withColumn("row", F.col("row").withField(f"`{text_col}`", text)).select("row.*")

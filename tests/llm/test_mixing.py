@@ -84,7 +84,11 @@ def test_pieces_and_texts(spark):
     taken = {r.doc_id: r.taken for r in mixing.mixed_documents(df, block=16).collect()}
     texts = {r.doc_id: r.text for r in mixing.mixed_texts(df, block=16).collect()}
     assert {i: len(t.split()) for i, t in texts.items()} == {i: n for i, n in taken.items() if n}
-    assert all(w.startswith(f"{i}.") for i, t in texts.items() for w in t.split())
+    whole = {i: f" {t} " for i, t, _ in docs}
+    # Each line is a run of the document's words; a source with a target above its size gives whole documents first.
+    assert all(f" {line} " in whole[i] for i, t in texts.items() for line in t.split("\n"))
+    holes = {i: t.count("\n") for i, t in texts.items()}
+    assert any(holes.values()) and all(n <= 3 * (len(whole[i]) // 16) for i, n in holes.items())
 
 
 def test_empty_tables(spark, nothing):

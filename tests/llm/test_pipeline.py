@@ -28,7 +28,7 @@ def test_stages_have_their_effect(spark, small):
     prints = [brute_print(r.text) for r in single.values()]
     assert all((a ^ b).bit_count() > 2 for k, a in enumerate(prints) for b in prints[:k])
     assert set(clean) == set(single) and all(len(r.text) <= len(single[i].text) and r.n_chars == len(r.text) for i, r in clean.items())
-    assert set(mixed) <= set(clean) and all(set(r.text.split(" ")) <= set(clean[i].text.split()) for i, r in mixed.items())
+    assert set(mixed) <= set(clean) and all(set(r.text.split()) <= set(clean[i].text.split()) for i, r in mixed.items())
     check(seen[5].collect(), [(i, r.text) for i, r in mixed.items()], 1024)
 
 
