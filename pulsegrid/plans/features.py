@@ -84,10 +84,12 @@ def task_view(
     seed: int = 42,
     epoch: int = 0,
     max_label: float | None = None,
+    noise_mode: str = "xxhash64",
 ) -> DataFrame:
     """``file_name``, ``signal``, the extra inputs and ``label``, with the filters of the task.
 
-    ``training=True`` adds noise where the task asks for it. ``max_label`` sets an inclusive bound for a
+    ``training=True`` adds noise where the task asks for it, another for each ``seed`` and ``epoch``; ``noise_mode`` is the
+    hash it is made from. ``max_label`` sets an inclusive bound for a
     task without one.
     """
     task = TASKS[task] if isinstance(task, str) else task
@@ -97,7 +99,7 @@ def task_view(
         rows = cap_filter(rows, task.label, bound, inclusive=True)
     signal = F.col("signal")
     if task.noise and training:
-        signal = S.augment_noise("signal", "file_name", seed=seed, epoch=epoch)
+        signal = S.augment_noise("signal", "file_name", seed=seed, epoch=epoch, mode=noise_mode)
     return rows.select(
         "file_name", signal.alias("signal"), *task.inputs, F.col(task.label).cast("double").alias("label")
     )

@@ -611,6 +611,12 @@ def all_oracles() -> dict[str, str]:
             for name, (inputs, label, which) in views.items()
         )
     )
+    o["task_view_training"] = _with(
+        f"""select f.file_name, f.gender::double as gender_input, {r('f.age', name='label')},
+        {r('f.weighted + n.noise', name='weighted')} from features f join noise n on n.file_name = f.file_name where f.age <= 90""",
+        noise=f"""select file_name, sum((lead * 8 + i + 1) * ({_unit_of("'1:' || file_name::varchar || ':' || lead::varchar || ':' || i::varchar")} - 0.5::double))
+          as noise from samples group by file_name""",
+    )
     sound = "samples s join flags f on f.file_name = s.file_name and not any_flat and not any_nan"
     o["score_batches"] = _with(
         f"select s.file_name, {r(_linear('value', '3'), name='score')} from {sound} group by s.file_name"

@@ -717,6 +717,16 @@ def task_views(t: Proxies) -> DataFrame:
     return _round(_as_double(named, "gender_input"))
 
 
+@_query
+def task_view_training(t: Proxies) -> DataFrame:
+    """What a training reader of the task with noise gets in one epoch, from stored feature rows."""
+    path = scratch_path(t.spark, "training-features")
+    shards.write_shards(_features(t), path)
+    view = features.task_view(t.spark.read.parquet(path), "resnet-age2", training=True, epoch=1, noise_mode="md5")
+    named = view.withColumn("weighted", _weighted()).drop("signal").withColumnRenamed("gender", "gender_input")
+    return _round(_as_double(named, "gender_input"))
+
+
 @_query
 def score_batches(t: Proxies) -> DataFrame:
     sound = signals.reject_bad(t.signals).select("file_name", "signal")

@@ -96,6 +96,13 @@ def test_task_views(feature_rows):
     quiet = features.task_view(feature_rows, "resnet-age2").first().signal
     noisy = features.task_view(feature_rows, "resnet-age2", training=True).first().signal
     assert quiet != noisy and abs(quiet[0][0] - noisy[0][0]) <= 0.5
+    epochs = [
+        features.task_view(feature_rows, "resnet-age2", training=True, epoch=e, noise_mode=mode).first().signal
+        for e, mode in ((1, "md5"), (1, "md5"), (2, "md5"), (1, "xxhash64"))
+    ]
+    assert epochs[0] == epochs[1] and len({str(e) for e in epochs}) == 3
+    assert all(abs(a - b) <= 0.5 for e in epochs for x, y in zip(e, quiet) for a, b in zip(x, y))
+    assert features.task_view(feature_rows, "cnn-age", training=True).first().signal == features.task_view(feature_rows, "cnn-age").first().signal
     assert set(features.TASKS) >= {"resnet-sodium", "transformer-age3", "tl-age-sex"}
 
 
