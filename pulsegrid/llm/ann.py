@@ -1,12 +1,9 @@
-"""Nearest neighbours by largest inner product with collision counting.
+"""Nearest neighbours by largest inner product, exact.
 
-Vectors get one more component that gives all the same length, so the largest inner product is the nearest vector
-(queries have zero there). Each of ``LINES`` random lines has the projections of a block of vectors in a sorted array.
-A query opens a window around its own projection on every line and widens it step by step (virtual rehashing: the wide
-window is the union of narrow ones, only the new ends are counted); a vector collides on a line while it is inside the
-window. When at least ``MULTIPLE * k`` and a share ``SHARE`` of the block's vectors collide on ``NEEDED`` of the lines, they are
-verified with the measure itself. Windows widen until that holds, in the end over all vectors, so small blocks are
-searched whole. Every query meets every block of rows, block by block; the blocks' best are merged.
+Every query meets every block of rows, block by block; the blocks' best are merged. In a block, a matrix product gives
+all inner products of a batch of queries at once, in single precision on scaled vectors; the ``k``-th largest of the
+maxima of slices of ``SLICE`` vectors is a bound below each query's ``k``-th best, so only vectors at that bound or above
+(less the product's rounding) are scored again with the measure itself, in double precision, row by row, and ranked. The result is the brute-force one.
 
 Vectors that are null, empty, zero, of another length than most, or hold null or non-finite components take no part.
 Rows with a null id take no part either; a query's own id is not among its results. Fewer candidates than ``k``: all.
@@ -24,13 +21,8 @@ from pyspark.sql import functions as F
 
 from pulsegrid.sources.scratch import cut
 
-LINES = 96
-#: Collisions a vector needs to be verified; the share of a block, and the multiple of ``k``, verified at least.
-NEEDED, SHARE, MULTIPLE = 50, 0.28, 20
-#: First half width of a window, in units of a projection's spread, and its growth from step to step.
-WIDTH, GROWTH = 0.9375, 1.25
-#: Queries whose windows are opened together.
-TOGETHER = 256
+#: Queries whose inner products are taken together, and vectors of a slice whose maximum bounds the ``k``-th best.
+TOGETHER, SLICE = 256, 32
 #: Vectors of a block, and queries that meet it in one task, on average.
 BLOCK, QUERIES = 16_384, 4_096
 
@@ -46,46 +38,38 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return whole.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(whole), -1)
 
 
-def search(base: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, longest: float, k: int, seed: int = 5) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def search(base: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, longest: float, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Each query's ids and scores of its ``k`` best in this block."""
     n, dims = base.shape
-    lines = np.random.default_rng(seed).standard_normal((dims + 1, LINES))
-    last = np.sqrt(np.maximum(longest**2 - np.einsum("ij,ij->i", base, base), 0.0))
-    on = (np.c_[base, last] @ lines).T / longest
-    order = np.argsort(on, axis=1)
-    sorted_on = np.take_along_axis(on, order, axis=1)
+    order = np.argsort(ids, kind="stable")
+    sorted_ids = ids[order]
+    whole, slices = n - n % SLICE, -(-n // SLICE)
+    # In single precision on vectors scaled to length 1 at most; the product is off by less than (dims + 2) units in
+    # the last place of single precision, the measure by far less.
+    near = (base / longest).astype(np.float32)
     lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
-    own = queries @ lines[:-1] / lengths[:, None]
-    enough = min(n, max(MULTIPLE * k, k + 1 + int(SHARE * n)))
+    margin = 4 * (dims + 2) * float(np.finfo(np.float32).eps) + float(np.finfo(np.float32).tiny)
     for first in range(0, len(queries), TOGETHER):
-        todo, wide = np.arange(first, min(first + TOGETHER, len(queries))), WIDTH
-        counts = np.zeros((len(todo), n), np.uint8)
-        lo = hi = np.zeros((0, 0), np.int64)
-        while len(todo):
-            new_lo = np.stack([np.searchsorted(s, c - wide, "left") for s, c in zip(sorted_on, own[todo].T, strict=True)], 1)
-            new_hi = np.stack([np.searchsorted(s, c + wide, "right") for s, c in zip(sorted_on, own[todo].T, strict=True)], 1)
-            if not len(lo):
-                lo = hi = new_lo
-            wider = []
-            for r, q in enumerate(todo.tolist()):
-                count = counts[q - first]
-                # A vector stands once on a line, so places within a slice differ.
-                for o, a, b, c, d in zip(order, new_lo[r].tolist(), lo[r].tolist(), hi[r].tolist(), new_hi[r].tolist(), strict=True):
-                    count[o[a:b]] += 1
-                    count[o[c:d]] += 1
-                found = np.flatnonzero(count >= NEEDED)
-                if len(found) < enough:
-                    wider.append(r)
-                    continue
-                found = found[ids[found] != query_ids[q]]
-                # Multiplied and summed row by row: equal vectors get equal scores.
-                score = (base[found] * queries[q]).sum(axis=1)
-                if len(found) > k:
-                    least = np.partition(score, len(found) - k)[len(found) - k]
-                    found, score = found[score >= least], score[score >= least]
-                best = np.lexsort((ids[found], -score))[:k]
-                yield q, ids[found][best], score[best]
-            todo, lo, hi, wide = todo[wider], new_lo[wider], new_hi[wider], wide * GROWTH
+        asked = np.arange(first, min(first + TOGETHER, len(queries)))
+        rough = near @ (queries[asked] / lengths[asked, None]).astype(np.float32).T
+        # A query's own rows don't raise its bound.
+        starts, ends = np.searchsorted(sorted_ids, query_ids[asked], "left"), np.searchsorted(sorted_ids, query_ids[asked], "right")
+        for r, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+            rough[order[a:b], r] = -np.inf
+        if slices >= k:
+            tops = rough[:whole].reshape(-1, SLICE, len(asked)).max(axis=1)
+            if whole < n:
+                tops = np.vstack([tops, rough[whole:].max(axis=0)])
+            bound = np.partition(tops, slices - k, axis=0)[slices - k] - margin
+        else:
+            bound = np.full(len(asked), -np.inf, np.float32)
+        cols, rows = np.nonzero((rough >= bound).T)
+        for r, found in zip(asked.tolist(), np.split(rows, np.searchsorted(cols, np.arange(1, len(asked)))), strict=True):
+            found = found[ids[found] != query_ids[r]]
+            # Multiplied and summed row by row: equal vectors get equal scores.
+            score = (base[found] * queries[r]).sum(axis=1)
+            best = np.lexsort((ids[found], -score))[:k]
+            yield r, ids[found][best], score[best]
 
 
 def _meet(queries: pa.Table, base: pa.Table, longest: float, k: int) -> pa.Table:

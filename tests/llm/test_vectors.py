@@ -169,3 +169,17 @@ def test_links_of_a_bundle_are_counted_in_blocks(spark, monkeypatch):
     links, group = brute(ids, x, label)
     assert got == {int(i): (int(n), int(g)) for i, n, g in zip(ids, links, group, strict=True)}
     assert made["links"].count() < links.sum() / 4
+
+
+def test_search_is_exact_with_copies():
+    random = np.random.default_rng(4)
+    base = random.standard_normal((3000, 64)) * random.uniform(0.5, 2, (3000, 1))
+    base[100:130] = base[7]
+    ids = np.arange(3000)
+    longest = float(np.sqrt((base**2).sum(axis=1).max()))
+    asked = np.arange(0, 3000, 20)
+    for q, own, score in ann.search(base, ids, base[asked], ids[asked], longest, 20):
+        exact = (base * base[asked[q]]).sum(axis=1)
+        exact[asked[q]] = -np.inf
+        best = np.lexsort((ids, -exact))[:20]
+        assert own.tolist() == best.tolist() and score.tolist() == exact[best].tolist()
