@@ -1,10 +1,7 @@
 """Alignment of two tokenizers: where both have a token end, texts are cut into groups, and token pairs are counted.
 
-Tokens of a byte-level BPE (``tokenizers``) come with character offsets, those of a ``sentencepiece`` model with spans
-in its proto. These are coarse cuts: a token whose span ends where the next one starts ends there. Tokens that share a
-character (parts of a multibyte character, byte-fallback pieces, the added space) lie between two coarse cuts and are told
-apart by their decoded bytes. The bytes of all tokens of a text must be those of a space and the text; texts of which
-they aren't have no tokens.
+The bytes of all tokens of a text must be those of a space and the text; texts of which they aren't have no tokens. So a
+token ends where its bytes do, counted through the tokens of its text, whatever character offsets the tokenizers give.
 
 Neither vocabulary has a token over a single space between two other characters, from which no token reaches
 into the next word with its space. So texts are cut there, each distinct piece is encoded and aligned once as long as
@@ -140,13 +137,11 @@ class Aligner:
         size = np.array([len(x) for x in wholes], np.int64)
         given = [" ".join(texts)] if as_one else texts
         ones = self.a.encode_batch([" " + t for t in given], add_special_tokens=False)
-        others = self.b.encode(given, return_type="proto", num_threads=1)
+        others = self.b.encode(given, out_type=int, num_threads=1)
         n_a = np.array([len(x.ids) for x in ones], np.int64)
         ids_a = np.fromiter(chain.from_iterable(x.ids for x in ones), np.int64, n_a.sum())
-        spans_a = np.fromiter(chain.from_iterable(chain.from_iterable(x.offsets for x in ones)), np.int64, 2 * n_a.sum()).reshape(-1, 2)
-        n_b = np.array([len(x.pieces) for x in others], np.int64)
-        rows_b = np.array([(p.id, p.begin, p.end) for x in others for p in x.pieces], np.int64).reshape(-1, 3)
-        ids_b, spans_b = rows_b[:, 0], rows_b[:, 1:]
+        n_b = np.array([len(x) for x in others], np.int64)
+        ids_b = np.fromiter(chain.from_iterable(others), np.int64, n_b.sum())
         sizes_a, sizes_b = self.size_a[ids_a], self.size_b[ids_b]
         joined = [b"".join(map(own.__getitem__, ids.tolist())) for own, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))]
         right = joined[0] == joined[1] == b"".join(wholes)
@@ -158,24 +153,9 @@ class Aligner:
         if not right:
             return self.aligned(texts) if as_one else self._some_aligned(texts, wholes, ids_a, n_a, ids_b, n_b)
 
-        # Spans in bytes: characters are counted through, and those of the proto don't know the added space.
-        chars = np.frombuffer(" ".join(["", *texts]).encode("utf-32-le"), np.uint32)
-        at = np.r_[0, np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000).astype(np.int64))]
-        first = np.cumsum([0, *(1 + len(t) for t in texts)])[:-1]
-        start = at[first]
-        spans_a = at[spans_a if as_one else spans_a + np.repeat(first, n_a)[:, None]]
-        spans_b = spans_b + (0 if as_one else np.repeat(start, n_b)[:, None])
-        spans_b[:, 1] += spans_b[:, 1] > spans_b[:, 0]
-        spans_b[:, 0] += np.r_[False, np.ones(max(len(ids_b) - 1, 0), bool)]
-        places = []
-        for ids, spans, n, sizes in ((ids_a, spans_a, n_a, self.size_a), (ids_b, spans_b, n_b, self.size_b)):
-            last = np.zeros(len(ids), bool)
-            last[np.cumsum(n) - 1] = True
-            places.append(byte_ends(spans[:, 0], spans[:, 1], last, sizes[ids]))
-        end_a, end_b = places
-        if (end_a[np.cumsum(n_a) - 1] != start + size).any() or (end_b[np.cumsum(n_b) - 1] != start + size).any():
-            raise ValueError("token spans and token bytes disagree")
-        has_a, has_b = np.zeros(at[-1] + 1, bool), np.zeros(at[-1] + 1, bool)
+        # The bytes of all tokens are those of the texts, one after the other: a token ends where its bytes do.
+        end_a, end_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+        has_a, has_b = np.zeros(size.sum() + 1, bool), np.zeros(size.sum() + 1, bool)
         has_a[end_a] = True
         has_b[end_b] = True
         cut_a, cut_b = has_b[end_a], has_a[end_b]

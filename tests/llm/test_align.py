@@ -169,3 +169,29 @@ def test_long_table_of_equal_rows(spark):
     df = spark.range(5000).selectExpr("cast(id % 2 as long) as doc_id", "'the same words' as text")
     want = len(plain("the same words"))
     assert [tuple(r) for r in align.align(df).select("n_groups", "n_best", "count_sum").distinct().collect()] == [(want, want, want * 5000)]
+
+
+def test_ends_follow_from_token_bytes_alone():
+    """Only the ids of either tokenizer are read; character offsets and protos are not needed."""
+    own = align.Aligner(PATH_A, PATH_B)
+    a, b = own.a, own.b
+
+    class Ids:
+        def __init__(self, encoding):
+            self.ids = encoding.ids
+
+    class OnlyIdsA:
+        def encode_batch(self, texts, **kw):
+            return [Ids(x) for x in a.encode_batch(texts, **kw)]
+
+    class OnlyIdsB:
+        def encode(self, texts, **kw):
+            assert kw.get("return_type") != "proto"
+            return b.encode(texts, **kw)
+
+    own.a, own.b = OnlyIdsA(), OnlyIdsB()
+    texts = ["", *ODD, "a ▁ b", "", "x ▁", "ab cd"]
+    groups, sizes, links = own.texts(texts)
+    want = [plain(t) for t in texts]
+    assert groups == [as_text(x) for x in want]
+    assert links.tolist() == [a_[-1] << 32 | b_[-1] for x in want for a_, b_ in x]
