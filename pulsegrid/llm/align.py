@@ -40,8 +40,8 @@ from pulsegrid.sources.scratch import cut
 
 #: Pairs known to every task at most.
 HEAVY = 1 << 20
-#: A worker forgets its pieces beyond so many characters of them.
-REMEMBERED = 4_000_000
+#: A worker forgets its pieces beyond so many characters of them, all but those met again, up to a quarter of that.
+REMEMBERED = 1_000_000
 #: Characters of pieces encoded at once.
 ENCODED = 200_000
 #: Links looked up at once, or those of one longer text.
@@ -126,6 +126,22 @@ class Aligner:
         self.groups: list[str | None] = []
         self.sizes = np.zeros((0, 3), np.int64)
         self.links = np.zeros(0, np.int64)
+        #: How often each piece was asked for.
+        self.uses = np.zeros(0, np.int64)
+
+    def keep_frequent(self) -> None:
+        """Forgets the pieces, but keeps those asked for more than once, the most asked first, up to a quarter of ``REMEMBERED``."""
+        pieces = list(self.number)
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order = np.argsort(-self.uses, kind="stable")
+        order = order[(self.uses[order] > 1) & (np.cumsum(length[order]) <= REMEMBERED // 4)]
+        starts = np.r_[0, np.cumsum(self.sizes[:, 2])][order]
+        groups, sizes, links = [self.groups[i] for i in order.tolist()], self.sizes[order], self.links[_ranges(starts, self.sizes[order, 2])]
+        kept = [pieces[i] for i in order.tolist()]
+        self.forget()
+        self.number = dict(zip(kept, range(len(kept)), strict=True))
+        self.known = int(length[order].sum())
+        self.groups, self.sizes, self.links, self.uses = groups, sizes, links, np.ones(len(kept), np.int64)
 
     def aligned(self, texts: list[str], as_one: bool = False) -> tuple[list[str | None], np.ndarray, np.ndarray]:
         """Groups, numbers of tokens and links (n x 3), and the links, of a space and each text (not empty).
@@ -206,12 +222,14 @@ class Aligner:
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
         self.known += sum(map(len, new))
         self.sizes, self.links = np.concatenate(sizes), np.concatenate(links)
-        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        numbers = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        self.uses = np.r_[self.uses, np.zeros(len(self.number) - len(self.uses), np.int64)] + np.bincount(numbers, minlength=len(self.number))
+        return numbers
 
     def texts(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """As ``aligned``, for texts that may be empty; a text whose bytes differ has no tokens."""
         if self.known > REMEMBERED:
-            self.forget()
+            self.keep_frequent()
         cuts = [(_BETWEEN.split(t) if self.divisible else [t]) if t else [] for t in texts]
         n = np.array([len(own) for own in cuts], np.int64)
         numbers = self.numbers(list(chain.from_iterable(cuts)))

@@ -195,3 +195,21 @@ def test_ends_follow_from_token_bytes_alone():
     want = [plain(t) for t in texts]
     assert groups == [as_text(x) for x in want]
     assert links.tolist() == [a_[-1] << 32 | b_[-1] for x in want for a_, b_ in x]
+
+
+def test_forgetting_keeps_the_pieces_met_again(monkeypatch):
+    """Beyond the remembered characters, pieces asked for more than once stay; the others are forgotten; groups don't change."""
+    monkeypatch.setattr(align, "REMEMBERED", 400)
+    own = align.Aligner(PATH_A, PATH_B)
+    common = "the common words of every text"
+    texts = [f"{common} rare{k}word other{k}piece and{k}more" for k in range(40)] + ["", *ODD]
+    for lo in range(0, len(texts), 5):
+        part = texts[lo : lo + 5]
+        groups, sizes, links = own.texts(part)
+        want = [plain(t) for t in part]
+        assert groups == [as_text(x) for x in want]
+        assert links.tolist() == [a_[-1] << 32 | b_[-1] for x in want for a_, b_ in x]
+        assert sizes.tolist() == [[sum(len(a_) for a_, _ in x), sum(len(b_) for _, b_ in x), len(x)] for x in want]
+    assert own.known <= 400 + sum(map(len, texts[-5:])) + 5
+    assert {"common", "words", "every"} <= set(own.number)
+    assert not any(f"rare{k}word" in own.number for k in range(30))
